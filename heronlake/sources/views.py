@@ -33,6 +33,10 @@ class Tables:
     def runs(self) -> DataFrame:
         return runs(self.events)
 
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return sessions(self.events)
+
     @cached_property
     def log_lines(self) -> DataFrame:
         return log_lines(self.events)
@@ -66,6 +70,14 @@ def trips(events: DataFrame) -> DataFrame:
     )
 
 
+def sessions(events: DataFrame) -> DataFrame:
+    """One session per event, ``k`` minutes long."""
+    minutes = F.make_dt_interval(F.lit(0), F.lit(0), _k().cast("int"), F.lit(0))
+    return events.select(
+        "event_id", "user_id", "event_type", F.col("ts").alias("start_ts"), (F.col("ts") + minutes).alias("end_ts")
+    )
+
+
 def runs(events: DataFrame) -> DataFrame:
     """Run history: one row per day and event type."""
     n = F.count("*")
