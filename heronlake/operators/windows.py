@@ -236,8 +236,8 @@ def pct_of_group(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def average_rank(df: DataFrame, column: str, out: str) -> DataFrame:
     """Descending rank; tied rows share their mean rank, cut to an integer."""
-    levels = df.groupBy(column).agg(F.count("*").alias("_n"))
-    ahead = F.sum("_n").over(Window.orderBy(F.desc(column)).rowsBetween(Window.unboundedPreceding, -1))
-    shared = F.coalesce(ahead, F.lit(0)) + (F.col("_n") + 1) / F.lit(2.0)
-    ranks = levels.select(F.col(column), F.floor(shared).cast("int").alias(out))
+    levels = order_buckets(df.groupBy(column).agg(F.count("*").alias("_n")), column)
+    ranked = scan(levels, [], [column], {"_ahead": ("sum", F.col("_n"), False)}, reverse=True)
+    shared = F.col("_ahead") + (F.col("_n") + 1) / F.lit(2.0)
+    ranks = ranked.select(F.col(column), F.floor(shared).cast("int").alias(out))
     return df.join(ranks, column)
