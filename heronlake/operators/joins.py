@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from heronlake.functions.exact import dec, flag, mean, ratio, rnd, total
-from heronlake.functions.timeparts import day, seconds_between
-from heronlake.plans.ordered import order_buckets, scan
+from heronlake.functions.timeparts import seconds_between
+from heronlake.plans.ordered import interval_runs
 
 
 def person_address(person: DataFrame, address: DataFrame) -> DataFrame:
@@ -193,25 +193,12 @@ def overlapping_sessions(sessions: DataFrame) -> DataFrame:
     Sessions that overlap in a chain form one run.  A run with two addresses
     always has two neighbours in the chain that differ, so no pair is built.
     """
-    runs = interval_runs(sessions, ["account_id"], "login", "logout")
-    mixed = runs.groupBy("account_id", "run").agg(
-        F.min("ip_address").alias("a"), F.max("ip_address").alias("b")
-    )
+    address = F.col("ip_address")
+    extra = {"a": (F.min(address), F.min), "b": (F.max(address), F.max)}
+    mixed = interval_runs(sessions, ["account_id"], "login", "logout", extra)
     return mixed.where("a <> b").select("account_id").distinct()
 
 
-def interval_runs(
-    df: DataFrame, keys: list[str], start: str, end: str, tie: str | None = None
-) -> DataFrame:
-    """Add ``run``: intervals that touch or overlap in a chain share a number."""
-    ranged = order_buckets(df, start, tie)
-    order = [start, end]
-    reach = scan(ranged, keys, order, {"_reach": ("max", F.col(end), False)})
-    fresh = flag(F.col("_reach").isNull() | (F.col(start) > F.col("_reach"))).cast("long")
-    runs = scan(reach, keys, order, {"run": ("sum", fresh, True)})
-    return runs.drop("_reach", "_bucket")
-
-
 def process_time(activity: DataFrame) -> DataFrame:
     """Mean seconds from start to end over the processes of a machine."""
     at = lambda kind: F.max(F.when(F.col("activity_type") == kind, F.col("timestamp")))

@@ -166,5 +166,37 @@ def quantiles(
     )
 
 
-def whole(c: Column) -> Column:
-    return c.cast("long")
+def interval_runs(
+    df: DataFrame, keys: list[str], start: str, end: str, extra: dict[str, tuple] | None = None
+) -> DataFrame:
+    """Merge intervals that overlap or touch, one row per key and run.
+
+    Intervals with one start are merged first, so the order is unique and a
+    crowd on one start is one row.  ``extra`` maps a name to an aggregate of
+    the input and the function that combines it over a run.
+    """
+    extra = extra or {}
+    starts = df.groupBy(*keys, start).agg(
+        F.max(end).alias(end), *[first.alias(n) for n, (first, _) in extra.items()]
+    )
+    ranged = order_buckets(starts, start)
+    reach = scan(ranged, keys, [start], {"_reach": ("max", F.col(end), False)})
+    fresh = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)
+    runs = scan(reach, keys, [start], {"run": ("sum", fresh.cast("long"), True)})
+    return runs.groupBy(*keys, "run").agg(
+        F.min(start).alias(start), F.max(end).alias(end),
+        *[combine(n).alias(n) for n, (_, combine) in extra.items()],
+    )
+
+
+def consecutive_runs(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """Runs of consecutive integers per key: start, end and length.
+
+    The column must be unique within a key; the value minus its row number is
+    constant along a run.
+    """
+    numbered = row_numbers(order_buckets(df, column), keys, [column], "_rn")
+    island = (F.col(column) - F.col("_rn")).alias("_island")
+    return numbered.groupBy(*keys, island).agg(
+        F.min(column).alias("start_id"), F.max(column).alias("end_id"), F.count("*").alias("length")
+    ).drop("_island")
