@@ -58,7 +58,7 @@ def order_buckets(
     return out
 
 
-_RUNNING = {"sum": F.sum, "min": F.min, "max": F.max}
+_RUNNING = {"sum": F.sum, "min": F.min, "max": F.max, "product": F.product}
 
 
 def scan(
@@ -71,7 +71,7 @@ def scan(
     """Add running values to a frame that went through :func:`order_buckets`.
 
     ``specs`` maps an output name to ``(kind, column, inclusive)`` with kind
-    ``sum``, ``min``, ``max`` or ``last`` (latest non-null value).  An
+    ``sum``, ``product``, ``min``, ``max`` or ``last`` (latest non-null value).  An
     exclusive value looks only at earlier rows; with ``reverse`` at later ones.
     """
     direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
@@ -95,6 +95,8 @@ def scan(
             carried.append(_RUNNING[kind](f"_t_{name}").over(across).alias(f"_c_{name}"))
             if kind == "sum":
                 final[name] = F.coalesce(here, F.lit(0)) + F.coalesce(before, F.lit(0))
+            elif kind == "product":
+                final[name] = F.coalesce(here, F.lit(1.0)) * F.coalesce(before, F.lit(1.0))
             else:
                 final[name] = (F.least if kind == "min" else F.greatest)(here, before)
     parts = [*keys, BUCKET]
