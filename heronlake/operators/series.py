@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from heronlake.functions.exact import dec, flag, rnd
 from heronlake.plans.ordered import BUCKET, order_buckets, row_numbers, scan, with_halo
+from heronlake.plans.shared import cut_lineage
 
 
 def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
@@ -110,19 +111,22 @@ def next_greater_gap(df: DataFrame, keys: list[str], order: list[str], value: st
     numbered = row_numbers(_ranged(df, order), keys, order).select(
         *df.columns, "rn", BUCKET, F.col(value).cast("double").alias("_v")
     )
-    schema = f"{_ddl(df, keys)}, rn long, {BUCKET} double, _v double, _next long, _record boolean"
+    schema = f"{_ddl(df, keys)}, rn long, {BUCKET} int, _v double, _next long, _record boolean"
 
     def inside(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("rn", ignore_index=True)
-        nxt, stack = [None] * len(rows), []
-        for i, v in enumerate(rows["_v"]):
-            while stack and rows["_v"][stack[-1]] < v:
-                nxt[stack.pop()] = rows["rn"][i]
+        rows = rows.sort_values("rn")
+        values, places = rows["_v"].tolist(), rows["rn"].tolist()
+        nxt, record, stack, top = [None] * len(rows), [], [], float("-inf")
+        for i, v in enumerate(values):
+            while stack and values[stack[-1]] < v:
+                nxt[stack.pop()] = places[i]
             stack.append(i)
-        before = rows["_v"].cummax().shift(1)
-        return rows.assign(_next=pd.array(nxt, dtype="Int64"), _record=before.isna() | (rows["_v"] > before))
+            record.append(v > top)
+            top = max(top, v)
+        return rows.assign(_next=pd.array(nxt, dtype="Int64"), _record=record)
 
     local = numbered.select(*keys, "rn", BUCKET, "_v").groupBy(*keys, BUCKET).applyInPandas(inside, schema)
+    local = cut_lineage(local)
     tops = local.groupBy(*keys, BUCKET).agg(F.max("_v").alias("m"))
     per_key = tops.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(BUCKET).alias("b"), "m"))).alias("_tops"))
     open_rows = local.where("_next is null").select(*keys, "rn", BUCKET, "_v").join(per_key, keys)

@@ -30,11 +30,12 @@ def _cuts(df: DataFrame, col: str, n: int) -> list[float]:
 
 def _ranged(df: DataFrame, col: str, cuts: list[float], out: str) -> DataFrame:
     if not cuts:
-        return df.withColumn(out, F.lit(0.0))
+        return df.withColumn(out, F.lit(0))
     df = df.withColumn("_x", as_number(col, dict(df.dtypes)[col]))
     splits = [float("-inf"), *cuts, float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_x", outputCol=out, handleInvalid="keep")
-    return ranged.transform(df).drop("_x")
+    ranged = Bucketizer(splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep")
+    number = F.coalesce(F.col("_b").cast("int"), F.lit(-1))
+    return ranged.transform(df).withColumn(out, number).drop("_x", "_b")
 
 
 def order_buckets(
@@ -53,11 +54,29 @@ def order_buckets(
         dtype = dict(df.dtypes)[order_col]
         crowded = as_number(order_col, dtype).isin(heavy)
         out = _ranged(out, tie_col, sorted(set(_cuts(df, tie_col, n))), "_tie")
-        step = F.when(crowded, F.col("_tie")).otherwise(F.lit(0.0))
+        step = F.when(crowded, F.col("_tie")).otherwise(F.lit(0))
         out = out.withColumn(BUCKET, F.col(BUCKET) * n + step).drop("_tie")
     return out
 
 
+# Stand-ins for a null key, told apart by a separate mark.
+_STAND_IN = {"string": "", "boolean": False, "date": "1970-01-01", "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01"}
+
+
+def null_free_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Add key columns without nulls that tell groups apart as the keys do.
+
+    Plain equality on them matches null keys too, and rows already placed by
+    them for a window need no second shuffle for the join.
+    """
+    if not keys:
+        return df, []
+    types = dict(df.dtypes)
+    plain = {f"_g{i}": F.coalesce(k, F.lit(_STAND_IN.get(types[k], 0)).cast(types[k])) for i, k in enumerate(keys)}
+    marks = sum((F.when(F.col(k).isNull(), 1 << i).otherwise(0) for i, k in enumerate(keys)), F.lit(0))
+    return df.withColumns({**plain, "_gz": marks}), [*plain, "_gz"]
+
+
 _RUNNING = {"sum": F.sum, "min": F.min, "max": F.max, "product": F.product}
 
 
@@ -75,8 +94,10 @@ def scan(
     exclusive value looks only at earlier rows; with ``reverse`` at later ones.
     """
     direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
-    local = Window.partitionBy(*keys, BUCKET).orderBy(*[direction(c) for c in order])
-    across = Window.partitionBy(*[f"_k_{k}" for k in keys]).orderBy(direction("_k_" + BUCKET))
+    keyed, groups = null_free_keys(df, keys)
+    parts = [*groups, BUCKET]
+    local = Window.partitionBy(*parts).orderBy(*[direction(c) for c in order])
+    across = Window.partitionBy(*groups).orderBy(direction(BUCKET))
     across = across.rowsBetween(Window.unboundedPreceding, -1)
     stamp = F.struct(*order)
     columns, totals, carried, final = {}, [], [], {}
@@ -99,13 +120,8 @@ def scan(
                 final[name] = F.coalesce(here, F.lit(1.0)) * F.coalesce(before, F.lit(1.0))
             else:
                 final[name] = (F.least if kind == "min" else F.greatest)(here, before)
-    parts = [*keys, BUCKET]
-    sums = df.groupBy(*parts).agg(*totals)
-    sums = sums.select(*[F.col(p).alias(f"_k_{p}") for p in parts], *[f"_t_{n}" for n in specs])
-    sums = sums.select(*[f"_k_{p}" for p in parts], *carried)
-    joined = df.withColumns(columns).join(
-        sums, [F.col(p).eqNullSafe(F.col(f"_k_{p}")) for p in parts]
-    )
+    sums = keyed.groupBy(*parts).agg(*totals).select(*parts, *carried)
+    joined = keyed.withColumns(columns).join(sums, parts)
     return joined.select(*df.columns, *[c.alias(n) for n, c in final.items()])
 
 
