@@ -125,7 +125,7 @@ def winsorize(t):
 
 
 @query("""select p_partkey, regexp_replace(regexp_replace(lower(trim(concat('  ', upper(p_name), '''S  -', p_brand, ' '))),
-          '['' -]'[1:2] || '-]', '', 'g'), '\\s+', ' ', 'g') as store_name from part""".replace("'['' -]'[1:2] || '-]'", "'[''-]'"))
+          '[''-]', '', 'g'), '\\s+', ' ', 'g') as store_name from part""")
 def clean_store_name(t):
     rows = t.part.selectExpr("p_partkey", "concat('  ', upper(p_name), '\\'S  -', p_brand, ' ') as s")
     return rows.select("p_partkey", op.clean_store_name("s").alias("store_name"))

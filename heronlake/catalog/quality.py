@@ -1,6 +1,8 @@
 """Quality reports on the test tables."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from heronlake.catalog.registry import mean, query, r, total
 from heronlake.operators import quality as op
@@ -109,7 +111,26 @@ def trip_summary_report(t):
 
 
 OVERVIEW = {
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double",
+                 "c_mktsegment": "string"},
     "supplier": {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+    "part": {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int",
+             "p_retailprice": "double"},
+    "orders": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+               "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"},
+    "lineitem": {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+                 "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+                 "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"},
+    "events": {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string",
+               "value": "double", "props": "string"},
+    "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
+    "embeddings": {"vec_id": "bigint", "embedding": "array<float>", "label": "int"},
+    "pages": {"page_id": "bigint", "url": "string", "html": "string"},
+    "benchmark": {"item_id": "bigint", "text": "string"},
+    "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
+    "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
     "trips": {
         "trip_id": "bigint", "vendor_id": "bigint", "pickup_ts": "timestamp_ntz", "dropoff_ts": "timestamp_ntz",
         "passenger_count": "bigint", "trip_distance": "double", "payment_type": "string", "fare_amount": "double",
@@ -123,7 +144,8 @@ OVERVIEW = {
         count(*) filter (where {c} is null) as null_count from {n}"""
     for n, columns in OVERVIEW.items() for c, k in columns.items()), views="trips")
 def dataset_overview(t):
-    return op.dataset_overview(t.supplier, "supplier").unionByName(op.dataset_overview(t.trips, "trips"))
+    parts = [op.dataset_overview(getattr(t, name), name) for name in OVERVIEW]
+    return reduce(DataFrame.unionAll, parts)
 
 
 @query("""select cast((rn - 1) // 700 as bigint) as batch, count(*) as rows from

@@ -71,7 +71,7 @@ def transactions_per_visit(t):
 def missing_subtasks(t):
     return op.missing_subtasks(
         t.lineitem.groupBy(F.col("l_orderkey").alias("task_id")).agg(F.max("l_linenumber").alias("subtasks_count")),
-        t.lineitem.selectExpr("l_orderkey as task_id", "l_linenumber as subtask_id").distinct(),
+        t.lineitem.selectExpr("l_orderkey as task_id", "l_linenumber as subtask_id"),
     )
 
 

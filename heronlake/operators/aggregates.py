@@ -12,6 +12,7 @@ from heronlake.functions.exact import dec, flag, mean, ratio, rnd, total
 from heronlake.functions.timeparts import RUSH_HOURS, day, month_key, seconds_between
 from heronlake.operators.scalar import bucket_case
 from heronlake.plans.ordered import quantiles
+from heronlake.plans.skew import keep_matching, keys_of
 
 
 def monthly_transactions(txn: DataFrame) -> DataFrame:
@@ -33,8 +34,12 @@ def immediate_delivery_pct(delivery: DataFrame) -> DataFrame:
 
 def first_order_immediate_pct(delivery: DataFrame) -> DataFrame:
     """The same percentage over each customer's first order date only."""
-    first = delivery.groupBy("customer_id").agg(F.min("order_date").alias("order_date"))
-    return immediate_delivery_pct(delivery.join(first, ["customer_id", "order_date"], "left_semi"))
+    same = flag(F.col("order_date") == F.col("pref_date"))
+    dates = delivery.groupBy("customer_id", "order_date").agg(F.sum(same).alias("hits"), F.count("*").alias("n"))
+    first = dates.groupBy("customer_id").agg(
+        F.min_by("hits", "order_date").alias("hits"), F.min_by("n", "order_date").alias("n")
+    )
+    return first.agg(rnd(100 * ratio(F.sum("hits"), F.sum("n"))).alias("immediate_percentage"))
 
 
 def capital_gain_loss(stocks: DataFrame) -> DataFrame:
@@ -134,7 +139,7 @@ def reported_posts(actions: DataFrame, removals: DataFrame) -> DataFrame:
     As in the source statement the denominator counts all posts of the day and
     days without a removed report do not take part.
     """
-    removed = actions.where("extra = 'spam'").join(removals, "post_id", "left_semi")
+    removed = actions.where("extra = 'spam'").join(keys_of(removals, "post_id"), "post_id", "left_semi")
     hits = removed.groupBy("action_date").agg(F.count_distinct("post_id").alias("hits"))
     posts = actions.groupBy("action_date").agg(F.count_distinct("post_id").alias("posts"))
     daily = hits.join(posts, "action_date").select((100 * ratio("hits", "posts")).alias("p"))
@@ -212,10 +217,10 @@ def review_distribution(
     order before the join, so no review x item pairs are built.
     """
     score = F.col("review_score")
-    per_order = reviews.join(orders, "order_id", "left_semi").groupBy("order_id").agg(
+    per_order = reviews.groupBy("order_id").agg(
         F.count("*").alias("n"), F.sum(score).alias("s"),
         F.count_if(score >= 4).alias("hi"), F.count_if(score <= 2).alias("lo"),
-    )
+    ).join(keys_of(orders, "order_id"), "order_id", "left_semi")
     baskets = items.groupBy("order_id", "product_id").agg(F.count("*").alias("m"))
     per_kind = baskets.join(products, "product_id").groupBy("order_id", "category").agg(F.sum("m").alias("m"))
     times = lambda c: F.sum(F.col(c) * F.col("m"))

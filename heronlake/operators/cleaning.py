@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from heronlake.functions.exact import dec, flag, mean, ratio, rnd, total
 from heronlake.functions.timeparts import is_rush_hour, is_weekend, minutes_between
 from heronlake.plans.ordered import quantiles
+from heronlake.plans.skew import attach, keep_matching
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -49,7 +50,8 @@ def flag_and_fill(df: DataFrame, column: str, default) -> DataFrame:
 def fill_group_median(df: DataFrame, key: str, column: str) -> DataFrame:
     """Nulls become the median of their group."""
     medians = quantiles(df, column, {"_median": 0.5}, [key])
-    return df.join(medians, key, "left").withColumn(column, F.coalesce(column, "_median")).drop("_median")
+    groups = df.groupBy(key).agg(F.count("*").alias("_n")).join(medians, key, "left")
+    return attach(df, groups, [key]).withColumn(column, F.coalesce(column, "_median")).drop("_median")
 
 
 def count_exact_duplicates(df: DataFrame) -> DataFrame:
@@ -77,8 +79,8 @@ def dedup_keep(df: DataFrame, keys: list[str], order: list[str], keep: str = "fi
 
 def all_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every row whose key occurs more than once."""
-    repeated = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
-    return df.join(repeated, keys, "left_semi")
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    return keep_matching(df, repeated, keys)
 
 
 def dedup_row_number(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from heronlake.functions.exact import ratio, rnd
+from heronlake.plans.skew import keep_matching
 
 
 def _returns(activity: DataFrame) -> DataFrame:
@@ -29,11 +30,15 @@ def install_retention(activity: DataFrame) -> DataFrame:
 
 def first_year_sales(sales: DataFrame) -> DataFrame:
     """All sales of a product in its first year."""
-    first = sales.groupBy("product_id").agg(F.min("year").alias("year"))
-    return sales.join(first, ["product_id", "year"], "left_semi")
+    years = sales.groupBy("product_id", "year").agg(F.count("*").alias("_n"))
+    first = years.groupBy("product_id").agg(F.min("year").alias("year"), F.min_by("_n", "year").alias("_n"))
+    return keep_matching(sales, first, ["product_id", "year"])
 
 
 def latest_orders_per_product(orders: DataFrame, products: DataFrame) -> DataFrame:
     """All orders on the latest date of each product, ties kept."""
-    last = orders.groupBy("product_id").agg(F.max("order_date").alias("order_date"))
-    return orders.join(last, ["product_id", "order_date"], "left_semi").join(products, "product_id")
+    dates = orders.groupBy("product_id", "order_date").agg(F.count("*").alias("_n"))
+    last = dates.groupBy("product_id").agg(
+        F.max("order_date").alias("order_date"), F.max_by("_n", "order_date").alias("_n")
+    )
+    return keep_matching(orders, last, ["product_id", "order_date"]).join(products, "product_id")

@@ -65,7 +65,7 @@ def page_recommendations(friendship: DataFrame, likes: DataFrame) -> DataFrame:
 def second_degree(follow: DataFrame) -> DataFrame:
     """People who follow someone and are followed, with their follower count."""
     followers = follow.groupBy(F.col("followee").alias("person")).agg(F.count_distinct("follower").alias("num"))
-    active = follow.select(F.col("follower").alias("person"))
+    active = follow.select(F.col("follower").alias("person")).distinct()
     return followers.join(active, "person", "left_semi").select(F.col("person").alias("follower"), "num")
 
 

@@ -12,14 +12,15 @@ from heronlake.plans.ordered import (
     scan,
 )
 from heronlake.plans.shared import cut_lineage
+from heronlake.plans.skew import keep_matching
 
 
 def busy_stadium_runs(stadium: DataFrame, people: int = 100, k: int = 3) -> DataFrame:
     """Rows in runs of at least k consecutive ids with enough people."""
     busy = stadium.where(F.col("people") >= people)
     numbered = row_numbers(order_buckets(busy, "id"), [], ["id"]).withColumn("island", F.col("id") - F.col("rn"))
-    long_runs = numbered.groupBy("island").agg(F.count("*").alias("n")).where(F.col("n") >= k)
-    return numbered.join(long_runs, "island", "left_semi").select(*stadium.columns)
+    long_runs = numbered.groupBy("island").agg(F.count("*").alias("_n")).where(F.col("_n") >= k)
+    return keep_matching(numbered, long_runs, ["island"]).select(*stadium.columns)
 
 
 def continuous_ranges(logs: DataFrame) -> DataFrame:

@@ -12,11 +12,23 @@ from pyspark.sql import DataFrame, functions as F
 from heronlake.functions.exact import dec, flag, mean, ratio, rnd, total
 from heronlake.functions.timeparts import seconds_between
 from heronlake.plans.ordered import interval_runs
+from heronlake.plans.skew import attach, keep_matching, keys_of
 
 
 def person_address(person: DataFrame, address: DataFrame) -> DataFrame:
     """Every person with the address, null when there is none."""
-    return person.join(address, "person_id", "left")
+    return _left_rows(person, address, "person_id")
+
+
+def _left_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left outer join whose right side may hold one key very often.
+
+    Spark splits a crowded key of the right side in an inner join only, so
+    rows with and without a match are found apart.
+    """
+    matched = left.join(right, key)
+    alone = left.join(keys_of(right, key), key, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def managers_min_reports(emp: DataFrame, k: int = 5) -> DataFrame:
@@ -35,8 +47,9 @@ def reports_per_manager(emp: DataFrame) -> DataFrame:
 
 def dept_highest_salary(emp: DataFrame, dept: DataFrame) -> DataFrame:
     """Everyone who earns the department maximum."""
-    best = emp.groupBy("dept_id").agg(F.max("salary").alias("salary"))
-    top = emp.join(best, ["dept_id", "salary"]).join(dept, "dept_id")
+    levels = emp.groupBy("dept_id", "salary").agg(F.count("*").alias("_n"))
+    best = levels.groupBy("dept_id").agg(F.max("salary").alias("salary"), F.max_by("_n", "salary").alias("_n"))
+    top = keep_matching(emp, best, ["dept_id", "salary"]).join(dept, "dept_id")
     return top.select("department", "employee", "salary")
 
 
@@ -54,7 +67,7 @@ def warehouse_volume(stock: DataFrame, product: DataFrame) -> DataFrame:
 
 def employee_bonus(emp: DataFrame, bonus: DataFrame, limit: float = 1000) -> DataFrame:
     """Employees with a bonus under the limit, or with none."""
-    joined = emp.join(bonus, "emp_id", "left")
+    joined = _left_rows(emp, bonus, "emp_id")
     return joined.where((F.col("bonus") < limit) | F.col("bonus").isNull()).select("emp_id", "bonus")
 
 
@@ -106,42 +119,46 @@ def second_item_brand(users: DataFrame, sales: DataFrame, items: DataFrame) -> D
 
 def visits_without_txn(visits: DataFrame, txn: DataFrame) -> DataFrame:
     """Visits without a transaction, counted per customer."""
-    quiet = visits.join(txn, "visit_id", "left_anti")
+    quiet = visits.join(keys_of(txn, "visit_id"), "visit_id", "left_anti")
     return quiet.groupBy("customer_id").agg(F.count("*").alias("count_no_trans"))
 
 
 def sellers_no_sales(sellers: DataFrame, orders: DataFrame, year: int) -> DataFrame:
     """Sellers without an order in one year."""
     active = orders.where(F.year("sale_date") == year)
-    return sellers.join(active, "seller_id", "left_anti").select("seller_name")
+    return sellers.join(keys_of(active, "seller_id"), "seller_id", "left_anti").select("seller_name")
 
 
 def orders_no_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders that no payment row refers to."""
-    return orders.join(payments, "order_id", "left_anti")
+    return orders.join(keys_of(payments, "order_id"), "order_id", "left_anti")
 
 
 def quiet_students(students: DataFrame, exams: DataFrame) -> DataFrame:
     """Students who took an exam and never held its highest or lowest score."""
-    extremes = exams.groupBy("exam_id").agg(F.max("score").alias("hi"), F.min("score").alias("lo"))
-    noisy = exams.join(extremes, "exam_id").where("score = hi or score = lo")
-    return students.join(exams, "student_id", "left_semi").join(
-        noisy.select("student_id"), "student_id", "left_anti"
+    extremes = exams.groupBy("exam_id").agg(
+        F.max("score").alias("hi"), F.min("score").alias("lo"), F.count("*").alias("_n")
+    )
+    noisy = attach(exams, extremes, ["exam_id"]).where("score = hi or score = lo")
+    return students.join(keys_of(exams, "student_id"), "student_id", "left_semi").join(
+        keys_of(noisy, "student_id"), "student_id", "left_anti"
     )
 
 
 def only_in_window(sales: DataFrame, products: DataFrame, start: str, end: str) -> DataFrame:
     """Products sold, and sold only, inside the date window."""
     inside = F.col("sale_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    sold = products.join(sales, "product_id", "left_semi")
-    return sold.join(sales.where(~inside), "product_id", "left_anti")
+    days = sales.groupBy("product_id").agg(F.min(inside).alias("only"))
+    return products.join(days.where("only"), "product_id", "left_semi")
 
 
 def investments_in(policies: DataFrame) -> DataFrame:
     """Later value of policies whose earlier value is shared and whose place is not."""
-    shared = policies.groupBy("tiv_2015").agg(F.count("*").alias("n")).where("n > 1")
-    alone = policies.groupBy("lat", "lon").agg(F.count("*").alias("n")).where("n = 1")
-    kept = policies.join(shared, "tiv_2015", "left_semi").join(alone, ["lat", "lon"], "left_semi")
+    shared = policies.groupBy("tiv_2015").agg(F.count("*").alias("_n")).where("_n > 1")
+    alone = policies.groupBy("lat", "lon").agg(
+        F.count("*").alias("n"), F.first("tiv_2015").alias("tiv_2015"), F.first("tiv_2016").alias("tiv_2016")
+    ).where("n = 1")
+    kept = keep_matching(alone, shared.where("tiv_2015 is not null"), ["tiv_2015"])
     return kept.agg(rnd(total("tiv_2016")).alias("tiv_2016"))
 
 

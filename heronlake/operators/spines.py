@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from heronlake.functions.exact import dec, ratio, rnd
 from heronlake.operators.reshape import MONTHS
+from heronlake.plans.skew import keys_of
 
 
 def month_spine(spark: SparkSession) -> DataFrame:
@@ -97,7 +98,7 @@ def missing_subtasks(tasks: DataFrame, executed: DataFrame) -> DataFrame:
     every = tasks.select(
         "task_id", F.explode(F.sequence(F.lit(1), F.col("subtasks_count"))).alias("subtask_id")
     )
-    return every.join(executed, ["task_id", "subtask_id"], "left_anti")
+    return every.join(keys_of(executed, "task_id", "subtask_id"), ["task_id", "subtask_id"], "left_anti")
 
 
 def missing_ids(ids: DataFrame, column: str) -> DataFrame:
@@ -107,7 +108,7 @@ def missing_ids(ids: DataFrame, column: str) -> DataFrame:
     """
     top = ids.agg(F.max(column)).first()[0] or 0
     every = ids.sparkSession.range(1, top + 1).select(F.col("id").alias("ids"))
-    return every.join(ids.select(F.col(column).alias("ids")), "ids", "left_anti")
+    return every.join(ids.select(F.col(column).alias("ids")).distinct(), "ids", "left_anti")
 
 
 def experiment_matrix(runs: DataFrame, platforms: list[str], experiments: list[str]) -> DataFrame:

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 from heronlake.functions.exact import dec, flag, mean, ratio, rnd, total
 from heronlake.functions.timeparts import month_start
 from heronlake.plans.ordered import order_buckets, row_numbers, scan
+from heronlake.plans.skew import attach, keep_matching
 
 
 def department_top3(emp: DataFrame, dept: DataFrame, k: int = 3) -> DataFrame:
     """Everyone on one of the k highest distinct salaries of a department."""
-    levels = emp.select("dept_id", "salary").distinct()
+    levels = emp.groupBy("dept_id", "salary").agg(F.count("*").alias("_n"))
     order = Window.partitionBy("dept_id").orderBy(F.desc("salary"))
     best = levels.withColumn("rnk", F.row_number().over(order)).where(F.col("rnk") <= k)
-    top = emp.join(best, ["dept_id", "salary"]).join(dept, "dept_id")
+    top = keep_matching(emp, best, ["dept_id", "salary"]).join(dept, "dept_id")
     return top.select("department", "employee", "salary")
 
 
@@ -27,9 +28,9 @@ def rank_scores(scores: DataFrame) -> DataFrame:
 
     Only distinct scores are numbered; the rank is joined back by score.
     """
-    levels = order_buckets(scores.select("score").distinct(), "score")
+    levels = order_buckets(scores.groupBy("score").agg(F.count("*").alias("_n")), "score")
     ranks = scan(levels, [], ["score"], {"rank": ("sum", F.lit(1).cast("long"), True)}, reverse=True)
-    return scores.join(ranks.select("score", "rank"), "score")
+    return attach(scores, ranks.select("score", "rank", "_n"), ["score"])
 
 
 def tournament_winners(players: DataFrame, matches: DataFrame) -> DataFrame:
@@ -47,16 +48,18 @@ def tournament_winners(players: DataFrame, matches: DataFrame) -> DataFrame:
 def most_frequent_products(orders: DataFrame, products: DataFrame) -> DataFrame:
     """The products each customer ordered most often, ties kept."""
     counts = orders.groupBy("customer_id", "product_id").agg(F.count("*").alias("n"))
-    most = counts.groupBy("customer_id").agg(F.max("n").alias("n"))
-    return counts.join(most, ["customer_id", "n"], "left_semi").join(products, "product_id").select(
+    levels = counts.groupBy("customer_id", "n").agg(F.count("*").alias("_n"))
+    most = levels.groupBy("customer_id").agg(F.max("n").alias("n"), F.max_by("_n", "n").alias("_n"))
+    return keep_matching(counts, most, ["customer_id", "n"]).join(products, "product_id").select(
         "customer_id", "product_id", "product_name"
     )
 
 
 def max_txn_per_day(txn: DataFrame) -> DataFrame:
     """Transactions with the highest amount of their day, ties kept."""
-    most = txn.groupBy("day").agg(F.max("amount").alias("amount"))
-    return txn.join(most, ["day", "amount"], "left_semi").select("transaction_id")
+    levels = txn.groupBy("day", "amount").agg(F.count("*").alias("_n"))
+    most = levels.groupBy("day").agg(F.max("amount").alias("amount"), F.max_by("_n", "amount").alias("_n"))
+    return keep_matching(txn, most, ["day", "amount"]).select("transaction_id")
 
 
 def top_sellers_per_state(items: DataFrame, sellers: DataFrame, k: int = 3) -> DataFrame:
@@ -86,14 +89,16 @@ def second_most_recent(activity: DataFrame) -> DataFrame:
 
 def team_size(emp: DataFrame) -> DataFrame:
     """Size of each employee's team."""
-    sizes = emp.groupBy("team_id").agg(F.count("*").alias("team_size"))
-    return emp.join(sizes, "team_id").select("employee_id", "team_size")
+    sizes = emp.groupBy("team_id").agg(F.count("*").alias("team_size"), F.count("*").alias("_n"))
+    return attach(emp, sizes, ["team_id"]).select("employee_id", "team_size")
 
 
 def active_businesses(events: DataFrame) -> DataFrame:
     """Businesses above the mean of more than one event type."""
-    means = events.groupBy("event_type").agg(ratio(F.sum("occurrences"), F.count("*")).alias("m"))
-    above = events.join(means, "event_type").where("occurrences > m")
+    means = events.groupBy("event_type").agg(
+        ratio(F.sum("occurrences"), F.count("*")).alias("m"), F.count("*").alias("_n")
+    )
+    above = attach(events, means, ["event_type"]).where("occurrences > m")
     return above.groupBy("business_id").agg(F.count("*").alias("n")).where("n > 1").select("business_id")
 
 
@@ -167,9 +172,8 @@ def hiring_budget(candidates: DataFrame, budget: float = 70000) -> DataFrame:
 def median_rows(emp: DataFrame) -> DataFrame:
     """The middle row, or the two middle rows, of each company by salary."""
     ranged = order_buckets(emp, "salary", "id")
-    numbered = row_numbers(ranged, ["company"], ["salary", "id"])
-    sizes = emp.groupBy("company").agg(F.count("*").alias("n"))
-    joined = numbered.join(sizes, "company")
+    one = F.lit(1).cast("long")
+    joined = scan(ranged, ["company"], ["salary", "id"], {"rn": ("sum", one, True), "n": ("total", one, True)})
     return joined.where("rn * 2 >= n and rn * 2 <= n + 2").select("id", "company", "salary")
 
 
@@ -177,10 +181,10 @@ def frequency_median(numbers: DataFrame) -> DataFrame:
     """Median of numbers given with their frequency."""
     counts = numbers.groupBy("num").agg(F.sum("frequency").alias("frequency"))
     ranged = order_buckets(counts, "num")
-    run = scan(ranged, [], ["num"], {"upto": ("sum", F.col("frequency"), True)})
-    everything = counts.agg(F.sum("frequency")).scalar()
+    size = F.col("frequency")
+    run = scan(ranged, [], ["num"], {"upto": ("sum", size, True), "all": ("total", size, True)})
     after = F.col("all") - F.col("upto") + F.col("frequency")
-    middle = run.withColumn("all", everything).where(
+    middle = run.where(
         (F.col("upto") * 2 >= F.col("all")) & (after * 2 >= F.col("all"))
     )
     return middle.agg(rnd(mean("num"), 1).alias("median"))
@@ -213,9 +217,11 @@ def hourly_drop_flag(trips: DataFrame, drop: float = -20) -> DataFrame:
 
 def group_outlier_flag(trips: DataFrame, key: str, value: str, width: float = 2) -> DataFrame:
     """Each row with whether it lies over its group's mean plus two deviations."""
-    stats = trips.groupBy(key).agg(mean(value).alias("_m"), F.stddev_samp(value).alias("_s"))
+    stats = trips.groupBy(key).agg(
+        mean(value).alias("_m"), F.stddev_samp(value).alias("_s"), F.count("*").alias("_n")
+    )
     high = F.col(value) > F.col("_m") + width * F.col("_s")
-    return trips.join(stats, key).withColumn("is_outlier", F.coalesce(high, F.lit(False))).drop("_m", "_s")
+    return attach(trips, stats, [key]).withColumn("is_outlier", F.coalesce(high, F.lit(False))).drop("_m", "_s")
 
 
 def vendor_vs_overall(trips: DataFrame) -> DataFrame:
@@ -230,8 +236,8 @@ def vendor_vs_overall(trips: DataFrame) -> DataFrame:
 
 def pct_of_group(df: DataFrame, key: str, value: str) -> DataFrame:
     """Each value as percent of the total of its group, four places."""
-    sums = df.groupBy(key).agg(total(value).alias("_t"))
-    return df.join(sums, key).withColumn("pct_of_group", rnd(100 * ratio(value, "_t"), 4)).drop("_t")
+    sums = df.groupBy(key).agg(total(value).alias("_t"), F.count("*").alias("_n"))
+    return attach(df, sums, [key]).withColumn("pct_of_group", rnd(100 * ratio(value, "_t"), 4)).drop("_t")
 
 
 def average_rank(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -239,5 +245,4 @@ def average_rank(df: DataFrame, column: str, out: str) -> DataFrame:
     levels = order_buckets(df.groupBy(column).agg(F.count("*").alias("_n")), column)
     ranked = scan(levels, [], [column], {"_ahead": ("sum", F.col("_n"), False)}, reverse=True)
     shared = F.col("_ahead") + (F.col("_n") + 1) / F.lit(2.0)
-    ranks = ranked.select(F.col(column), F.floor(shared).cast("int").alias(out))
-    return df.join(ranks, column)
+    return attach(df, ranked.select(column, F.floor(shared).cast("int").alias(out), "_n"), [column])

@@ -90,7 +90,8 @@ def scan(
     """Add running values to a frame that went through :func:`order_buckets`.
 
     ``specs`` maps an output name to ``(kind, column, inclusive)`` with kind
-    ``sum``, ``product``, ``min``, ``max`` or ``last`` (latest non-null value).  An
+    ``sum``, ``product``, ``min``, ``max`` or ``last`` (latest non-null value),
+    or ``total`` for the sum over the whole key.  An
     exclusive value looks only at earlier rows; with ``reverse`` at later ones.
     """
     direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
@@ -104,7 +105,11 @@ def scan(
     for name, (kind, value, inclusive) in specs.items():
         frame = local.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
         here, before = F.col(f"_l_{name}"), F.col(f"_c_{name}")
-        if kind == "last":
+        if kind == "total":
+            totals.append(F.sum(value).alias(f"_t_{name}"))
+            carried.append(F.sum(f"_t_{name}").over(Window.partitionBy(*groups)).alias(f"_c_{name}"))
+            final[name] = before
+        elif kind == "last":
             columns[f"_l_{name}"] = F.last(value, ignorenulls=True).over(frame)
             pick = F.min_by if reverse else F.max_by
             totals.append(pick(value, F.when(value.isNotNull(), stamp)).alias(f"_t_{name}"))
@@ -155,14 +160,8 @@ def quantiles(
     keys = keys or []
     rows = df.where(F.col(value).isNotNull()).select(*keys, value)
     counts = order_buckets(rows, value).groupBy(*keys, value, BUCKET).agg(F.count("*").alias("_n"))
-    ranked = scan(counts, keys, [value], {"_cum": ("sum", F.col("_n"), True)})
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_all"))
-    if keys:
-        renamed = sizes.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_all")
-        on = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
-        ranked = ranked.join(renamed, on).drop(*[f"_s_{k}" for k in keys])
-    else:
-        ranked = ranked.withColumn("_all", sizes.select("_all").scalar())
+    size = F.col("_n")
+    ranked = scan(counts, keys, [value], {"_cum": ("sum", size, True), "_all": ("total", size, True)})
     picks = []
     for name, p in probs.items():
         at = F.lit(float(p)) * (F.col("_all") - 1)

@@ -30,6 +30,15 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str], rows: str = ROWS) -
     return heavy.unionAll(light)
 
 
+def keys_of(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct keys for the right side of a semi or anti join.
+
+    Copies of a key are dropped before the shuffle, so a key that fills much
+    of the table does not gather in one task.
+    """
+    return df.select(*columns).distinct()
+
+
 def keep_matching(df: DataFrame, stats: DataFrame, keys: list[str], rows: str = ROWS) -> DataFrame:
     """Rows whose key is in ``stats``."""
     return attach(df, stats.select(*keys, rows), keys, rows)
