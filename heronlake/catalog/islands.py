@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from heronlake.catalog.registry import query
 from heronlake.functions.timeparts import day
 from heronlake.operators import islands as op
+from heronlake.plans.shared import cut_lineage
 
 DAYS = """select datediff('day', date '2024-01-01', cast(ts as date)) as id, cast(ts as date) as visit_date,
     count(*) as people from events group by 1, 2"""
@@ -116,7 +117,7 @@ def merge_intervals(t):
 @query(f"""with i as ({SHORT} union all select timestamp '2024-01-10 00:00:00', timestamp '2024-01-10 12:00:00'),
            {merged('i')} select a as start_ts, b as end_ts from u""")
 def insert_interval(t):
-    disjoint = op.merge_intervals(short_sessions(t), "start_ts", "end_ts")
+    disjoint = cut_lineage(op.merge_intervals(short_sessions(t), "start_ts", "end_ts"))
     new = t.spark.sql("""select timestamp_ntz'2024-01-10 00:00:00' as start_ts,
                          timestamp_ntz'2024-01-10 12:00:00' as end_ts""")
     return op.insert_interval(disjoint, new, "start_ts", "end_ts")

@@ -134,16 +134,16 @@ def erase_overlaps(intervals: DataFrame, key: str, start: str, end: str) -> Data
 
 def max_concurrency(intervals: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     """Most intervals open at once; one that ends frees its place first."""
-    opens = intervals.groupBy(*keys, F.col(start).alias("at")).agg(F.count("*").alias("d"))
-    closes = intervals.groupBy(*keys, F.col(end).alias("at")).agg((-F.count("*")).alias("d"))
-    steps = opens.unionByName(closes).groupBy(*keys, "at").agg(F.sum("d").alias("d"))
+    edge = lambda c, d: F.struct(F.col(c).alias("at"), F.lit(d).alias("d"))
+    edges = intervals.select(*keys, F.explode(F.array(edge(start, 1), edge(end, -1))).alias("_e"))
+    steps = edges.select(*keys, "_e.*").groupBy(*keys, "at").agg(F.sum("d").alias("d"))
     run = scan(order_buckets(steps, "at"), keys, ["at"], {"open": ("sum", F.col("d"), True)})
     return run.groupBy(*keys).agg(F.max("open").alias("max_open"))
 
 
 def partition_by_key_span(seq: DataFrame, keys: list[str], order: list[str], letter: str) -> DataFrame:
     """Cut each sequence so that no letter lies in two pieces; piece lengths."""
-    numbered = row_numbers(order_buckets(seq, order[0], order[-1]), keys, order, "pos")
-    spans = numbered.groupBy(*keys, letter).agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    numbered = row_numbers(order_buckets(seq, order[0], order[-1]), keys, order, "_pos")
+    spans = numbered.groupBy(*keys, letter).agg(F.min("_pos").alias("first"), F.max("_pos").alias("last"))
     pieces = interval_runs(spans, keys, "first", "last")
     return pieces.select(*keys, "first", (F.col("last") - F.col("first") + 1).alias("length"))

@@ -53,16 +53,17 @@ def interview_candidates(contests: DataFrame, k: int = 3) -> DataFrame:
 def team_scores(teams: DataFrame, matches: DataFrame) -> DataFrame:
     """League table: matches, points, goals for, against and their difference."""
 
-    def side(own: str, other: str) -> DataFrame:
+    def side(own: str, other: str):
         mine, theirs = F.col(f"{own}_goals"), F.col(f"{other}_goals")
         points = F.when(mine > theirs, 3).when(mine == theirs, 1).otherwise(0)
-        return matches.groupBy(F.col(f"{own}_team").alias("team_id")).agg(
-            F.count("*").alias("n"), F.sum(points).alias("p"), F.sum(mine).alias("f"), F.sum(theirs).alias("a")
+        return F.struct(
+            F.col(f"{own}_team").alias("team_id"), points.alias("p"), mine.alias("f"), theirs.alias("a")
         )
 
-    both = side("host", "guest").unionByName(side("guest", "host")).groupBy("team_id").agg(
-        F.sum("n").alias("matches_played"), F.sum("p").alias("points"),
-        F.sum("f").alias("goal_for"), F.sum("a").alias("goal_against"),
+    sides = F.explode(F.array(side("host", "guest"), side("guest", "host")))
+    both = matches.select(sides.alias("m")).groupBy("m.team_id").agg(
+        F.count("*").alias("matches_played"), F.sum("m.p").alias("points"),
+        F.sum("m.f").alias("goal_for"), F.sum("m.a").alias("goal_against"),
     )
     diff = F.col("goal_for") - F.col("goal_against")
     return teams.join(both, "team_id").withColumn("goal_diff", diff).orderBy(

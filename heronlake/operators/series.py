@@ -66,18 +66,32 @@ def count_runs_with_sum(df: DataFrame, keys: list[str], order: list[str], value:
     seen so far are counted along the order, per sum, so no pair of rows is
     built.
     """
+    marks = _marks(df, keys, order, value, total)
+    seen = scan(
+        order_buckets(marks, "_pos"), [*keys, "_at"], ["_pos", "_start"],
+        {"_seen": ("sum", F.col("_start").cast("long"), True)},
+    )
+    counts = F.sum(F.when(F.col("_start") == 0, F.col("_seen")).otherwise(0))
+    return seen.groupBy(*keys).agg(counts.alias("runs"))
+
+
+def _marks(df: DataFrame, keys: list[str], order: list[str], value: str, total: int) -> DataFrame:
+    """Running sums as possible starts, and the sums a run that ends here needs.
+
+    Columns: position, sum (``_at``) and whether the mark is a start.  Position
+    0 is the start before the first row.
+    """
     sums = scan(
         _ranged(df, order), keys, order,
         {"_p": ("sum", F.col(value), True), "_pos": ("sum", F.lit(1).cast("long"), True)},
-    ).select(*keys, "_pos", "_p")
-    zero = F.lit(0).cast("long")
-    first = df.select(*keys).distinct().select(*keys, zero.alias("_pos"), zero.alias("_p"))
-    opened = sums.unionByName(first).select(*keys, "_pos", F.col("_p").alias("_at"), F.lit(1).alias("_open"))
-    closed = sums.select(*keys, "_pos", (F.col("_p") - total).alias("_at"), F.lit(0).alias("_open"))
-    marks = order_buckets(opened.unionByName(closed), "_pos")
-    seen = scan(marks, [*keys, "_at"], ["_pos", "_open"], {"_seen": ("sum", F.col("_open").cast("long"), True)})
-    counts = F.sum(F.when(F.col("_open") == 0, F.col("_seen")).otherwise(0))
-    return seen.groupBy(*keys).agg(counts.alias("runs"))
+    )
+    mark = lambda pos, at, start: F.struct(
+        pos.cast("long").alias("_pos"), at.cast("long").alias("_at"), F.lit(start).alias("_start")
+    )
+    p, pos, zero = F.col("_p"), F.col("_pos"), F.lit(0)
+    here = [mark(pos, p, 1), mark(pos, p - total, 0)]
+    both = F.when(pos == 1, F.array(mark(zero, zero, 1), *here)).otherwise(F.array(*here))
+    return sums.select(*keys, F.explode(both).alias("_m")).select(*keys, "_m.*")
 
 
 def shortest_run_at_least(df: DataFrame, keys: list[str], order: list[str], value: str, target: int) -> DataFrame:
@@ -86,19 +100,12 @@ def shortest_run_at_least(df: DataFrame, keys: list[str], order: list[str], valu
     For every row the latest start whose sum before it is low enough is found
     by sorting sums and targets together.
     """
-    sums = scan(
-        _ranged(df, order), keys, order,
-        {"_p": ("sum", F.col(value), True), "_pos": ("sum", F.lit(1).cast("long"), True)},
-    ).select(*keys, "_pos", "_p")
-    zero = F.lit(0).cast("long")
-    first = df.select(*keys).distinct().select(*keys, zero.alias("_pos"), zero.alias("_p"))
-    starts = sums.unionByName(first).select(*keys, "_pos", F.col("_p").alias("_at"), F.lit(0).alias("_ask"))
-    asked = sums.select(*keys, "_pos", (F.col("_p") - target).alias("_at"), F.lit(1).alias("_ask"))
-    marks = order_buckets(starts.unionByName(asked), "_at")
-    start = F.when(F.col("_ask") == 0, F.col("_pos"))
-    found = scan(marks, keys, ["_at", "_ask", "_pos"], {"_start": ("last", start, True)})
-    length = F.when(F.col("_ask") == 1, F.col("_pos") - F.col("_start"))
-    return found.groupBy(*keys).agg(F.coalesce(F.min(length), zero).alias("length"))
+    marks = order_buckets(_marks(df, keys, order, value, target), "_at")
+    start = F.when(F.col("_start") == 1, F.col("_pos"))
+    asked = marks.withColumn("_ask", 1 - F.col("_start"))
+    found = scan(asked, keys, ["_at", "_ask", "_pos"], {"_from": ("last", start, True)})
+    length = F.when(F.col("_ask") == 1, F.col("_pos") - F.col("_from"))
+    return found.groupBy(*keys).agg(F.coalesce(F.min(length), F.lit(0).cast("long")).alias("length"))
 
 
 def next_greater_gap(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
@@ -164,6 +171,7 @@ def running_median(
         *keys, *[o for o in order if o not in keys], "rn", F.col(value).cast("double").alias("_x"),
         part("rn").alias("_p"), part("_vr").alias("_v"),
     )
+    rows = cut_lineage(rows)
     cells = rows.groupBy(*keys, "_p", "_v").agg(F.count("*").alias("_n"))
     size = cells.groupBy(*keys).agg(F.max("_p").alias("_last")).where("_last > 0")
     upto = F.explode(F.sequence(F.lit(0).cast("long"), "_last"))

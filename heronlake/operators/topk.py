@@ -23,11 +23,8 @@ def kth_largest(numbers: DataFrame, column: str, k: int) -> DataFrame:
 
 def most_friends(requests: DataFrame) -> DataFrame:
     """The person with most accepted requests on either side."""
-    sides = [
-        requests.groupBy(F.col(c).alias("id")).agg(F.count("*").alias("num"))
-        for c in ("requester_id", "accepter_id")
-    ]
-    both = sides[0].unionByName(sides[1]).groupBy("id").agg(F.sum("num").alias("num"))
+    sides = F.explode(F.array("requester_id", "accepter_id"))
+    both = requests.select(sides.alias("id")).groupBy("id").agg(F.count("*").alias("num"))
     return both.orderBy(F.desc("num"), "id").limit(1)
 
 

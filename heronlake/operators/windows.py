@@ -35,11 +35,11 @@ def rank_scores(scores: DataFrame) -> DataFrame:
 
 def tournament_winners(players: DataFrame, matches: DataFrame) -> DataFrame:
     """Best player per group by total points, the smaller id on a tie."""
-    sides = [
-        matches.groupBy(F.col(f"{s}_player").alias("player_id")).agg(F.sum(f"{s}_score").alias("points"))
-        for s in ("first", "second")
-    ]
-    points = sides[0].unionByName(sides[1]).groupBy("player_id").agg(F.sum("points").alias("points"))
+    side = lambda s: F.struct(
+        F.col(f"{s}_player").alias("player_id"), F.col(f"{s}_score").alias("score")
+    )
+    sides = matches.select(F.explode(F.array(side("first"), side("second"))).alias("m")).select("m.*")
+    points = sides.groupBy("player_id").agg(F.sum("score").alias("points"))
     scored = players.join(points, "player_id")
     best = F.max_by("player_id", F.struct("points", -F.col("player_id")))
     return scored.groupBy("group_id").agg(best.alias("player_id"))

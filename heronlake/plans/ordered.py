@@ -44,7 +44,8 @@ def order_buckets(
     """Add ``_bucket``, a range number that grows with ``order_col``.
 
     A single order value that fills whole ranges (a third of the rows at one
-    time stamp) is split further by ranges of ``tie_col``.
+    time stamp) is split further by ranges of ``tie_col``; it opens its range,
+    so the other values there come after all of its parts.
     """
     n = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     seen = Counter(_cuts(df, order_col, n))
@@ -54,8 +55,8 @@ def order_buckets(
         dtype = dict(df.dtypes)[order_col]
         crowded = as_number(order_col, dtype).isin(heavy)
         out = _ranged(out, tie_col, sorted(set(_cuts(df, tie_col, n))), "_tie")
-        step = F.when(crowded, F.col("_tie")).otherwise(F.lit(0))
-        out = out.withColumn(BUCKET, F.col(BUCKET) * n + step).drop("_tie")
+        step = F.when(crowded, F.col("_tie")).otherwise(F.lit(n))
+        out = out.withColumn(BUCKET, F.col(BUCKET) * (n + 1) + step).drop("_tie")
     return out
 
 
