@@ -260,16 +260,35 @@ def late_delivery_by_state(orders: DataFrame, customers: DataFrame) -> DataFrame
 
 
 def revenue_rollup(items: DataFrame, sellers: DataFrame) -> DataFrame:
-    """Orders and revenue per state and city with subtotals and a grand total."""
-    rolled = items.join(sellers, "seller_id").rollup("seller_state", "seller_city").agg(
-        F.grouping("seller_state").alias("all_states"), F.grouping("seller_city").alias("all_cities"),
-        F.count_distinct("order_id").alias("total_orders"), rnd(total("price")).alias("revenue"),
-    )
-    return rolled.select(
-        F.when(F.col("all_states") == 1, "ALL STATES").otherwise(F.col("seller_state")).alias("state"),
-        F.when(F.col("all_cities") == 1, "ALL CITIES").otherwise(F.col("seller_city")).alias("city"),
-        "total_orders", "revenue",
-    )
+    """Orders and revenue per state and city with subtotals and a grand total.
+
+    An order may have sellers in several cities, so each level counts orders of
+    its own.  The levels share one table of (state, city, order) sums; a plain
+    rollup would copy every row once per level before the distinct count.  A
+    state that is really null keeps its null and is no subtotal.
+    """
+    sold = items.join(sellers, "seller_id").groupBy("seller_state", "seller_city", "order_id").agg(
+        F.sum(dec("price")).alias("p")
+    )
+    by_city = sold.groupBy("seller_state", "seller_city").agg(F.count("*").alias("n"), F.sum("p").alias("p"))
+
+    def above(by: list[str]) -> DataFrame:
+        orders = sold.select(*by, "order_id").distinct().groupBy(*by).agg(F.count("*").alias("n"))
+        sums = by_city.groupBy(*by).agg(F.sum("p").alias("p"))
+        both = orders.unionByName(sums, allowMissingColumns=True)
+        return both.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
+
+    every_state, every_city = F.lit("ALL STATES"), F.lit("ALL CITIES")
+    levels = (
+        (by_city, F.col("seller_state"), F.col("seller_city")),
+        (above(["seller_state"]), F.col("seller_state"), every_city),
+        (above([]), every_state, every_city),
+    )
+    rows = [
+        df.select(state.alias("state"), city.alias("city"), F.col("n").alias("total_orders"), rnd("p").alias("revenue"))
+        for df, state, city in levels
+    ]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2])
 
 
 def group_sum(df: DataFrame, keys: list[str], value: str) -> DataFrame:

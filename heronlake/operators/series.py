@@ -91,7 +91,7 @@ def _marks(df: DataFrame, keys: list[str], order: list[str], value: str, total:
     p, pos, zero = F.col("_p"), F.col("_pos"), F.lit(0)
     here = [mark(pos, p, 1), mark(pos, p - total, 0)]
     both = F.when(pos == 1, F.array(mark(zero, zero, 1), *here)).otherwise(F.array(*here))
-    return sums.select(*keys, F.explode(both).alias("_m")).select(*keys, "_m.*")
+    return cut_lineage(sums.select(*keys, F.explode(both).alias("_m")).select(*keys, "_m.*"))
 
 
 def shortest_run_at_least(df: DataFrame, keys: list[str], order: list[str], value: str, target: int) -> DataFrame:

@@ -53,11 +53,12 @@ def can_construct(notes: DataFrame, magazines: DataFrame, key: str) -> DataFrame
 
 def prefix_lookup(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
     """For every query whether it is a word and whether some word starts with it."""
-    asked = queries.select("word").distinct()
-    starts = F.transform(F.sequence(F.lit(1), F.length("word")), lambda n: F.substring(F.col("word"), F.lit(1), n))
-    prefixes = vocabulary.select(F.explode(starts).alias("word")).distinct()
-    exact = vocabulary.select("word").distinct().withColumn("_word", F.lit(True))
-    begun = asked.join(prefixes, "word", "left_semi").withColumn("_prefix", F.lit(True))
-    return asked.join(exact, "word", "left").join(begun, "word", "left").select(
-        "word", F.coalesce("_word", F.lit(False)).alias("is_word"), F.coalesce("_prefix", F.lit(False)).alias("is_prefix")
+    size = F.length("word")
+    starts = F.transform(
+        F.sequence(F.lit(1), size),
+        lambda n: F.struct(F.substring(F.col("word"), F.lit(1), n).alias("word"), (n == size).alias("whole")),
+    )
+    prefixes = vocabulary.select(F.explode(starts).alias("p")).groupBy("p.word").agg(F.max("p.whole").alias("whole"))
+    return queries.select("word").distinct().join(prefixes, "word", "left").select(
+        "word", F.coalesce("whole", F.lit(False)).alias("is_word"), F.col("whole").isNotNull().alias("is_prefix")
     )

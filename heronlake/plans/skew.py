@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 ROWS = "_n"
 
+# A table of this many rows fits one task, so no key of it needs care.
+SMALL = 1_000_000
+
 
 def attach(df: DataFrame, stats: DataFrame, keys: list[str], rows: str = ROWS) -> DataFrame:
     """Inner join of rows with one row of facts per key.
