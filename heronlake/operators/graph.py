@@ -28,9 +28,10 @@ def mutual_friends(friendship: DataFrame, k: int = 3) -> DataFrame:
     edges = cut_lineage(pairs.where("user_id < friend_id").select(
         F.col("user_id").alias("a"), F.col("friend_id").alias("b")
     ))
-    degree = pairs.groupBy("user_id").agg(F.count("*").alias("d"))
-    at = lambda c, out: degree.select(F.col("user_id").alias(c), F.col("d").alias(out))
-    ranked = edges.join(at("a", "da"), "a").join(at("b", "db"), "b")
+    degree = edges.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("d"))
+    degree, most = cut_lineage(degree), edges.count()
+    at = lambda c: degree.select(F.col("id").alias(c), F.col("d").alias(f"d{c}"), F.col("d").alias("_n"))
+    ranked = attach(attach(edges, at("a"), ["a"], known_rows=most), at("b"), ["b"], known_rows=most)
     up = F.struct("da", "a") < F.struct("db", "b")
     links = cut_lineage(ranked.select(
         F.when(up, F.col("a")).otherwise(F.col("b")).alias("lo"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("hi")
@@ -156,11 +157,12 @@ def node_depths(tree: DataFrame) -> DataFrame:
     nodes = cut_lineage(tree.select(
         "id", F.when(has_parent, F.col("parent")).alias("up"), F.when(has_parent, 1).otherwise(0).cast("long").alias("depth")
     ))
+    most = nodes.count()
     while not nodes.where("up is not null").isEmpty():
         open_nodes = nodes.where("up is not null")
         wanted = open_nodes.groupBy("up").agg(F.count("*").alias("_n"))
         above = nodes.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_d"))
-        moved = attach(open_nodes, wanted.join(above, "up"), ["up"]).select(
+        moved = attach(open_nodes, wanted.join(above, "up"), ["up"], known_rows=most).select(
             "id", F.col("_up").alias("up"), (F.col("depth") + F.col("_d")).alias("depth")
         )
         nodes = cut_lineage(nodes.where("up is null").unionAll(moved))

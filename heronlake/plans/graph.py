@@ -9,11 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from heronlake.plans.shared import cut_lineage
-from heronlake.plans.skew import SMALL, attach
-
-
-def _join_small(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(stats.drop("_n"), keys)
+from heronlake.plans.skew import attach
 
 
 def component_roots(edges: DataFrame) -> DataFrame:
@@ -26,17 +22,17 @@ def component_roots(edges: DataFrame) -> DataFrame:
     u, v = F.greatest("src", "dst"), F.least("src", "dst")
     stars = cut_lineage(edges.where("src <> dst").select(u.alias("u"), v.alias("v")).distinct())
     # no round makes more edges than there were
-    give = _join_small if stars.count() * 2 <= SMALL else attach
+    most = 2 * stars.count()
     seen = None
     while True:
         both = stars.unionAll(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(
             F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("_n")
         )
-        large = give(both.where("v > u"), lowest, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = attach(both.where("v > u"), lowest, ["u"], known_rows=most).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = cut_lineage(large.where("u <> v").distinct())
         lowest = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n"))
-        small = give(large, lowest, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = attach(large, lowest, ["u"], known_rows=most).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionAll(lowest.select("u", F.col("m").alias("v")))
         stars = cut_lineage(small.where("u <> v").distinct())
         state = stars.agg(
@@ -70,16 +66,19 @@ def is_acyclic(edges: DataFrame) -> bool:
     logarithm; a cycle ends as an edge from a node to itself.
     """
     left = cut_lineage(edges.select("src", "dst").distinct())
-    turn = 0
+    most, turn = left.count(), 0
     while True:
         if left.isEmpty():
             return True
         if not left.where("src = dst").isEmpty():
             return False
         turn += 1
-        starts, ends = left.select(F.col("src").alias("id")), left.select(F.col("dst").alias("id"))
-        kept = left.join(ends.distinct().withColumnRenamed("id", "src"), "src", "left_semi")
-        kept = cut_lineage(kept.join(starts.distinct().withColumnRenamed("id", "dst"), "dst", "left_semi"))
+        leaving = left.groupBy("src").agg(F.count("*").alias("_n"))
+        coming = left.groupBy("dst").agg(F.count("*").alias("_n"))
+        live_src = leaving.join(coming.select(F.col("dst").alias("src")), "src", "left_semi")
+        live_dst = coming.join(leaving.select(F.col("src").alias("dst")), "dst", "left_semi")
+        kept = attach(left, live_src, ["src"], known_rows=most)
+        kept = cut_lineage(attach(kept, live_dst, ["dst"], known_rows=most))
         into = kept.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("i"), F.first("src").alias("before"))
         out = kept.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("o"), F.first("dst").alias("after"))
         coin = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit(turn)), F.lit(2))
@@ -87,9 +86,9 @@ def is_acyclic(edges: DataFrame) -> bool:
             (coin("id") == 1) & (coin("before") == 0)
         )
         bridges = cut_lineage(bridges.select("id", "before", "after"))
-        gone = bridges.select("id")
-        rest = kept.join(gone.withColumnRenamed("id", "src"), "src", "left_anti").join(
-            gone.withColumnRenamed("id", "dst"), "dst", "left_anti"
+        gone = bridges.select(F.col("before").alias("src"), F.col("id").alias("dst")).unionAll(
+            bridges.select(F.col("id").alias("src"), F.col("after").alias("dst"))
         )
+        rest = kept.join(gone, ["src", "dst"], "left_anti")
         new = bridges.select(F.col("before").alias("src"), F.col("after").alias("dst"))
         left = cut_lineage(rest.select("src", "dst").unionAll(new).distinct())

@@ -10,23 +10,28 @@ ROWS = "_n"
 SMALL = 1_000_000
 
 
-def attach(df: DataFrame, stats: DataFrame, keys: list[str], rows: str = ROWS) -> DataFrame:
+def attach(
+    df: DataFrame, stats: DataFrame, keys: list[str], rows: str = ROWS, known_rows: int | None = None
+) -> DataFrame:
     """Inner join of rows with one row of facts per key.
 
     ``stats`` carries the row count of each key in ``rows``.  Keys above the
     mean partition size are at most as many as there are partitions, so their
     facts are broadcast and their rows never move; all other keys are joined
-    by hash as usual.  Null keys match.
+    by hash as usual.  Null keys match.  A table known to be small is joined
+    as it is.
     """
+    facts = [c for c in stats.columns if c not in keys and c != rows]
     parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     limit = stats.agg(F.sum(rows) / F.lit(parts)).scalar()
     named = stats.select(
         *[F.col(k).alias(f"_j_{k}") for k in keys], *[c for c in stats.columns if c not in keys]
     )
     on = [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys]
+    if known_rows is not None and known_rows <= SMALL:
+        return df.join(named, on).select(*df.columns, *facts)
     hot = F.broadcast(named.where(F.col(rows) > limit))
     cold = named.where(F.col(rows) <= limit)
-    facts = [c for c in stats.columns if c not in keys and c != rows]
     out = [*df.columns, *facts]
     heavy = df.join(hot, on).select(*out)
     light = df.join(hot, on, "left_anti").join(cold, on).select(*out)

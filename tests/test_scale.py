@@ -211,3 +211,26 @@ def test_plans(spark):
         assert "CartesianProduct" not in plan(name) and "NestedLoop" not in plan(name)
     assert "TakeOrdered" in plan("kth_largest")
     assert "WindowGroupLimit" in plan("second_most_recent")
+
+
+def test_skewed_paths_equal_the_small_ones(spark, monkeypatch):
+    """The loops take the broadcast path for crowded nodes when no table counts as small."""
+    from heronlake.operators import graph
+    from heronlake.plans import skew
+
+    rng = random.Random(4)
+    star = [(0, i) for i in range(1, 60)] + [(rng.randrange(60, 90), rng.randrange(60, 90)) for _ in range(40)]
+    edges = spark.createDataFrame(star, "src long, dst long")
+    nodes = spark.range(100)
+    friends = edges.where("src <> dst").selectExpr("src as user1_id", "dst as user2_id")
+    tree = spark.createDataFrame([(i, 0 if i < 80 else i - 1) for i in range(1, 100)] + [(0, None)], "id long, parent long")
+    jobs_ = lambda: [
+        sorted(map(tuple, df.collect()))
+        for df in (
+            graph.connected_components(nodes, edges), graph.mutual_friends(friends, 1),
+            graph.has_no_cycle(edges.where("src = 0")), graph.hierarchy_levels(tree),
+        )
+    ]
+    small = jobs_()
+    monkeypatch.setattr(skew, "SMALL", 0)
+    assert jobs_() == small
