@@ -65,7 +65,7 @@ def grid_islands(t):
            w(r, c, n) as (select r, c, 0 from p where v >= 20 union
                select b.r, b.c, a.n + 1 from w a join p b on {NEXT} where a.n < 60),
            s as (select r, c, min(n) as n from w group by 1, 2)
-           select case when (select count(*) from s) = (select count(*) from p) then (select max(n) from s)
+           select case when (select count(*) from s) = (select count(*) from p) then (select coalesce(max(n), 0) from s)
                else -1 end as minutes""", views="grid")
 def spread_minutes(t):
     return op.spread_minutes(t.grid, 12, 20)
