@@ -16,15 +16,15 @@ def mutual_friends(t):
     return op.mutual_friends(consecutive_pairs(t.lineitem, "l_partkey"), 3)
 
 
-@query("""with f as (select user1_id as u, user2_id as f from supplier_links union
-              select user2_id, user1_id from supplier_links),
-          l as (select distinct l_suppkey as u, l_partkey as p from lineitem)
+@query("""with f as (select user1_id as u, user2_id as f from part_links union
+              select user2_id, user1_id from part_links),
+          l as (select distinct l_partkey as u, l_suppkey as p from lineitem)
           select f.u as user_id, l.p as page_id, count(distinct f.f) as friends_likes from f join l on l.u = f.f
           where not exists (select 1 from l o where o.u = f.u and o.p = l.p) group by 1, 2""",
-       views="line_rows supplier_links")
+       views="line_rows part_links")
 def page_recommendations(t):
     return op.page_recommendations(
-        consecutive_pairs(t.lineitem, "l_suppkey"), t.lineitem.selectExpr("l_suppkey as user_id", "l_partkey as page_id")
+        consecutive_pairs(t.lineitem, "l_partkey"), t.lineitem.selectExpr("l_partkey as user_id", "l_suppkey as page_id")
     )
 
 

@@ -219,9 +219,11 @@ def adjacent_free_seats(t):
     return op.adjacent_free_seats(t.part.selectExpr("p_partkey as seat_id", "p_size > 25 as free"))
 
 
-@query("""select distinct a.o_orderstatus as num from orders a
-          join orders b on b.o_orderkey = a.o_orderkey + 1 and b.o_orderstatus = a.o_orderstatus
-          join orders c on c.o_orderkey = a.o_orderkey + 2 and c.o_orderstatus = a.o_orderstatus""")
+@query("""select distinct s as num from (select o_orderstatus as s, o_orderkey as k,
+              lead(o_orderkey, 1) over w as k1, lead(o_orderstatus, 1) over w as s1,
+              lead(o_orderkey, 2) over w as k2, lead(o_orderstatus, 2) over w as s2
+              from orders window w as (order by o_orderkey))
+          where k1 = k + 1 and k2 = k + 2 and s1 = s and s2 = s""")
 def consecutive_numbers(t):
     return op.consecutive_numbers(t.orders.selectExpr("o_orderkey as id", "o_orderstatus as num"))
 

@@ -193,15 +193,11 @@ SQL_VIEWS = {
        case when error is null then 'rows=' || rows else 'error=' || error end) as line from logs""",
     "grid": """select cast(datediff('day', (select min(cast(ts as date)) from events), cast(ts as date))
        as int) as r, cast(hour(ts) as int) as c, count(*) as v from events group by 1, 2""",
-    "line_rows": """select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem""",
+    "line_rows": """select distinct l_orderkey, l_linenumber, l_partkey from lineitem""",
     "part_links": """select distinct least(a.l_partkey, b.l_partkey) as user1_id,
        greatest(a.l_partkey, b.l_partkey) as user2_id from line_rows a join line_rows b
        on a.l_orderkey = b.l_orderkey and b.l_linenumber = a.l_linenumber + 1
        where a.l_partkey <> b.l_partkey""",
-    "supplier_links": """select distinct least(a.l_suppkey, b.l_suppkey) as user1_id,
-       greatest(a.l_suppkey, b.l_suppkey) as user2_id from line_rows a join line_rows b
-       on a.l_orderkey = b.l_orderkey and b.l_linenumber = a.l_linenumber + 1
-       where a.l_suppkey <> b.l_suppkey""",
     "order_chain": """select src, dst from (select lag(o_orderkey) over (partition by o_custkey
        order by o_orderdate, o_orderkey) as src, o_orderkey as dst from orders)
        where src is not null""",
