@@ -108,16 +108,20 @@ def shortest_run_at_least(df: DataFrame, keys: list[str], order: list[str], valu
     return found.groupBy(*keys).agg(F.coalesce(F.min(length), F.lit(0).cast("long")).alias("length"))
 
 
-def next_greater_gap(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+def next_greater_gap(
+    df: DataFrame, keys: list[str], order: list[str], value: str, whole: int = 100_000
+) -> DataFrame:
     """Rows until a larger value comes, 0 when none does.
 
+    A series of up to ``whole`` rows is one range, a longer one is cut.
     Answers inside one (key, range) come from a small stack in pandas.  A row
     without one looks for the first later range with a larger maximum, and
     there for the first larger value among the range's new highs.
     """
-    numbered = row_numbers(_ranged(df, order), keys, order).select(
-        *df.columns, "rn", BUCKET, F.col(value).cast("double").alias("_v")
-    )
+    one = F.lit(1).cast("long")
+    sized = scan(_ranged(df, order), keys, order, {"rn": ("sum", one, True), "_all": ("total", one, True)})
+    part = F.when(F.col("_all") <= whole, F.lit(0)).otherwise(F.col(BUCKET))
+    numbered = sized.select(*keys, "rn", part.alias(BUCKET), F.col(value).cast("double").alias("_v"))
     schema = f"{_ddl(df, keys)}, rn long, {BUCKET} int, _v double, _next long, _record boolean"
 
     def inside(rows: pd.DataFrame) -> pd.DataFrame:
@@ -132,7 +136,7 @@ def next_greater_gap(df: DataFrame, keys: list[str], order: list[str], value: st
             top = max(top, v)
         return rows.assign(_next=pd.array(nxt, dtype="Int64"), _record=record)
 
-    local = numbered.select(*keys, "rn", BUCKET, "_v").groupBy(*keys, BUCKET).applyInPandas(inside, schema)
+    local = numbered.groupBy(*keys, BUCKET).applyInPandas(inside, schema)
     local = cut_lineage(local)
     tops = local.groupBy(*keys, BUCKET).agg(F.max("_v").alias("m"))
     per_key = tops.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(BUCKET).alias("b"), "m"))).alias("_tops"))

@@ -94,10 +94,11 @@ def series_rows(spark):
     return df, by_key(spark, [tuple(r) for r in df.collect()])
 
 
-def test_gaps_across_ranges(series_rows):
+@pytest.mark.parametrize("whole", [0, 100])
+def test_gaps_across_ranges(series_rows, whole):
     df, lists = series_rows
     got = {}
-    for r in series.next_greater_gap(df, ["k"], ["pos", "id"], "v").orderBy("k", "rn").collect():
+    for r in series.next_greater_gap(df, ["k"], ["pos", "id"], "v", whole).orderBy("k", "rn").collect():
         got.setdefault(r["k"], []).append(r["gap"])
     for k, vs in lists.items():
         assert got[k] == [next((j - i for j in range(i + 1, len(vs)) if vs[j] > vs[i]), 0) for i in range(len(vs))]
