@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from heronlake.catalog.registry import query, r, total
-from heronlake.functions.exact import rnd, total as add
 from heronlake.operators.quality import trip_report
 from heronlake.plans.shared import scratch_path
 from heronlake.sources import tables as io

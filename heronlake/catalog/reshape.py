@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from heronlake.catalog.registry import query, r, total
-from heronlake.functions.timeparts import day
 from heronlake.operators import reshape as op
 from heronlake.sources.views import nation_flows
 

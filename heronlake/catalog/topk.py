@@ -1,6 +1,5 @@
 """Sorts and top-k on the test tables."""
 
-from pyspark.sql import functions as F
 
 from heronlake.catalog.registry import query, r
 from heronlake.operators import topk as op

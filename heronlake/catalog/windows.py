@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from heronlake.catalog.registry import mean, query, r, total
-from heronlake.functions.exact import total as add
 from heronlake.functions.timeparts import day, month_start
 from heronlake.operators import windows as op
 from heronlake.operators.spines import month_spine

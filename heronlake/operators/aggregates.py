@@ -6,13 +6,13 @@ shuffle, so a hot group reaches its task as one row per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from heronlake.functions.exact import dec, flag, mean, ratio, rnd, total
-from heronlake.functions.timeparts import RUSH_HOURS, day, month_key, seconds_between
+from heronlake.functions.timeparts import month_key, seconds_between
 from heronlake.operators.scalar import bucket_case
 from heronlake.plans.ordered import quantiles
-from heronlake.plans.skew import keep_matching, keys_of
+from heronlake.plans.skew import keys_of
 
 
 def monthly_transactions(txn: DataFrame) -> DataFrame:

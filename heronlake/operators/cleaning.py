@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from heronlake.functions.exact import dec, flag, mean, ratio, rnd, total
+from heronlake.functions.exact import mean, ratio, rnd
 from heronlake.functions.timeparts import is_rush_hour, is_weekend, minutes_between
 from heronlake.plans.ordered import quantiles
 from heronlake.plans.skew import attach, keep_matching

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from heronlake.functions.exact import dec, flag, rnd, total
+from heronlake.functions.exact import rnd, total
 from heronlake.functions.timeparts import month_key
-from heronlake.plans.ordered import order_buckets, row_numbers, scan
+from heronlake.plans.ordered import order_buckets, row_numbers
 
 
 def transactions_chargebacks(txn: DataFrame, chargebacks: DataFrame) -> DataFrame:
