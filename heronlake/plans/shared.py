@@ -2,23 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a scratch folder only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    fresh = tempfile.mkdtemp(prefix="heronlake-")
-    spark.sparkContext.setCheckpointDir(fresh)
-    return fresh
+    """The cluster's checkpoint folder; where none is named, one beside the warehouse tables."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
