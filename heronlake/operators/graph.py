@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from heronlake.plans.graph import component_roots, is_acyclic, reach
-from heronlake.plans.shared import cut_lineage
-from heronlake.plans.skew import attach
+from heronlake.plans.shared import Rounds, cut_lineage
+
+# Second ends per task that one end of a wedge is paired with.
+FAN = 1024
 
 
 def both_ways(friendship: DataFrame) -> DataFrame:
@@ -22,21 +24,27 @@ def mutual_friends(friendship: DataFrame, k: int = 3) -> DataFrame:
     Each friendship is pointed from the person with fewer friends to the one
     with more.  Nobody then has more than sqrt(2 x friendships) outgoing
     links, so a very popular person does not multiply the wedges, and each
-    triangle is met once and counted for its three sides.
+    triangle is met once and counted for its three sides.  The first ends of a
+    person's wedges are dealt over as many parts as there are links to pair
+    them with, so no task pairs all links of one person.
     """
     pairs = both_ways(friendship).where("user_id <> friend_id")
     edges = cut_lineage(pairs.where("user_id < friend_id").select(
         F.col("user_id").alias("a"), F.col("friend_id").alias("b")
     ))
     degree = edges.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("d"))
-    degree, most = cut_lineage(degree), edges.count()
-    at = lambda c: degree.select(F.col("id").alias(c), F.col("d").alias(f"d{c}"), F.col("d").alias("_n"))
-    ranked = attach(attach(edges, at("a"), ["a"], known_rows=most), at("b"), ["b"], known_rows=most)
+    degree = cut_lineage(degree)
+    at = lambda c: degree.select(F.col("id").alias(c), F.col("d").alias(f"d{c}"))
+    ranked = edges.join(at("a"), "a").join(at("b"), "b")
     up = F.struct("da", "a") < F.struct("db", "b")
     links = cut_lineage(ranked.select(
         F.when(up, F.col("a")).otherwise(F.col("b")).alias("lo"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("hi")
     ))
-    wedges = links.select("lo", F.col("hi").alias("x")).join(links.select("lo", F.col("hi").alias("y")), "lo")
+    parts = links.groupBy("lo").agg(F.ceil(F.count("*") / FAN).alias("parts"))
+    dealt = links.join(parts, "lo")
+    first = dealt.select("lo", F.pmod(F.xxhash64("hi"), F.col("parts")).alias("part"), F.col("hi").alias("x"))
+    second = dealt.select("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("hi").alias("y"))
+    wedges = first.join(second, ["lo", "part"])
     wedges = wedges.where("x < y")
     closed = wedges.join(edges, (F.col("x") == F.col("a")) & (F.col("y") == F.col("b")))
     sides = closed.select(
@@ -151,22 +159,26 @@ def node_depths(tree: DataFrame) -> DataFrame:
 
     Every node keeps a pointer upward and its distance; following the pointer
     of the pointer doubles the distance, so the rounds grow with the logarithm
-    of the depth.
+    of the depth.  Parents that form a cycle have no root above them: once a
+    round settles no node, what is left lies on or below a cycle and has no
+    depth, as in a recursive statement that starts at the roots.
     """
     has_parent = F.col("parent").isNotNull() & (F.col("parent") != F.col("id"))
-    nodes = cut_lineage(tree.select(
+    rounds = Rounds(tree.sparkSession, "depths")
+    nodes = rounds.save(tree.select(
         "id", F.when(has_parent, F.col("parent")).alias("up"), F.when(has_parent, 1).otherwise(0).cast("long").alias("depth")
     ))
-    most = nodes.count()
-    while not nodes.where("up is not null").isEmpty():
+    left = None
+    while True:
         open_nodes = nodes.where("up is not null")
-        wanted = open_nodes.groupBy("up").agg(F.count("*").alias("_n"))
+        before, left = left, open_nodes.count()
+        if left in (0, before):
+            return nodes.where("up is null").select("id", "depth")
         above = nodes.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_d"))
-        moved = attach(open_nodes, wanted.join(above, "up"), ["up"], known_rows=most).select(
+        moved = open_nodes.join(above, "up").select(
             "id", F.col("_up").alias("up"), (F.col("depth") + F.col("_d")).alias("depth")
         )
-        nodes = cut_lineage(nodes.where("up is null").unionAll(moved))
-    return nodes.select("id", "depth")
+        nodes = rounds.save(nodes.where("up is null").unionAll(moved))
 
 
 def hierarchy_levels(tree: DataFrame) -> DataFrame:

@@ -1,15 +1,14 @@
 """Loops over edge tables.
 
-Each round is written to the shared checkpoint folder, so the plan of a round
+Each round is written to the shared folder as Parquet, so the plan of a round
 starts from files and a lost executor costs one round at most.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from heronlake.plans.shared import cut_lineage
-from heronlake.plans.skew import attach
+from heronlake.plans.shared import Rounds, scratch_path
 
 
 def component_roots(edges: DataFrame) -> DataFrame:
@@ -17,44 +16,50 @@ def component_roots(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds (Kiveris et al., 2014) turn each component
     into a star around its smallest node; the number of rounds grows with the
-    logarithm of the longest path, not with its length.
+    logarithm of the longest path, not with its length.  The joins are plain
+    joins on a node, which adaptive execution splits where one node is
+    crowded.  The same pass that writes a round tells whether it changed.
     """
     u, v = F.greatest("src", "dst"), F.least("src", "dst")
-    stars = cut_lineage(edges.where("src <> dst").select(u.alias("u"), v.alias("v")).distinct())
-    # no round makes more edges than there were
-    most = 2 * stars.count()
+    rounds = Rounds(edges.sparkSession, "components")
+    stars = rounds.save(edges.where("src <> dst").select(u.alias("u"), v.alias("v")).distinct())
     seen = None
     while True:
         both = stars.unionAll(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(
-            F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("_n")
-        )
-        large = attach(both.where("v > u"), lowest, ["u"], known_rows=most).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut_lineage(large.where("u <> v").distinct())
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n"))
-        small = attach(large, lowest, ["u"], known_rows=most).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionAll(lowest.select("u", F.col("m").alias("v")))
-        stars = cut_lineage(small.where("u <> v").distinct())
-        state = stars.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
-        ).first()
-        if state == seen:
+        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.where("u <> v").distinct()
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.unionAll(lowest.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        state = Observation()
+        stars = rounds.save(small.observe(
+            state, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")
+        ))
+        if state.get == seen:
             break
-        seen = state
+        seen = state.get
     roots = stars.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(roots)
 
 
 def reach(edges: DataFrame, sources: DataFrame) -> DataFrame:
-    """Fewest steps from any source to every node that can be reached: (id, steps)."""
-    seen = cut_lineage(sources.select("id").distinct().withColumn("steps", F.lit(0)))
-    frontier, step = seen, 0
-    while not frontier.isEmpty():
+    """Fewest steps from any source to every node that can be reached: (id, steps).
+
+    Each step adds its nodes to one folder, a part per step; nothing that was
+    found before is written again.
+    """
+    spark = edges.sparkSession
+    base, step = scratch_path(spark, "reach"), 0
+    sources.select("id").distinct().write.parquet(f"{base}/steps=0")
+    while True:
+        seen = spark.read.schema("id long, steps int").parquet(base)
+        frontier = spark.read.schema("id long").parquet(f"{base}/steps={step}")
+        if frontier.isEmpty():
+            return seen
         step += 1
         ahead = frontier.join(edges, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct()
-        frontier = cut_lineage(ahead.join(seen, "id", "left_anti").withColumn("steps", F.lit(step)))
-        seen = cut_lineage(seen.unionByName(frontier))
-    return seen
+        ahead.join(seen, "id", "left_anti").write.parquet(f"{base}/steps={step}")
 
 
 def is_acyclic(edges: DataFrame) -> bool:
@@ -63,10 +68,12 @@ def is_acyclic(edges: DataFrame) -> bool:
     Every round drops edges that start at a node without a way in or end at
     one without a way out, and bridges every chosen node on a chain.  A chain
     of any length is gone after a number of rounds that grows with its
-    logarithm; a cycle ends as an edge from a node to itself.
+    logarithm; a cycle ends as an edge from a node to itself.  Where nodes
+    have several ways in and out, as on a ladder, one layer goes per round, so
+    the rounds are bounded by the longest path.
     """
-    left = cut_lineage(edges.select("src", "dst").distinct())
-    most, turn = left.count(), 0
+    rounds = Rounds(edges.sparkSession, "cycles")
+    left, turn = rounds.save(edges.select("src", "dst").distinct()), 0
     while True:
         if left.isEmpty():
             return True
@@ -75,20 +82,15 @@ def is_acyclic(edges: DataFrame) -> bool:
         turn += 1
         leaving = left.groupBy("src").agg(F.count("*").alias("_n"))
         coming = left.groupBy("dst").agg(F.count("*").alias("_n"))
-        live_src = leaving.join(coming.select(F.col("dst").alias("src")), "src", "left_semi")
-        live_dst = coming.join(leaving.select(F.col("src").alias("dst")), "dst", "left_semi")
-        kept = attach(left, live_src, ["src"], known_rows=most)
-        kept = cut_lineage(attach(kept, live_dst, ["dst"], known_rows=most))
-        into = kept.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("i"), F.first("src").alias("before"))
-        out = kept.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("o"), F.first("dst").alias("after"))
+        kept = left.join(coming.select(F.col("dst").alias("src")), "src", "left_semi")
+        kept = kept.join(leaving.select(F.col("src").alias("dst")), "dst", "left_semi").select("src", "dst")
+        into = kept.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("i"), F.min("src").alias("before"))
+        out = kept.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("o"), F.min("dst").alias("after"))
         coin = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit(turn)), F.lit(2))
-        bridges = into.where("i = 1").join(out.where("o = 1"), "id").where(
-            (coin("id") == 1) & (coin("before") == 0)
-        )
-        bridges = cut_lineage(bridges.select("id", "before", "after"))
+        bridges = into.where("i = 1").join(out.where("o = 1"), "id").where((coin("id") == 1) & (coin("before") == 0))
         gone = bridges.select(F.col("before").alias("src"), F.col("id").alias("dst")).unionAll(
             bridges.select(F.col("id").alias("src"), F.col("after").alias("dst"))
         )
         rest = kept.join(gone, ["src", "dst"], "left_anti")
         new = bridges.select(F.col("before").alias("src"), F.col("after").alias("dst"))
-        left = cut_lineage(rest.select("src", "dst").unionAll(new).distinct())
+        left = rounds.save(rest.select("src", "dst").unionAll(new).distinct())

@@ -24,3 +24,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table through Spark's own file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Rounds:
+    """The state of a loop as Parquet files, one folder per round.
+
+    A round is read back from files, so the plan stays short, a lost executor
+    repeats one round at most and Spark knows the size.  The round before last
+    is deleted once the next one is written.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base, self.paths = spark, scratch_path(spark, name), []
+
+    def save(self, df: DataFrame) -> DataFrame:
+        path = f"{self.base}/round{len(self.paths)}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        if len(self.paths) > 2:
+            remove(self.spark, self.paths[-3])
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -214,24 +214,39 @@ def test_plans(spark):
     assert "WindowGroupLimit" in plan("second_most_recent")
 
 
-def test_skewed_paths_equal_the_small_ones(spark, monkeypatch):
-    """The loops take the broadcast path for crowded nodes when no table counts as small."""
+def test_graph_jobs_equal_brute_force_with_a_crowded_node(spark, monkeypatch):
     from heronlake.operators import graph
-    from heronlake.plans import skew
 
     rng = random.Random(4)
     star = [(0, i) for i in range(1, 60)] + [(rng.randrange(60, 90), rng.randrange(60, 90)) for _ in range(40)]
     edges = spark.createDataFrame(star, "src long, dst long")
-    nodes = spark.range(100)
+    root = list(range(100))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in star:
+        low, high = sorted((top(a), top(b)))
+        root[high] = low
+    assert sorted(map(tuple, graph.connected_components(spark.range(100), edges).collect())) == [(i, top(i)) for i in range(100)]
+
+    monkeypatch.setattr(graph, "FAN", 3)
     friends = edges.where("src <> dst").selectExpr("src as user1_id", "dst as user2_id")
-    tree = spark.createDataFrame([(i, 0 if i < 80 else i - 1) for i in range(1, 100)] + [(0, None)], "id long, parent long")
-    jobs_ = lambda: [
-        sorted(map(tuple, df.collect()))
-        for df in (
-            graph.connected_components(nodes, edges), graph.mutual_friends(friends, 1),
-            graph.has_no_cycle(edges.where("src = 0")), graph.hierarchy_levels(tree),
-        )
-    ]
-    small = jobs_()
-    monkeypatch.setattr(skew, "SMALL", 0)
-    assert jobs_() == small
+    links = {frozenset(e) for e in star if e[0] != e[1]}
+    near = {n: {next(iter(e - {n})) for e in links if n in e} for n in range(100)}
+    common = sorted((*sorted(e), len(set.intersection(*(near[n] for n in e)))) for e in links)
+    got = sorted(map(tuple, graph.mutual_friends(friends, 1).select("user1_id", "user2_id", "common_friend").collect()))
+    assert got == [x for x in common if x[2]]
+
+    assert graph.has_no_cycle(edges.where("src = 0")).first()["can_finish"]
+
+
+def test_depths_leave_out_cycles(spark):
+    from heronlake.operators import graph
+
+    parents = {0: None, 1: 0, 2: 1, 3: 2, 4: 3, 5: 4, 10: 11, 11: 10, 12: 10, 13: 13}
+    tree = spark.createDataFrame(list(parents.items()), "id long, parent long")
+    got = {r["id"]: r["depth"] for r in graph.node_depths(tree).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 13: 0}
