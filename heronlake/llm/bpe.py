@@ -216,3 +216,24 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
                 )
 
     return source.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """One row per document: doc_id, ``ids`` and ``decoded``, both binary.
+
+    The whole text is encoded as in :func:`encode_texts` and decoded again
+    from the ids in the same task.  ``ids`` are packed as little-endian
+    unsigned 32-bit integers.
+    """
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path, pattern)
+        for batch in batches:
+            for part in slices(batch, 1):
+                ids = own.encode(part.column(1).to_pylist())
+                packed = pa.array([x.tobytes() for x in ids], pa.binary())
+                texts = pa.array(own.decode(ids), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), packed, texts], ["doc_id", "ids", "decoded"])
+
+    return source.mapInArrow(run, "doc_id long, ids binary, decoded binary")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from heronlake.llm import chat, exact_dedup, licenses, mixing, pii, quality, secrets
+from heronlake.llm import bpe, chat, exact_dedup, licenses, mixing, pii, quality, secrets, simhash
 from heronlake.llm.common import count_kind, span_text
 from heronlake.sources.views import Tables
 
@@ -157,3 +157,24 @@ def op9_chat_examples(t: Tables) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(trick).alias("text"),
     )
     return chat.digest_examples(chat.chat_examples(rows.unionByName(more)))
+
+
+@query()
+def op2_simhash_groups(t: Tables) -> DataFrame:
+    groups = simhash.near_groups(t.documents)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def token_digest(coded: DataFrame) -> DataFrame:
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op3_byte_bpe(t: Tables) -> DataFrame:
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return token_digest(bpe.round_trip(t.documents, path, pattern))
