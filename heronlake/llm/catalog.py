@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from heronlake.llm import bpe, chat, exact_dedup, licenses, mixing, pii, quality, secrets, simhash
+from heronlake.llm import bpe, chat, exact_dedup, licenses, lm, mixing, pii, quality, secrets, simhash
 from heronlake.llm.common import count_kind, span_text
 from heronlake.sources.views import Tables
 
@@ -178,3 +178,9 @@ def op3_byte_bpe(t: Tables) -> DataFrame:
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     return token_digest(bpe.round_trip(t.documents, path, pattern))
+
+
+
+@query()
+def op10_lm_score(t: Tables) -> DataFrame:
+    return lm.score_texts(t.documents)
