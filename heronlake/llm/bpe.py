@@ -237,3 +237,11 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), packed, texts], ["doc_id", "ids", "decoded"])
 
     return source.mapInArrow(run, "doc_id long, ids binary, decoded binary")
+
+
+def token_digest(coded: DataFrame, *also: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of a round trip, and chosen columns."""
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), *also,
+    )

@@ -165,19 +165,12 @@ def op2_simhash_groups(t: Tables) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def token_digest(coded: DataFrame) -> DataFrame:
-    return coded.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
-
-
 @query()
 def op3_byte_bpe(t: Tables) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return token_digest(bpe.round_trip(t.documents, path, pattern))
+    return bpe.token_digest(bpe.round_trip(t.documents, path, pattern))
 
 
 

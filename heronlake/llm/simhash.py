@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from heronlake.llm.common import slices, whole_text, written
 from heronlake.plans.graph import component_roots
 
-# Seed of the shingle hash; numbers of references and blocks.
+# Seed of the shingle hash; numbers of references and blocks;
+# tables and bits of the wide search.
 SEED, REFERENCES, BLOCKS = 42, 16, 5
 DENSE = 1000
+TABLES, REACH = 48, 14
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -66,35 +68,47 @@ def references() -> list[int]:
 
 
 def block_masks() -> list[int]:
+    """Masks over two of five blocks of bits: of two fingerprints that differ in
+    three bits at most, two blocks at least are the same."""
     cuts = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
-    return [signed(((1 << b) - 1) ^ ((1 << a) - 1)) for a, b in zip(cuts, cuts[1:])]
+    blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:])]
+    return [signed(a | b) for a, b in combinations(blocks, 2)]
+
+
+def sample_masks(tables: int, size: int) -> list[int]:
+    """Masks over ``size`` bits each, chosen by a hash of mask and bit number."""
+    import xxhash
+
+    draw = lambda t, bit: xxhash.xxh64_intdigest(f"{t}:{bit}".encode(), SEED)
+    chosen = [sorted(range(64), key=lambda bit: draw(t, bit))[:size] for t in range(tables)]  # noqa: B023
+    return [signed(sum(1 << bit for bit in bits)) for bits in chosen]
 
 
 def distance(a: Column, b: Column | int) -> Column:
     return F.bit_count(a.bitwiseXOR(b if isinstance(b, Column) else F.lit(b)))
 
 
-def distance_table(prints: DataFrame) -> DataFrame:
+def distance_table(prints: DataFrame, masks: list[int]) -> DataFrame:
     """(fp, d0, d1, keys): Hamming distances of each fingerprint to all references.
 
-    The sixteen whole distances are packed eight to a long, a byte each.  The
-    distances are also taken block by block (five blocks of bits); of two
-    fingerprints that differ in three bits, two blocks at least are untouched,
-    so all their distances in those blocks agree.  ``keys`` holds one hash per
-    pair of blocks, over those distances.
+    The sixteen whole distances are packed eight to a long, a byte each.
+    ``keys`` has one number per mask, a hash of the sixteen distances taken
+    over the bits of the mask alone; fingerprints that agree in those bits
+    have the same key.
     """
-    fp = F.col("fp")
+    fp, packed = F.col("fp"), []
     whole = [distance(fp, r).cast("long") for r in references()]
-    packed = []
     for first in range(0, REFERENCES, 8):
         value = F.lit(0).cast("long")
         for place, d in enumerate(whole[first:first + 8]):
             value = value.bitwiseOR(F.shiftleft(d, 8 * place))
         packed.append(value.alias(f"d{first // 8}"))
-    rows = [F.xxhash64(*[F.bit_count(fp.bitwiseXOR(F.lit(r)).bitwiseAND(F.lit(m))) for r in references()]) for m in block_masks()]
-    cut = prints.select("fp", *packed, *[c.alias(f"b{i}") for i, c in enumerate(rows)])
-    keys = F.array(*[F.xxhash64(F.lit(a * BLOCKS + b), f"b{a}", f"b{b}") for a, b in combinations(range(BLOCKS), 2)])
-    return cut.select("fp", "d0", "d1", keys.alias("keys"))
+    apart = F.transform(F.array(*[F.lit(r) for r in references()]), lambda r: fp.bitwiseXOR(r))
+    keys = F.transform(
+        F.array(*[F.lit(m) for m in masks]),
+        lambda m, i: F.xxhash64(i, F.transform(F.col("_apart"), lambda x: F.bit_count(x.bitwiseAND(m)))),
+    )
+    return prints.select("fp", *packed, apart.alias("_apart")).select("fp", "d0", "d1", keys.alias("keys"))
 
 
 def within(a: str, b: str, bits: int) -> Column:
@@ -110,13 +124,13 @@ def within(a: str, b: str, bits: int) -> Column:
 def fingerprint_links(prints: DataFrame, bits: int = 3, dense: int = DENSE) -> DataFrame:
     """Links (src, dst) that join all distinct fingerprints within ``bits`` (at most three) bits.
 
-    Candidates agree in all reference distances of two blocks.  They are
+    Candidates agree in all reference distances over two blocks of bits.  They are
     discarded if any whole distance differs by more than ``bits``, and the
     rest is verified bit by bit, all inside the join condition, so only links
     leave it.  A key shared by more than ``dense`` fingerprints is not paired:
     see :func:`crowded_links`, which is exact as well.
     """
-    table = written(distance_table(prints), "simhash-distances")
+    table = written(distance_table(prints, block_masks()), "simhash-distances")
     entries = table.select("fp", "d0", "d1", F.explode("keys").alias("key"))
     crowded = written(entries.groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > dense).select("key"), "simhash-crowded")
     sparse = entries.join(crowded, "key", "left_anti")
@@ -153,32 +167,93 @@ def crowded_links(prints: DataFrame, bits: int = 3) -> DataFrame:
     return marks.join(points, "point").where("fp <> low").select(F.col("low").alias("src"), F.col("fp").alias("dst")).distinct()
 
 
-def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 3, dense: int = DENSE) -> DataFrame:
+def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: float, tables: int = TABLES) -> DataFrame:
+    """Links (src, dst) of fingerprints whose texts share enough shingles of ``words`` words.
+
+    Candidates agree in all reference distances over the bits of one of
+    ``tables`` masks; the masks grow with the number of fingerprints, so that
+    few meet by chance.  Each meets the smallest fingerprint of its key, so
+    candidates grow with the rows, not with pairs.  They are discarded if a
+    whole distance differs by more than 14, then verified by the Jaccard
+    similarity of their shingles.  Texts at the similarity asked for meet in
+    a table with a probability of about 0.99, closer ones nearly always.
+    """
+    size = max(16, nodes.count().bit_length() + 4)
+    table = written(distance_table(nodes.select("fp"), sample_masks(tables, size)), "simhash-wide")
+    entries = table.select("fp", "d0", "d1", F.explode("keys").alias("key"))
+    hubs = entries.groupBy("key").agg(F.min(F.struct("fp", "d0", "d1")).alias("hub"), F.count("*").alias("_n"))
+    hubs = hubs.where("_n > 1").select("key", "hub.*")
+    a, b = hubs.alias("a"), entries.alias("b")
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") != F.col("b.fp")) & within("a", "b", REACH))
+    pairs = written(met.select(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst")).distinct(), "simhash-candidates")
+
+    wanted = pairs.select(F.explode(F.array("src", "dst")).alias("fp")).distinct()
+    wanted = written(nodes.join(wanted, "fp").select("low", "fp"), "simhash-wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("low"), whole_text().alias("text")).join(wanted, "low")
+    sets = written(_shingle_sets(texts.select("fp", "text"), words).dropDuplicates(["fp"]), "simhash-shingles")
+    left = sets.select(F.col("fp").alias("src"), F.col("shingles").alias("a"))
+    right = sets.select(F.col("fp").alias("dst"), F.col("shingles").alias("b"))
+    both = F.size(F.array_intersect("a", "b"))
+    return pairs.join(left, "src").join(right, "dst").where(
+        both >= F.lit(similarity) * (F.size("a") + F.size("b") - both)
+    ).select("src", "dst")
+
+
+def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(fp, shingles): distinct hashes of all runs of ``words`` words, for texts that have that fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            for part in slices(batch, 1):
+                prints, sets = [], []
+                for fp, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if signed(fingerprint(text)) == fp:
+                        w = text.encode("utf-8", "replace").lower().split()
+                        runs = {b" ".join(w[i:i + words]) for i in range(max(1, len(w) - words + 1))}
+                        prints.append(fp)
+                        sets.append([signed(xxhash.xxh64_intdigest(r, SEED)) for r in runs])
+                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["fp", "shingles"])
+
+    return texts.mapInArrow(run, "fp long, shingles array<long>")
+
+
+def near_groups(
+    docs: DataFrame, shingle: int = 3, bits: int = 3, dense: int = DENSE, similarity: float | None = None, words: int = 5
+) -> DataFrame:
     """One row per input row: doc_id, fp and component_id.
 
-    Documents whose fingerprints differ in at most ``bits`` bits are linked;
+    Documents whose fingerprints differ in at most ``bits`` bits are linked.
+    With ``similarity``, those are linked instead that share this part of
+    their shingles of ``words`` words (see :func:`similar_links`).
     ``component_id`` is the smallest id that links lead to.  Equal
     fingerprints are one node, so copies are never paired.
 
     Null and empty texts have fingerprint zero and link like any other.  Null
-    ids belong to a group and never name it, unless all are null.  Repeated
-    rows carry the same answer.  An empty table gives no rows; further columns
-    are not looked at.
+    ids belong to a group and never name it, unless all are null; by
+    similarity, a text that no id leads to links by its fingerprint alone.
+    Repeated rows carry the same answer.  An empty table gives no rows;
+    further columns are not looked at.
     """
     marks = written(fingerprints(docs, shingle), "simhash-prints")
     nodes = written(marks.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
-    roots = component_roots(fingerprint_links(nodes.select("fp"), bits, dense))
+    if similarity is None:
+        links = fingerprint_links(nodes.select("fp"), bits, dense)
+    else:
+        links = similar_links(docs, nodes, words, similarity)
+    roots = component_roots(links)
     grouped = nodes.join(roots.withColumnRenamed("id", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
     names = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
     named = written(grouped.select("fp", "root").join(names, "root").select("fp", "component_id"), "simhash-names")
     return marks.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
+def drop_near_copies(docs: DataFrame, similarity: float | None = 0.8, words: int = 5) -> DataFrame:
     """The documents without near copies, all their columns as they were.
 
-    Of each group the smallest id stays; of rows that repeat that id, one.
+    Of each group the smallest id stays, with all rows of that id.
     """
-    groups = near_groups(docs, shingle, bits)
-    gone = written(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct(), "simhash-gone")
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    groups = near_groups(docs, similarity=similarity, words=words)
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(written(gone, "simhash-gone"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
