@@ -103,7 +103,7 @@ def erase_overlaps(intervals: DataFrame, key: str, start: str, end: str) -> Data
         F.max(F.when(~at_point, F.col(start))).alias("s"), F.max(F.when(at_point, F.col(start))).alias("p")
     )
     seen = scan(
-        order_buckets(ends, end), [key], [end],
+        order_buckets(ends, end, [key]), [key], [end],
         {"_s": ("max", F.col("s"), False), "_p": ("max", F.col("p"), False)},
     )
     free = (F.col("_s").isNull() | (F.col("_s") < F.col("s"))) & (F.col("_p").isNull() | (F.col("_p") <= F.col("s")))
@@ -111,7 +111,7 @@ def erase_overlaps(intervals: DataFrame, key: str, start: str, end: str) -> Data
     asked = rows.select(key, F.col("e").alias("at"), F.lit(0).alias("kind"), F.col("e").alias("node"))
     starts = rows.select(key, F.col("s").alias("at"), F.lit(1).alias("kind"), F.col("e").alias("node"))
     linked = scan(
-        order_buckets(asked.unionByName(starts), "at"), [key], ["at", "kind"],
+        order_buckets(asked.unionByName(starts), ["at", "kind"], [key]), [key], ["at", "kind"],
         {"next": ("last", F.when(F.col("kind") == 1, F.col("node")), True)}, reverse=True,
     ).where("kind = 0").select(key, "node", "next", F.lit(1).cast("long").alias("kept"))
     heads = rows.groupBy(key).agg(F.min("e").alias("node"))
@@ -137,13 +137,13 @@ def max_concurrency(intervals: DataFrame, keys: list[str], start: str, end: str)
     edge = lambda c, d: F.struct(F.col(c).alias("at"), F.lit(d).alias("d"))
     edges = intervals.select(*keys, F.explode(F.array(edge(start, 1), edge(end, -1))).alias("_e"))
     steps = edges.select(*keys, "_e.*").groupBy(*keys, "at").agg(F.sum("d").alias("d"))
-    run = scan(order_buckets(steps, "at"), keys, ["at"], {"open": ("sum", F.col("d"), True)})
+    run = scan(order_buckets(steps, "at", keys), keys, ["at"], {"open": ("sum", F.col("d"), True)})
     return run.groupBy(*keys).agg(F.max("open").alias("max_open"))
 
 
 def partition_by_key_span(seq: DataFrame, keys: list[str], order: list[str], letter: str) -> DataFrame:
     """Cut each sequence so that no letter lies in two pieces; piece lengths."""
-    numbered = row_numbers(order_buckets(seq, order[0], order[-1]), keys, order, "_pos")
+    numbered = row_numbers(order_buckets(seq, order, keys), keys, order, "_pos")
     spans = numbered.groupBy(*keys, letter).agg(F.min("_pos").alias("first"), F.max("_pos").alias("last"))
     pieces = interval_runs(spans, keys, "first", "last")
     return pieces.select(*keys, "first", (F.col("last") - F.col("first") + 1).alias("length"))

@@ -40,7 +40,7 @@ def primary_department(emp: DataFrame) -> DataFrame:
 def interview_candidates(contests: DataFrame, k: int = 3) -> DataFrame:
     """Users with k gold medals, or with golds in k contests in a row."""
     golds = contests.where("gold_medal = user_id").select("user_id", "contest_id").distinct()
-    ranged = order_buckets(golds, "contest_id")
+    ranged = order_buckets(golds, "contest_id", ["user_id"])
     islands = row_numbers(ranged, ["user_id"], ["contest_id"]).groupBy(
         "user_id", (F.col("contest_id") - F.col("rn")).alias("island")
     ).agg(F.count("*").alias("n"))
@@ -112,7 +112,7 @@ def pivot_months(dept: DataFrame) -> DataFrame:
 
 def pivot_by_rownum(students: DataFrame, continents: dict[str, str], order: str) -> DataFrame:
     """Names of each continent in order, side by side."""
-    ranged = order_buckets(students, order)
+    ranged = order_buckets(students, order, ["continent"])
     numbered = row_numbers(ranged, ["continent"], [order])
     wide = numbered.groupBy("rn").pivot("continent", list(continents)).agg(F.max("name"))
     return wide.select("rn", *[F.col(c).alias(out) for c, out in continents.items()])

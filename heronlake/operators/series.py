@@ -7,36 +7,31 @@ table is worked on by many tasks.
 
 from __future__ import annotations
 
-from bisect import insort
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from heronlake.functions.exact import dec, flag, rnd
-from heronlake.plans.ordered import BUCKET, order_buckets, row_numbers, scan, with_halo
+from heronlake.plans.ordered import BUCKET, null_free_keys, order_buckets, row_numbers, scan, with_halo
 from heronlake.plans.shared import cut_lineage
 
 
-def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
-    return order_buckets(df, order[0], order[-1])
-
-
 def max_single_profit(df: DataFrame, keys: list[str], order: list[str], price: str) -> DataFrame:
     """Best gain from one buy and one later sale, at least 0."""
-    low = scan(_ranged(df, order), keys, order, {"_low": ("min", F.col(price), True)})
+    low = scan(order_buckets(df, order, keys), keys, order, {"_low": ("min", F.col(price), True)})
     return low.groupBy(*keys).agg(rnd(F.max(F.col(price) - F.col("_low"))).alias("profit"))
 
 
 def max_multi_profit(df: DataFrame, keys: list[str], order: list[str], price: str) -> DataFrame:
     """Sum of all rises from one row to the next."""
-    prev = scan(_ranged(df, order), keys, order, {"_prev": ("last", dec(price), False)})
+    prev = scan(order_buckets(df, order, keys), keys, order, {"_prev": ("last", dec(price), False)})
     rise = F.greatest(dec(price) - F.coalesce("_prev", dec(price)), F.lit(0).cast("decimal(18,6)"))
     return prev.groupBy(*keys).agg(F.sum(rise).cast("double").alias("profit"))
 
 
 def max_run_sum(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """Largest sum of a run of neighbouring rows; the run is never empty."""
-    sums = scan(_ranged(df, order), keys, order, {"_p": ("sum", dec(value), True)})
+    sums = scan(order_buckets(df, order, keys), keys, order, {"_p": ("sum", dec(value), True)})
     lows = scan(sums, keys, order, {"_low": ("min", F.col("_p"), False)})
     start = F.least(F.coalesce("_low", F.lit(0)), F.lit(0))
     return lows.groupBy(*keys).agg(F.max(F.col("_p") - start).cast("double").alias("best"))
@@ -45,14 +40,14 @@ def max_run_sum(df: DataFrame, keys: list[str], order: list[str], value: str) ->
 def product_except_self(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """Product of all other rows of the group, without division."""
     number = F.col(value).cast("double")
-    left = scan(_ranged(df, order), keys, order, {"_left": ("product", number, False)})
+    left = scan(order_buckets(df, order, keys), keys, order, {"_left": ("product", number, False)})
     both = scan(left, keys, order, {"_right": ("product", number, False)}, reverse=True)
     return both.withColumn("product", F.col("_left") * F.col("_right")).drop("_left", "_right", BUCKET)
 
 
 def sliding_max(df: DataFrame, keys: list[str], order: list[str], value: str, k: int) -> DataFrame:
     """Largest value of every full window of k rows, at its last row."""
-    numbered = row_numbers(_ranged(df, order), keys, order).drop(BUCKET)
+    numbered = row_numbers(order_buckets(df, order, keys), keys, order).drop(BUCKET)
     blocks = with_halo(numbered, keys, "rn", k - 1)
     w = Window.partitionBy(*keys, "_block").orderBy("rn").rowsBetween(1 - k, 0)
     out = blocks.withColumn("window_max", F.max(value).over(w))
@@ -68,7 +63,7 @@ def count_runs_with_sum(df: DataFrame, keys: list[str], order: list[str], value:
     """
     marks = _marks(df, keys, order, value, total)
     seen = scan(
-        order_buckets(marks, "_pos"), [*keys, "_at"], ["_pos", "_start"],
+        order_buckets(marks, ["_pos", "_start"], [*keys, "_at"]), [*keys, "_at"], ["_pos", "_start"],
         {"_seen": ("sum", F.col("_start").cast("long"), True)},
     )
     counts = F.sum(F.when(F.col("_start") == 0, F.col("_seen")).otherwise(0))
@@ -82,7 +77,7 @@ def _marks(df: DataFrame, keys: list[str], order: list[str], value: str, total:
     0 is the start before the first row.
     """
     sums = scan(
-        _ranged(df, order), keys, order,
+        order_buckets(df, order, keys), keys, order,
         {"_p": ("sum", F.col(value), True), "_pos": ("sum", F.lit(1).cast("long"), True)},
     )
     mark = lambda pos, at, start: F.struct(
@@ -100,121 +95,162 @@ def shortest_run_at_least(df: DataFrame, keys: list[str], order: list[str], valu
     For every row the latest start whose sum before it is low enough is found
     by sorting sums and targets together.
     """
-    marks = order_buckets(_marks(df, keys, order, value, target), "_at")
+    marks = order_buckets(_marks(df, keys, order, value, target).withColumn("_ask", 1 - F.col("_start")), ["_at", "_ask", "_pos"], keys)
     start = F.when(F.col("_start") == 1, F.col("_pos"))
-    asked = marks.withColumn("_ask", 1 - F.col("_start"))
-    found = scan(asked, keys, ["_at", "_ask", "_pos"], {"_from": ("last", start, True)})
+    found = scan(marks, keys, ["_at", "_ask", "_pos"], {"_from": ("last", start, True)})
     length = F.when(F.col("_ask") == 1, F.col("_pos") - F.col("_from"))
     return found.groupBy(*keys).agg(F.coalesce(F.min(length), F.lit(0).cast("long")).alias("length"))
 
 
-def next_greater_gap(
-    df: DataFrame, keys: list[str], order: list[str], value: str, whole: int = 100_000
-) -> DataFrame:
-    """Rows until a larger value comes, 0 when none does.
+def next_greater_gap(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """Rows until a larger value comes, 0 when none does; a null is never larger and gets 0.
 
-    A series of up to ``whole`` rows is one range, a longer one is cut.
-    Answers inside one (key, range) come from a small stack in pandas.  A row
-    without one looks for the first later range with a larger maximum, and
-    there for the first larger value among the range's new highs.
+    Answers inside one (key, range) come from numpy: every row points to the
+    next one and jumps along that row's own pointer while it finds nothing
+    larger, for all rows at once, which no built-in expresses.  A row without
+    an answer looks for the first later range with a larger maximum, and there
+    for the first larger value among the range's new highs.
     """
-    one = F.lit(1).cast("long")
-    sized = scan(_ranged(df, order), keys, order, {"rn": ("sum", one, True), "_all": ("total", one, True)})
-    part = F.when(F.col("_all") <= whole, F.lit(0)).otherwise(F.col(BUCKET))
-    numbered = sized.select(*keys, "rn", part.alias(BUCKET), F.col(value).cast("double").alias("_v"))
-    schema = f"{_ddl(df, keys)}, rn long, {BUCKET} int, _v double, _next long, _record boolean"
-
-    def inside(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("rn")
-        values, places = rows["_v"].tolist(), rows["rn"].tolist()
-        nxt, record, stack, top = [None] * len(rows), [], [], float("-inf")
-        for i, v in enumerate(values):
-            while stack and values[stack[-1]] < v:
-                nxt[stack.pop()] = places[i]
-            stack.append(i)
-            record.append(v > top)
-            top = max(top, v)
-        return rows.assign(_next=pd.array(nxt, dtype="Int64"), _record=record)
-
-    local = numbered.groupBy(*keys, BUCKET).applyInPandas(inside, schema)
-    local = cut_lineage(local)
-    tops = local.groupBy(*keys, BUCKET).agg(F.max("_v").alias("m"))
-    per_key = tops.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(BUCKET).alias("b"), "m"))).alias("_tops"))
-    open_rows = local.where("_next is null").select(*keys, "rn", BUCKET, "_v").join(per_key, keys)
-    later = F.filter("_tops", lambda x: (x["b"] > F.col(BUCKET)) & (x["m"] > F.col("_v")))
-    asked = open_rows.withColumn("_to", F.try_element_at(later, F.lit(1))["b"]).drop("_tops")
+    keyed, groups = null_free_keys(df, keys)
+    sized = row_numbers(order_buckets(keyed, order, groups), groups, order)
+    number = F.nanvl(F.col(value).cast("double"), F.lit(float("inf")))
+    numbered = sized.select(*groups, *keys, "rn", BUCKET, number.alias("_v"))
+    rows = numbered.where("_v is not null").select(*groups, BUCKET, "rn", "_v")
+    schema = f"{_ddl(rows, rows.columns)}, _next long, _record boolean"
+
+    def inside(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("rn")
+        v, places = part["_v"].to_numpy(), part["rn"].to_numpy()
+        ahead, open_ = np.arange(1, len(v) + 1), np.arange(len(v))
+        while len(open_):
+            open_ = open_[ahead[open_] < len(v)]
+            to = ahead[open_]
+            low = v[to] <= v[open_]
+            open_ = open_[low]
+            ahead[open_] = ahead[to[low]]
+        found = pd.array(np.append(places, -1)[ahead], dtype="Int64")
+        found[ahead == len(v)] = pd.NA
+        before = np.append(-np.inf, np.maximum.accumulate(v)[:-1])
+        record = v > before
+        record[:1] = True
+        return part.assign(_next=found, _record=record)
+
+    local = cut_lineage(rows.groupBy(*groups, BUCKET).applyInPandas(inside, schema))
+    later = Window.partitionBy(*groups).orderBy(BUCKET).rowsBetween(1, Window.unboundedFollowing)
+    tops = local.groupBy(*groups, BUCKET).agg(F.max("_v").alias("m"))
+    tops = tops.select(*groups, BUCKET, F.collect_list(F.struct(F.col(BUCKET).alias("b"), "m")).over(later).alias("_tops"))
+    open_rows = local.where("_next is null").select(*groups, "rn", BUCKET, "_v").join(tops, [*groups, BUCKET])
+    higher = F.filter("_tops", lambda x: x["m"] > F.col("_v"))
+    asked = open_rows.withColumn("_to", F.get(higher, F.lit(0))["b"]).drop("_tops")
     asked = asked.where("_to is not null").withColumnRenamed(BUCKET, "_from")
-    routes = asked.select(*keys, "_from", "_to").distinct()
-    highs = local.where("_record").select(*keys, F.col(BUCKET).alias("_to"), "rn", "_v").join(routes, [*keys, "_to"])
-    marks = asked.select(*keys, "_from", "_to", "rn", "_v", F.lit(0).alias("_high")).unionByName(
-        highs.select(*keys, "_from", "_to", "rn", "_v", F.lit(1).alias("_high"))
+    routes = asked.select(*groups, "_from", "_to").distinct()
+    highs = local.where("_record").select(*groups, F.col(BUCKET).alias("_to"), "rn", "_v").join(routes, [*groups, "_to"])
+    marks = asked.select(*groups, "_from", "_to", "rn", "_v", F.lit(0).alias("_high")).unionByName(
+        highs.select(*groups, "_from", "_to", "rn", "_v", F.lit(1).alias("_high"))
     )
-    w = Window.partitionBy(*keys, "_from", "_to").orderBy(F.desc("_v"), "_high")
+    w = Window.partitionBy(*groups, "_from", "_to").orderBy(F.desc("_v"), "_high")
     found = marks.withColumn("_next", F.last(F.when(F.col("_high") == 1, F.col("rn")), ignorenulls=True).over(w))
-    across = found.where("_high = 0").select(*keys, "rn", F.col("_next").alias("_far"))
-    hops = local.select(*keys, "rn", "_next").join(across, [*keys, "rn"], "left")
-    gap = F.coalesce(F.coalesce("_next", "_far") - F.col("rn"), F.lit(0).cast("long"))
-    return hops.select(*keys, "rn", gap.alias("gap"))
+    answers = local.where("_next is not null").select(*groups, "rn", "_next").unionByName(
+        found.where("_high = 0").select(*groups, "rn", "_next")
+    )
+    hops = numbered.join(answers, [*groups, "rn"], "left")
+    return hops.select(*keys, "rn", F.coalesce(F.col("_next") - F.col("rn"), F.lit(0).cast("long")).alias("gap"))
+
+
+def ranks_along(known: np.ndarray, own: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """For every i the ``ranks[i]``-th smallest (from 1) of ``known`` and ``own[:i + 1]``.
+
+    All rows descend a tree over the sorted values together, one bit of the
+    place per step.  At each step the values of ``own`` are parted by that
+    bit, keeping their order, and running counts say how many of a row's
+    values went left.
+    """
+    values = np.sort(np.concatenate([known, own]))
+    # equal values take places one after the other, those of known first
+    order = np.argsort(np.concatenate([known, own]), kind="stable")
+    place = np.empty(len(values), dtype=np.int64)
+    place[order] = np.arange(len(values))
+    bits = max(1, int(len(values)).bit_length())
+    have = np.zeros((1 << bits) + 1, dtype=np.int64)
+    have[place[:len(known)] + 1] = 1
+    have = np.cumsum(have)
+    line, left = place[len(known):], ranks.astype(np.int64).copy()
+    first, last = np.zeros(len(own), dtype=np.int64), np.arange(1, len(own) + 1)
+    node = np.zeros(len(own), dtype=np.int64)
+    for bit in range(bits - 1, -1, -1):
+        right = (line >> bit) & 1
+        zeros = np.append(0, np.cumsum(1 - right))
+        count = zeros[last] - zeros[first] + have[node + (1 << bit)] - have[node]
+        up = left > count
+        left -= np.where(up, count, 0)
+        node += np.where(up, 1 << bit, 0)
+        first = np.where(up, zeros[-1] + first - zeros[first], zeros[first])
+        last = np.where(up, zeros[-1] + last - zeros[last], zeros[last])
+        line = np.concatenate([line[right == 0], line[right == 1]])
+    return values[node]
 
 
 def running_median(
     df: DataFrame, keys: list[str], order: list[str], value: str, block: int = 50_000
 ) -> DataFrame:
-    """Median of all values of the key up to each row.
-
-    A series is cut into blocks of rows.  While one block is read, the median
-    moves by at most one block of ranks, so a block needs only the earlier
-    values around the middle and a count of those below.  Which earlier values
-    these are follows from counts per (block, range of ranks).  A group in
-    pandas holds a few blocks of rows, never a whole series.
+    """Median of all values of the key up to each row; a null row carries the median along.
+
+    Values that are not null are numbered and cut into blocks.  While one
+    block is read, the median moves by at most one block of ranks, so a block
+    needs only the earlier values around the middle and a count of those
+    below.  Which earlier values these are follows from counts per (block,
+    range of ranks).  A block has at least ``block`` rows and n^(2/3) of a
+    series of n, so these counts are at most n^(2/3) as well.  A group in
+    pandas holds a few blocks of rows, never a whole series; the k-th value of
+    a growing set has no built-in.
     """
-    numbered = row_numbers(_ranged(df, order), keys, order).drop(BUCKET)
-    ranked = row_numbers(order_buckets(numbered, value, "rn"), keys, [value, "rn"], "_vr").drop(BUCKET)
-    part = lambda c: F.floor((F.col(c) - 1) / F.lit(block)).cast("long")
-    rows = ranked.where(F.col(value).isNotNull()).select(
-        *keys, *[o for o in order if o not in keys], "rn", F.col(value).cast("double").alias("_x"),
-        part("rn").alias("_p"), part("_vr").alias("_v"),
+    keyed, groups = null_free_keys(df, keys)
+    there = F.col(value).isNotNull().cast("long")
+    numbered = scan(order_buckets(keyed, order, groups), groups, order, {"rn": ("sum", there, True), "_all": ("total", there, True)})
+    numbered = numbered.drop(BUCKET)
+    valid = numbered.where(F.col(value).isNotNull()).withColumn(
+        "_size", F.greatest(F.lit(block), F.ceil(F.pow("_all", F.lit(2 / 3)))).cast("long")
     )
-    rows = cut_lineage(rows)
-    cells = rows.groupBy(*keys, "_p", "_v").agg(F.count("*").alias("_n"))
-    size = cells.groupBy(*keys).agg(F.max("_p").alias("_last")).where("_last > 0")
+    ranked = row_numbers(order_buckets(valid, [value, "rn"], groups), groups, [value, "rn"], "_vr")
+    part = lambda c: F.floor((F.col(c) - 1) / F.col("_size")).cast("long")
+    rows = cut_lineage(ranked.select(
+        *groups, "rn", F.col(value).cast("double").alias("_x"), part("rn").alias("_p"), part("_vr").alias("_v"), "_size"
+    ))
+    cells = rows.groupBy(*groups, "_p", "_v").agg(F.count("*").alias("_n"))
+    size = rows.groupBy(*groups).agg(F.max("_p").alias("_last"), F.max("_size").alias("_size")).where("_last > 0")
     upto = F.explode(F.sequence(F.lit(0).cast("long"), "_last"))
     grid = size.withColumn("_v", upto).withColumn("_p", upto)
-    filled = grid.join(cells, [*keys, "_p", "_v"], "left").fillna(0, ["_n"])
-    earlier = Window.partitionBy(*keys, "_v").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    lower = Window.partitionBy(*keys, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    filled = grid.join(cells, [*groups, "_p", "_v"], "left").fillna(0, ["_n"])
+    earlier = Window.partitionBy(*groups, "_v").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    lower = Window.partitionBy(*groups, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     base = filled.withColumn("_g", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     base = base.withColumn("_below", F.coalesce(F.sum("_g").over(lower), F.lit(0)))
-    have = F.col("_p") * block
-    low, high = F.floor(have / 2) - block, F.floor((have + block) / 2) + 1
+    have = F.col("_p") * F.col("_size")
+    low, high = F.floor(have / 2) - F.col("_size"), F.floor((have + F.col("_size")) / 2) + 1
     needed = base.where((F.col("_p") > 0) & (F.col("_g") > 0) & (F.col("_below") <= high) & (F.col("_below") + F.col("_g") >= low))
-    needed = needed.select(*keys, "_p", "_v", "_below")
+    needed = needed.select(*groups, "_p", "_v", "_below")
     wanted = needed.select(
-        *keys, "_v", F.col("_p").alias("_for"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_p") - 1)).alias("_p")
+        *groups, "_v", F.col("_p").alias("_for"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_p") - 1)).alias("_p")
     )
-    rest = [c for c in rows.columns if c not in (*keys, "_p", "_v", "_x")]
-    near = rows.join(wanted, [*keys, "_v", "_p"]).select(*keys, F.col("_for").alias("_p"), "_x", F.lit(0).alias("_own"))
-    below = needed.groupBy(*keys, "_p").agg(F.min("_below").cast("double").alias("_x")).withColumn("_own", F.lit(2))
-    blocks = rows.select(*keys, "_p", "_x", F.lit(1).alias("_own"), *rest).unionByName(
-        near.unionByName(below.select(*keys, "_p", "_x", "_own")), allowMissingColumns=True
+    near = rows.join(wanted, [*groups, "_v", "_p"]).select(*groups, F.col("_for").alias("_p"), "_x", F.lit(0).alias("_own"))
+    below = needed.groupBy(*groups, "_p").agg(F.min("_below").cast("double").alias("_x")).withColumn("_own", F.lit(2))
+    blocks = rows.select(*groups, "_p", "_x", F.lit(1).alias("_own"), "rn", "_size").unionByName(
+        near.unionByName(below.select(*groups, "_p", "_x", "_own")), allowMissingColumns=True
     )
-    schema = _ddl(blocks, [*keys, *rest]) + ", running_median double"
+    schema = _ddl(blocks, [*groups, "rn"]) + ", running_median double"
 
     def walk(group: pd.DataFrame) -> pd.DataFrame:
         own = group[group["_own"] == 1].sort_values("rn")
         under = group.loc[group["_own"] == 2, "_x"]
         skipped = int(under.iloc[0]) if len(under) else 0
-        known = sorted(group.loc[group["_own"] == 0, "_x"])
-        count = int(group["_p"].iloc[0]) * block
-        medians = []
-        for x in own["_x"]:
-            insort(known, x)
-            count += 1
-            a, b = known[(count - 1) // 2 - skipped], known[count // 2 - skipped]
-            medians.append(a + (b - a) / 2)
-        return own[[*keys, *rest]].assign(running_median=medians)
+        known, values, seen = group.loc[group["_own"] == 0, "_x"].to_numpy(), own["_x"].to_numpy(), own["rn"].to_numpy()
+        a = ranks_along(known, values, (seen - 1) // 2 + 1 - skipped)
+        b = ranks_along(known, values, seen // 2 + 1 - skipped)
+        return own[[*groups, "rn"]].assign(running_median=a + (b - a) / 2)
 
-    return blocks.groupBy(*keys, "_p").applyInPandas(walk, schema).drop("rn")
+    medians = blocks.groupBy(*groups, "_p").applyInPandas(walk, schema)
+    out = numbered.join(medians, [*groups, "rn"], "left")
+    return out.select(*keys, *[o for o in order if o not in keys], "running_median")
 
 
 def _ddl(df: DataFrame, columns: list[str]) -> str:
@@ -263,7 +299,7 @@ def contains_duplicate(df: DataFrame, key: str, column: str) -> DataFrame:
 
 def nearby_duplicate(df: DataFrame, keys: list[str], order: list[str], column: str, k: int) -> DataFrame:
     """Whether some value comes again within k positions."""
-    numbered = row_numbers(_ranged(df, order), keys, order)
+    numbered = row_numbers(order_buckets(df, order, keys), keys, order)
     prev = scan(numbered, [*keys, column], order, {"_prev": ("last", F.col("rn"), False)})
     near = flag(F.col("rn") - F.col("_prev") <= k)
     return prev.groupBy(*keys).agg((F.max(near) == 1).alias("has_nearby"))
@@ -281,10 +317,19 @@ def pairs_with_sum(df: DataFrame, key: str, column: str, total: int) -> DataFram
 
 
 def triples_with_sum(df: DataFrame, key: str, column: str, total: int = 0) -> DataFrame:
-    """Distinct value triples a <= b <= c of a group that add up to the total."""
+    """Distinct value triples a <= b <= c of a group that add up to the total.
+
+    The smallest of three is at most a third of the total and the middle one
+    at most half of what is left, so only such pairs are built.  Second values
+    are dealt over parts by a hash and first values repeated per part, so a
+    group is paired in many tasks.
+    """
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     counts = df.groupBy(key, column).agg(F.count("*").alias("n"))
     side = lambda x: counts.select(key, F.col(column).alias(x), F.col("n").alias(f"n{x}"))
-    ab = side("a").join(side("b"), key).where("a <= b").withColumn("c", F.lit(total) - F.col("a") - F.col("b"))
-    abc = ab.where("b <= c").join(side("c"), [key, "c"])
+    first = side("a").where(F.col("a") * 3 <= total).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    second = side("b").withColumn("_part", F.pmod(F.xxhash64("b"), F.lit(parts)).cast("int"))
+    ab = first.join(second, [key, "_part"]).where((F.col("a") <= F.col("b")) & (F.col("b") * 2 <= F.lit(total) - F.col("a")))
+    ab = ab.withColumn("c", F.lit(total) - F.col("a") - F.col("b"))
     needed = "na >= 1 + int(a = b) + int(a = c) and nb >= 1 + int(b = c)"
-    return abc.where(needed).select(key, "a", "b", "c")
+    return ab.join(side("c"), [key, "c"]).where(needed).select(key, "a", "b", "c")

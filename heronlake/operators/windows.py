@@ -103,7 +103,7 @@ def active_businesses(events: DataFrame) -> DataFrame:
 
 def running_total_by_group(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
     """Sum of all values of the group up to and including each row."""
-    ranged = order_buckets(df, order[0], order[-1])
+    ranged = order_buckets(df, order, [key])
     run = scan(ranged, [key], order, {"running_total": ("sum", dec(value), True)})
     return run.withColumn("running_total", F.col("running_total").cast("double"))
 
@@ -156,7 +156,7 @@ def last_to_fit(queue: DataFrame, capacity: int = 1000) -> DataFrame:
 
 def hiring_budget(candidates: DataFrame, budget: float = 70000) -> DataFrame:
     """Seniors hired cheapest first, then juniors from what is left."""
-    ranged = order_buckets(candidates, "salary", "employee_id")
+    ranged = order_buckets(candidates, ["salary", "employee_id"], ["experience"])
     cost = {"cost": ("sum", dec("salary"), True)}
     run = scan(ranged, ["experience"], ["salary", "employee_id"], cost)
     seniors = run.where((F.col("experience") == "Senior") & (F.col("cost") <= budget))
@@ -170,7 +170,7 @@ def hiring_budget(candidates: DataFrame, budget: float = 70000) -> DataFrame:
 
 def median_rows(emp: DataFrame) -> DataFrame:
     """The middle row, or the two middle rows, of each company by salary."""
-    ranged = order_buckets(emp, "salary", "id")
+    ranged = order_buckets(emp, ["salary", "id"], ["company"])
     one = F.lit(1).cast("long")
     joined = scan(ranged, ["company"], ["salary", "id"], {"rn": ("sum", one, True), "n": ("total", one, True)})
     return joined.where("rn * 2 >= n and rn * 2 <= n + 2").select("id", "company", "salary")

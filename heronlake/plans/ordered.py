@@ -7,7 +7,9 @@ is cut into ranges of about equal row count.  The window runs inside
 before; a join on (key, range) adds what came earlier.  Every group then holds
 about 1/n of the table, however large one key is.
 
-The cuts are found once and go into the plan as constants, so a task that is
+Where there are keys, ranges follow a hash of the key first, so the totals are
+about as many as keys and ranges together.  The cuts are found once and go into
+the plan as constants, so a task that is
 run again after a lost executor gets the same ranges.
 """
 
@@ -23,40 +25,67 @@ from heronlake.functions.timeparts import as_number
 BUCKET = "_bucket"
 
 
-def _cuts(df: DataFrame, col: str, n: int) -> list[float]:
-    number = df.select(as_number(col, dict(df.dtypes)[col]).alias("x"))
-    return number.approxQuantile("x", [i / n for i in range(1, n)], 0.2 / n)
+# Bytes of a text that fit into one double.
+CHUNK = 6
+LOWEST, HIGHEST = -1.7e308, 1.7e308
 
 
-def _ranged(df: DataFrame, col: str, cuts: list[float], out: str) -> DataFrame:
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    df = df.withColumn("_x", as_number(col, dict(df.dtypes)[col]))
-    splits = [float("-inf"), *cuts, float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep")
-    number = F.coalesce(F.col("_b").cast("int"), F.lit(-1))
-    return ranged.transform(df).withColumn(out, number).drop("_x", "_b")
+def _levels(df: DataFrame, order: list[str], keys: list[str]):
+    """Numbers to cut by, in turn, and the text that goes on after each of them."""
+    types = dict(df.dtypes)
+    if keys:
+        yield F.xxhash64(*keys).cast("double"), None
+    for c in order:
+        if types[c] == "string":
+            start = 0
+            while True:
+                chunk = F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), 1 + start, CHUNK)), 2 * CHUNK, "0")
+                start += CHUNK
+                # what is sent back tells whether rows that are still crowded go on
+                goes_on = yield F.conv(chunk, 16, 10).cast("double"), F.octet_length(c) > start
+                if not goes_on:
+                    break
+        else:
+            yield as_number(c, types[c]), None
 
 
 def order_buckets(
-    df: DataFrame, order_col: str, tie_col: str | None = None, buckets: int | None = None
+    df: DataFrame, order: str | list[str], keys: list[str] | None = None, buckets: int | None = None
 ) -> DataFrame:
-    """Add ``_bucket``, a range number that grows with ``order_col``.
-
-    A single order value that fills whole ranges (a third of the rows at one
-    time stamp) is split further by ranges of ``tie_col``; it opens its range,
-    so the other values there come after all of its parts.
+    """Add ``_bucket``, a range number that grows along ``order`` within a key.
+
+    Rows are cut into ranges of about equal count by a hash of ``keys``, if
+    there are any, so a key with few rows lies in one range.  A value that
+    fills whole ranges (a crowded key, a third of the rows at one time stamp)
+    is cut further by the next column, and so on, column by column, so ranges
+    never run against the order.  Such a value opens its range; the other
+    values there come after all of its parts.  Nulls come first, as Spark
+    sorts them.  Texts are cut by their bytes, six at a time.
     """
+    order = [order] if isinstance(order, str) else list(order)
     n = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    seen = Counter(_cuts(df, order_col, n))
-    out = _ranged(df, order_col, sorted(seen), BUCKET)
-    heavy = [v for v, times in seen.items() if times > 1]
-    if heavy and tie_col:
-        dtype = dict(df.dtypes)[order_col]
-        crowded = as_number(order_col, dtype).isin(heavy)
-        out = _ranged(out, tie_col, sorted(set(_cuts(df, tie_col, n))), "_tie")
-        step = F.when(crowded, F.col("_tie")).otherwise(F.lit(n))
-        out = out.withColumn(BUCKET, F.col(BUCKET) * (n + 1) + step).drop("_tie")
+    out, open_rows, crowd = df.withColumn(BUCKET, F.lit(0).cast("long")), df, F.lit(True)
+    levels = _levels(df, order, keys or [])
+    level = next(levels)
+    while level is not None:
+        number, longer = level
+        number = F.coalesce(F.nanvl(number, F.lit(HIGHEST)), F.lit(LOWEST))
+        seen = Counter(open_rows.select(number.alias("x")).approxQuantile("x", [i / n for i in range(1, n)], 0.2 / n))
+        if not seen:
+            break
+        splits = [float("-inf"), *sorted(seen), float("inf")]
+        placed = Bucketizer(splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep").transform(out.withColumn("_x", number))
+        step = F.when(crowd, F.col("_b").cast("long")).otherwise(len(splits))
+        out = placed.withColumn(BUCKET, F.col(BUCKET) * (len(splits) + 1) + step).drop("_x", "_b")
+        heavy = [v for v, times in seen.items() if times > 1]
+        if not heavy:
+            break
+        crowd = crowd & number.isin(heavy)
+        open_rows = df.where(crowd)
+        try:
+            level = levels.send(longer is not None and not open_rows.where(longer).isEmpty())
+        except StopIteration:
+            break
     return out
 
 
@@ -160,7 +189,7 @@ def quantiles(
     """
     keys = keys or []
     rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    counts = order_buckets(rows, value).groupBy(*keys, value, BUCKET).agg(F.count("*").alias("_n"))
+    counts = order_buckets(rows, value, keys).groupBy(*keys, value, BUCKET).agg(F.count("*").alias("_n"))
     size = F.col("_n")
     ranked = scan(counts, keys, [value], {"_cum": ("sum", size, True), "_all": ("total", size, True)})
     picks = []
@@ -197,7 +226,7 @@ def interval_runs(
     starts = df.groupBy(*keys, start).agg(
         F.max(end).alias(end), *[first.alias(n) for n, (first, _) in extra.items()]
     )
-    ranged = order_buckets(starts, start)
+    ranged = order_buckets(starts, start, keys)
     reach = scan(ranged, keys, [start], {"_reach": ("max", F.col(end), False)})
     fresh = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)
     runs = scan(reach, keys, [start], {"run": ("sum", fresh.cast("long"), True)})
@@ -213,7 +242,7 @@ def consecutive_runs(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     The column must be unique within a key; the value minus its row number is
     constant along a run.
     """
-    numbered = row_numbers(order_buckets(df, column), keys, [column], "_rn")
+    numbered = row_numbers(order_buckets(df, column, keys), keys, [column], "_rn")
     island = (F.col(column) - F.col("_rn")).alias("_island")
     return numbered.groupBy(*keys, island).agg(
         F.min(column).alias("start_id"), F.max(column).alias("end_id"), F.count("*").alias("length")

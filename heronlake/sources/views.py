@@ -143,7 +143,7 @@ def consecutive_pairs(lineitem: DataFrame, column: str) -> DataFrame:
 def next_order_edges(orders: DataFrame) -> DataFrame:
     """Each order points to the same customer's next order."""
     ranged = order_buckets(
-        orders.select("o_custkey", "o_orderdate", "o_orderkey"), "o_orderdate", "o_orderkey"
+        orders.select("o_custkey", "o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], ["o_custkey"]
     )
     before = scan(
         ranged, ["o_custkey"], ["o_orderdate", "o_orderkey"],

@@ -1,5 +1,6 @@
 """Crowded keys, ties, nulls and empty inputs against brute force."""
 
+import math
 import random
 import statistics
 
@@ -30,7 +31,7 @@ def test_scan_equals_a_plain_window(spark, reverse):
         "s": ("sum", F.col("v"), True), "lo": ("min", F.col("v"), False), "hi": ("max", F.col("v"), True),
         "prev": ("last", F.col("v"), False), "all": ("total", F.col("v"), True),
     }
-    got = scan(order_buckets(df, "pos", "id"), ["k"], ["pos", "id"], specs, reverse=reverse)
+    got = scan(order_buckets(df, ["pos", "id"], ["k"]), ["k"], ["pos", "id"], specs, reverse=reverse)
     order = [F.desc("pos"), F.desc("id")] if reverse else ["pos", "id"]
     upto = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -43,13 +44,13 @@ def test_scan_equals_a_plain_window(spark, reverse):
 
 def test_ranges_split_a_crowded_position(spark):
     df = spark.createDataFrame([(5, i) for i in range(800)], "pos long, id long")
-    sizes = [r["count"] for r in order_buckets(df, "pos", "id").groupBy("_bucket").count().collect()]
+    sizes = [r["count"] for r in order_buckets(df, ["pos", "id"]).groupBy("_bucket").count().collect()]
     assert len(sizes) >= 4 and max(sizes) < 400
 
 
 def test_ranges_split_a_crowded_key(spark):
     df = spark.range(8000).select(F.lit(1).alias("k"), "id")
-    sizes = [r["count"] for r in order_buckets(df, "id").groupBy("k", "_bucket").count().collect()]
+    sizes = [r["count"] for r in order_buckets(df, "id", ["k"]).groupBy("k", "_bucket").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 1500
 
 
@@ -94,24 +95,122 @@ def series_rows(spark):
     return df, by_key(spark, [tuple(r) for r in df.collect()])
 
 
-@pytest.mark.parametrize("whole", [0, 100])
-def test_gaps_across_ranges(series_rows, whole):
-    df, lists = series_rows
-    got = {}
-    for r in series.next_greater_gap(df, ["k"], ["pos", "id"], "v", whole).orderBy("k", "rn").collect():
-        got.setdefault(r["k"], []).append(r["gap"])
-    for k, vs in lists.items():
-        assert got[k] == [next((j - i for j in range(i + 1, len(vs)) if vs[j] > vs[i]), 0) for i in range(len(vs))]
-
-
-@pytest.mark.parametrize("shape", ["random", "rising", "falling"])
+@pytest.mark.parametrize("shape", ["random", "rising", "falling", "nulls"])
+def test_gaps_across_ranges(spark, shape):
+    rng = random.Random(2)
+    rows = []
+    for key, size in ((1, 160), (2, 30), (None, 20)):
+        for i in range(size):
+            v = {"rising": i, "falling": -i}.get(shape, rng.randrange(15))
+            rows.append((key, i, None if shape == "nulls" and rng.random() < 0.34 else v))
+    got = series.next_greater_gap(spark.createDataFrame(rows, "k long, pos long, v long"), ["k"], ["pos"], "v").collect()
+    want = []
+    for key in (1, 2, None):
+        vs = [v for k, _, v in rows if k == key]
+        for i, v in enumerate(vs):
+            later = (j - i for j in range(i + 1, len(vs)) if v is not None and vs[j] is not None and vs[j] > v)
+            want.append((key, i + 1, next(later, 0)))
+    assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("shape", ["random", "rising", "falling", "nulls"])
 def test_running_median_across_blocks(spark, shape):
     rng = random.Random(5)
-    vs = [float(rng.randrange(30)) for _ in range(150)]
-    vs = {"random": vs, "rising": sorted(vs), "falling": sorted(vs, reverse=True)}[shape]
-    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(vs)] + [("b", 0, 9.0)], "k string, pos long, v double")
-    got = series.running_median(df, ["k"], ["pos"], "v", block=8).where("k = 'a'").orderBy("pos").collect()
-    assert [r["running_median"] for r in got] == [statistics.median(vs[: i + 1]) for i in range(len(vs))]
+    rows = []
+    for key, size in (("a", 150), ("b", 20), (None, 30)):
+        for i in range(size):
+            v = {"rising": float(i), "falling": float(-i)}.get(shape, float(rng.randrange(30)))
+            rows.append((key, i, None if shape == "nulls" and rng.random() < 0.34 else v))
+    df = spark.createDataFrame(rows, "k string, pos long, v double")
+    got = sorted((tuple(r) for r in series.running_median(df, ["k"], ["pos"], "v", block=8).collect()), key=str)
+    want = []
+    for key in ("a", "b", None):
+        seen = []
+        for k, pos, v in rows:
+            if k == key:
+                seen += [] if v is None else [v]
+                want.append((key, pos, statistics.median(seen) if seen else None))
+    assert got == sorted(want, key=str)
+
+
+def test_ranks_of_a_growing_set():
+    import numpy as np
+
+    rng = random.Random(3)
+    for _ in range(50):
+        known = np.array([float(rng.randrange(9)) for _ in range(rng.randrange(0, 20))])
+        own = np.array([float(rng.randrange(9)) for _ in range(rng.randrange(1, 20))])
+        ranks = np.array([rng.randrange(1, len(known) + i + 2) for i in range(len(own))])
+        want = [sorted([*known, *own[:i + 1]])[r - 1] for i, r in enumerate(ranks)]
+        assert series.ranks_along(known, own, ranks).tolist() == want
+
+
+def crowded(seed, n=300):
+    """Four order columns: half of the rows share the first, a third the first two."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        a = 5 if rng.random() < 0.5 else rng.randrange(10)
+        b = 3 if rng.random() < 0.6 else rng.randrange(8)
+        rows.append((rng.choice([1, 1, 2]), a, b, rng.randrange(4), n - i, rng.randrange(1, 9)))
+    return rows
+
+
+@pytest.mark.parametrize("columns", [["a", "b", "id"], ["a", "b", "c", "id"]])
+def test_crowded_values_are_cut_column_by_column(spark, columns):
+    rows = crowded(len(columns))
+    names = ["k", "a", "b", "c", "id", "v"]
+    df = spark.createDataFrame(rows, "k long, a long, b long, c long, id long, v long")
+    ordered = {}
+    for r in sorted(rows, key=lambda r: [r[names.index(c)] for c in columns]):
+        ordered.setdefault(r[0], []).append(r[5])
+    first = lambda out: {r["k"]: r[1] for r in out.collect()}
+
+    def by_row(out, column):
+        got = {}
+        for r in sorted(out.collect(), key=lambda r: [r[c] for c in columns]):
+            got.setdefault(r["k"], []).append(r[column])
+        return got
+
+    running = scan(order_buckets(df, columns, ["k"]), ["k"], columns, {"s": ("sum", F.col("v"), True)})
+    assert by_row(running, "s") == {k: [sum(vs[:i + 1]) for i in range(len(vs))] for k, vs in ordered.items()}
+    assert by_row(series.sliding_max(df, ["k"], columns, "v", 3), "window_max") == {
+        k: [max(vs[i:i + 3]) for i in range(len(vs) - 2)] for k, vs in ordered.items()
+    }
+    assert first(series.max_multi_profit(df, ["k"], columns, "v")) == {
+        k: sum(max(0, y - x) for x, y in zip(vs, vs[1:])) for k, vs in ordered.items()
+    }
+    assert first(series.count_runs_with_sum(df, ["k"], columns, "v", 20)) == {
+        k: sum(sum(vs[i:j]) == 20 for i in range(len(vs)) for j in range(i + 1, min(len(vs), i + 25) + 1)) for k, vs in ordered.items()
+    }
+    assert first(series.shortest_run_at_least(df, ["k"], columns, "v", 40)) == {
+        k: min((j - i for i in range(len(vs)) for j in range(i + 1, len(vs) + 1) if sum(vs[i:j]) >= 40), default=0)
+        for k, vs in ordered.items()
+    }
+    few = df.where("k = 2").withColumn("v", F.when(F.col("id") % 40 == 0, 2).otherwise(1))
+    small = sorted((r for r in few.collect()), key=lambda r: [r[c] for c in columns])
+    products = {}
+    for i, r in enumerate(small):
+        products[r["id"]] = math.prod(x["v"] for j, x in enumerate(small) if j != i)
+    assert {r["id"]: r["product"] for r in series.product_except_self(few, ["k"], columns, "v").collect()} == products
+
+
+def test_ranges_of_many_small_keys(spark):
+    rows = spark.range(6000).select(F.when(F.col("id") < 3000, F.lit(0)).otherwise(F.col("id") % 500 + 1).alias("k"), F.col("id").alias("pos"))
+    cells = order_buckets(rows, "pos", ["k"]).groupBy("k", "_bucket").count()
+    assert cells.count() <= 501 + 3 * 8
+    assert cells.agg(F.max("count")).first()[0] <= 1500
+
+
+def test_ranges_follow_text(spark):
+    rng = random.Random(1)
+    words = ["same long beginning " + rng.choice(["", "a", "é", "z" * 9, "\U0001f600"]) * rng.randrange(4) for _ in range(300)]
+    words += [rng.choice("abcé") * rng.randrange(5) for _ in range(200)] + [None] * 100
+    df = spark.createDataFrame(list(enumerate(words)), "id long, s string")
+    got = scan(order_buckets(df, ["s", "id"]), [], ["s", "id"], {"rn": ("sum", F.lit(1).cast("long"), True)})
+    want = df.withColumn("rn", F.row_number().over(Window.orderBy("s", "id")).cast("long"))
+    assert got.select("id", "rn").exceptAll(want.select("id", "rn")).isEmpty()
+    assert got.groupBy("_bucket").count().agg(F.max("count")).first()[0] <= 250
 
 
 def test_runs_with_sum(series_rows):
