@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -11,49 +9,58 @@ from heronlake.functions.exact import total
 from heronlake.plans.shared import scratch_path
 
 
-def file_stream(
-    spark: SparkSession, folder: str, schema: StructType, glob: str = "*.parquet", files: int | None = None
-) -> DataFrame:
-    """Parquet files of a folder as a stream, a bounded number per batch."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+def file_stream(spark: SparkSession, path: str, schema: StructType, files: int | None = None) -> DataFrame:
+    """A Parquet table, one file or a folder of part files, as a stream.
+
+    The path is turned into a pattern that matches its own name alone, which
+    the file source takes for a file and for a folder.  ``files`` bounds the
+    files of a batch.
+    """
+    reader = spark.readStream.schema(schema)
     if files:
         reader = reader.option("maxFilesPerTrigger", files)
-    return reader.parquet(folder)
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return reader.parquet(f"{folder}/[{name[0]}]{name[1:]}")
+
+
+def _run(stream: DataFrame, batch, mode: str = "append") -> None:
+    spark = stream.sparkSession
+    writer = stream.writeStream.outputMode(mode).foreachBatch(batch)
+    writer = writer.option("checkpointLocation", scratch_path(spark, "stream")).trigger(availableNow=True)
+    writer.start().awaitTermination()
 
 
 def stream_fare_total(trips: DataFrame) -> DataFrame:
     """Trips with a positive fare and their total, over all files present.
 
-    The state is one row; the complete result of that size goes to a table.
+    The state is one row; every batch replaces it in a file.  A stream without
+    files has no trips and no total.
     """
     spark = trips.sparkSession
+    target = scratch_path(spark, "fare-total")
     sums = trips.where(F.col("fare_amount") > 0).agg(
         F.count("*").alias("trips"), total("fare_amount").alias("total_fare")
     )
-    name = f"fare_total_{uuid.uuid4().hex}"
-    job = (
-        sums.writeStream.outputMode("complete").format("memory").queryName(name)
-        .option("checkpointLocation", scratch_path(spark, "stream")).trigger(availableNow=True).start()
-    )
-    job.awaitTermination()
-    return spark.table(name)
+    spark.createDataFrame([(0, None)], sums.schema).write.parquet(target)
+    _run(sums, lambda batch, _: batch.write.mode("overwrite").parquet(target), "complete")
+    return spark.read.schema(sums.schema).parquet(target)
 
 
-def stream_batch_counts(source: DataFrame) -> DataFrame:
-    """Rows of each batch of a stream: (batch, rows).
+def stream_batch_counts(source: DataFrame, size: int) -> DataFrame:
+    """Rows of the batches of ``size`` rows that a stream fills: (batch, rows).
 
-    Each batch writes its own folder, so a batch that is run again after a
-    failure replaces its result.
+    Batches go on over file borders; the last one holds what is left.  Each
+    micro-batch writes its own folder, so one that is run again after a
+    failure replaces its count.  A stream without files has no batch.
     """
     spark = source.sparkSession
     target = scratch_path(spark, "batches")
+    spark.createDataFrame([(0,)], "rows long").write.parquet(f"{target}/part=-1")
 
     def count(batch: DataFrame, number: int) -> None:
-        batch.agg(F.count("*").alias("rows")).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        batch.agg(F.count("*").alias("rows")).write.mode("overwrite").parquet(f"{target}/part={number}")
 
-    job = (
-        source.writeStream.foreachBatch(count).option("checkpointLocation", scratch_path(spark, "stream"))
-        .trigger(availableNow=True).start()
-    )
-    job.awaitTermination()
-    return spark.read.schema("rows long, batch long").option("basePath", target).parquet(f"{target}/batch=*")
+    _run(source, count)
+    rows = spark.read.schema("rows long, part long").parquet(target).agg(F.sum("rows")).first()[0]
+    left = F.lit(rows) - F.col("id") * size
+    return spark.range(-(-rows // size)).select(F.col("id").alias("batch"), F.least(F.lit(size).cast("long"), left).alias("rows"))
