@@ -66,31 +66,34 @@ def is_acyclic(edges: DataFrame) -> bool:
     """Whether a directed edge table has no cycle.
 
     Every round drops edges that start at a node without a way in or end at
-    one without a way out, and bridges every chosen node on a chain.  A chain
-    of any length is gone after a number of rounds that grows with its
-    logarithm; a cycle ends as an edge from a node to itself.  Where nodes
-    have several ways in and out, as on a ladder, one layer goes per round, so
-    the rounds are bounded by the longest path.
+    one without a way out.  If there is none, every node left has a way in and
+    a way out, so there is a cycle.  Then it bridges chosen nodes on chains,
+    so a chain of any length is gone after a number of rounds that grows with
+    its logarithm.  Where nodes have several ways in and out, as on a ladder,
+    one layer goes per round, so the rounds are bounded by the longest path.
     """
-    rounds = Rounds(edges.sparkSession, "cycles")
-    left, turn = rounds.save(edges.select("src", "dst").distinct()), 0
-    while True:
-        if left.isEmpty():
-            return True
-        if not left.where("src = dst").isEmpty():
-            return False
+    rounds, turn = Rounds(edges.sparkSession, "cycles"), 0
+
+    def save(df: DataFrame) -> tuple[DataFrame, int]:
+        seen = Observation()
+        return rounds.save(df.observe(seen, F.count("*").alias("n"))), seen.get["n"]
+
+    left, count = save(edges.select("src", "dst").distinct())
+    while count:
         turn += 1
-        leaving = left.groupBy("src").agg(F.count("*").alias("_n"))
-        coming = left.groupBy("dst").agg(F.count("*").alias("_n"))
-        kept = left.join(coming.select(F.col("dst").alias("src")), "src", "left_semi")
-        kept = kept.join(leaving.select(F.col("src").alias("dst")), "dst", "left_semi").select("src", "dst")
+        leaving, coming = left.select(F.col("src").alias("dst")).distinct(), left.select(F.col("dst").alias("src")).distinct()
+        kept = left.join(coming, "src", "left_semi").join(leaving, "dst", "left_semi").select("src", "dst")
+        before, (kept, count) = count, save(kept)
+        if count == before:
+            return False
         into = kept.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("i"), F.min("src").alias("before"))
         out = kept.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("o"), F.min("dst").alias("after"))
-        coin = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit(turn)), F.lit(2))
+        coin = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit(turn)), F.lit(2))  # noqa: B023,E731
         bridges = into.where("i = 1").join(out.where("o = 1"), "id").where((coin("id") == 1) & (coin("before") == 0))
         gone = bridges.select(F.col("before").alias("src"), F.col("id").alias("dst")).unionAll(
             bridges.select(F.col("id").alias("src"), F.col("after").alias("dst"))
         )
         rest = kept.join(gone, ["src", "dst"], "left_anti")
         new = bridges.select(F.col("before").alias("src"), F.col("after").alias("dst"))
-        left = rounds.save(rest.select("src", "dst").unionAll(new).distinct())
+        left, count = save(rest.select("src", "dst").unionAll(new).distinct())
+    return True
