@@ -50,9 +50,10 @@ def fill_group_median(t):
     return op.fill_group_median(t.trips.select("trip_id", "payment_type", "tip_amount"), "payment_type", "tip_amount")
 
 
-@query("select count(*) - (select count(*) from (select distinct l_orderkey, l_linenumber from lineitem)) as duplicates from lineitem")
+@query("""select count(*) - (select count(*) from (select distinct text, lang, source, n_chars from documents)) as duplicates
+          from documents""")
 def count_exact_duplicates(t):
-    return op.count_exact_duplicates(t.lineitem.select("l_orderkey", "l_linenumber"))
+    return op.count_exact_duplicates(t.documents.drop("doc_id"))
 
 
 @query("""select cast(sum(n - 1) as bigint) as duplicates from (select count(*) as n from lineitem

@@ -6,12 +6,12 @@ from heronlake.catalog.registry import query, r
 from heronlake.functions.timeparts import day
 from heronlake.operators import cohorts as op
 
-BACK = """with d as (select distinct user_id as p, cast(ts as date) as d from events where event_type <> 'view'),
+BACK = """with d as (select distinct user_id as p, cast(ts as date) as d from events),
     f as (select p, min(d) as f from d group by 1)"""
 
 
 def activity(t):
-    return t.events.where("event_type <> 'view'").select(
+    return t.events.select(
         F.col("user_id").alias("player_id"), day("ts").alias("event_date")
     )
 

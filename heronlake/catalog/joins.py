@@ -19,13 +19,11 @@ def emp(t):
 
 
 @query("""select o_orderkey as person_id, o_custkey as last_name, l_partkey as city, l_quantity as state
-          from orders left join (select * from lineitem where l_returnflag = 'R') l
-          on o_orderkey = l_orderkey""")
+          from orders left join lineitem on o_orderkey = l_orderkey""")
 def person_address(t):
     return op.person_address(
         t.orders.selectExpr("o_orderkey as person_id", "o_custkey as last_name"),
-        t.lineitem.where("l_returnflag = 'R'")
-        .selectExpr("l_orderkey as person_id", "l_partkey as city", "l_quantity as state"),
+        t.lineitem.selectExpr("l_orderkey as person_id", "l_partkey as city", "l_quantity as state"),
     )
 
 

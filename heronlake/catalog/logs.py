@@ -12,9 +12,7 @@ from heronlake.sources import tables as io
           select 'ERROR' as pattern, line_no, line from n where level = 'ERROR'
           union all select 'not INFO', line_no, line from n where level <> 'INFO'""", views="logs lines")
 def log_lines_by_level(t):
-    errors = op.log_lines_by_level(t.log_lines, "line_key", "ERROR").withColumn("pattern", F.lit("ERROR"))
-    others = op.log_lines_by_level(t.log_lines, "line_key", "INFO", invert=True)
-    return errors.unionByName(others.withColumn("pattern", F.lit("not INFO")))
+    return op.log_lines_by_patterns(t.log_lines, "line_key", {"ERROR": ("ERROR", False), "not INFO": ("INFO", True)})
 
 
 @query("select line from lines where level = 'ERROR' and job = 'error_pipeline'", views="logs lines")

@@ -113,15 +113,16 @@ def pivot_months(t):
     )
 
 
+REGIONS = {"0": "africa", "1": "america", "2": "asia", "3": "europe", "4": "middle_east"}
+
+
 @query("""with k as (select s_name as name, n_regionkey as g, row_number() over (partition by n_regionkey
-              order by s_suppkey) as rn from supplier join nation on s_nationkey = n_nationkey)
-          select rn, max(case when g = 1 then name end) as america, max(case when g = 2 then name end) as asia,
-          max(case when g = 3 then name end) as europe from k where g in (1, 2, 3) group by rn""")
+              order by s_name) as rn from supplier join nation on s_nationkey = n_nationkey) select rn, """
+       + ", ".join(f"max(case when g = {g} then name end) as {out}" for g, out in REGIONS.items()) + " from k group by rn")
 def pivot_by_rownum(t):
     students = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    students = students.selectExpr("s_suppkey", "s_name as name", "cast(n_regionkey as string) as continent")
-    return op.pivot_by_rownum(students.where("continent in ('1', '2', '3')"),
-                              {"1": "america", "2": "asia", "3": "europe"}, "s_suppkey")
+    students = students.selectExpr("s_name as name", "cast(n_regionkey as string) as continent")
+    return op.pivot_by_rownum(students, REGIONS, "name")
 
 
 @query("select cast(hour(pickup_ts) as int) as hour, "

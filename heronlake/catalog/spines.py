@@ -37,8 +37,8 @@ def working_driver_pct(t):
     return op.working_driver_pct(drivers, rides, accepted, 2000)
 
 
-@query("""with s as (select cast(ts as date) as d, user_id as u, case event_type when 'view' then 'mobile'
-              else 'desktop' end as p, value from events where event_type in ('view', 'click')),
+@query("""with s as (select cast(ts as date) as d, user_id as u, case when event_type in ('view', 'click') then 'mobile'
+              else 'desktop' end as p, value from events),
           k as (select d, u, case when count(distinct p) = 2 then 'both' else max(p) end as p,
               sum(cast(value as decimal(18,6))) as s from s group by 1, 2),
           q as (select * from (select distinct d from s), (values ('desktop'), ('mobile')) v(p))
@@ -46,9 +46,9 @@ def working_driver_pct(t):
           count(distinct u) as total_users from q left join k on k.d = q.d and k.p = q.p group by 1, 2""")
 def purchase_platform(t):
     return op.purchase_platform(
-        t.events.where("event_type in ('view', 'click')").select(
+        t.events.select(
             day("ts").alias("spend_date"), "user_id", F.col("value").alias("amount"),
-            F.when(F.col("event_type") == "view", "mobile").otherwise("desktop").alias("platform"),
+            F.when(F.col("event_type").isin("view", "click"), "mobile").otherwise("desktop").alias("platform"),
         )
     )
 

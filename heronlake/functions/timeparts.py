@@ -31,6 +31,19 @@ def month_start(c) -> Column:
     return F.trunc(F.to_date(_col(c)), "month")
 
 
+def in_year(c, year: int) -> Column:
+    """Whether a date or timestamp lies in a year, as a range that file readers can skip by."""
+    c = _col(c)
+    return (c >= F.lit(f"{year}-01-01").cast("date")) & (c < F.lit(f"{year + 1}-01-01").cast("date"))
+
+
+def in_month(c, month: str) -> Column:
+    """Whether a date or timestamp lies in a month given as ``yyyy-MM``, as a range."""
+    c, (year, number) = _col(c), map(int, month.split("-"))
+    after = f"{year + number // 12}-{number % 12 + 1:02d}-01"
+    return (c >= F.lit(f"{month}-01").cast("date")) & (c < F.lit(after).cast("date"))
+
+
 def hour_start(c) -> Column:
     """Start of the hour, kept without a zone."""
     c = _col(c)

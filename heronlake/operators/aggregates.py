@@ -6,10 +6,10 @@ shuffle, so a hot group reaches its task as one row per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from heronlake.functions.exact import dec, flag, mean, ratio, rnd, total
-from heronlake.functions.timeparts import month_key, seconds_between
+from heronlake.functions.timeparts import in_year, month_key, seconds_between
 from heronlake.operators.scalar import bucket_case
 from heronlake.plans.ordered import quantiles
 from heronlake.plans.skew import keys_of
@@ -107,7 +107,7 @@ def biggest_single_number(numbers: DataFrame) -> DataFrame:
 
 def positive_revenue(invoices: DataFrame, year: int) -> DataFrame:
     """Customers whose revenue in one year is above zero."""
-    yearly = invoices.where(F.col("year") == year).groupBy("customer_id")
+    yearly = invoices.where(in_year("billed_on", year)).groupBy("customer_id")
     return yearly.agg(F.sum(dec("revenue")).alias("s")).where("s > 0").select("customer_id")
 
 
@@ -173,7 +173,7 @@ def products_by_date(activities: DataFrame) -> DataFrame:
 
 def latest_login(logins: DataFrame, year: int) -> DataFrame:
     """Latest login of each user in one year."""
-    inside = logins.where(F.year("time_stamp") == year)
+    inside = logins.where(in_year("time_stamp", year))
     return inside.groupBy("user_id").agg(F.max("time_stamp").alias("last_stamp"))
 
 
@@ -263,26 +263,26 @@ def revenue_rollup(items: DataFrame, sellers: DataFrame) -> DataFrame:
     """Orders and revenue per state and city with subtotals and a grand total.
 
     An order may have sellers in several cities, so each level counts orders of
-    its own.  The levels share one table of (state, city, order) sums; a plain
-    rollup would copy every row once per level before the distinct count.  A
-    state that is really null keeps its null and is no subtotal.
+    its own.  Rows are placed by order once; there each (order, state, city) is
+    marked if it is the first of its order in the state, and the first at all.
+    Every level then adds up marks of the small table by city.  A state that
+    is really null keeps its null and is no subtotal.
     """
-    sold = items.join(sellers, "seller_id").groupBy("seller_state", "seller_city", "order_id").agg(
-        F.sum(dec("price")).alias("p")
-    )
-    by_city = sold.groupBy("seller_state", "seller_city").agg(F.count("*").alias("n"), F.sum("p").alias("p"))
-
-    def above(by: list[str]) -> DataFrame:
-        orders = sold.select(*by, "order_id").distinct().groupBy(*by).agg(F.count("*").alias("n"))
-        sums = by_city.groupBy(*by).agg(F.sum("p").alias("p"))
-        both = orders.unionByName(sums, allowMissingColumns=True)
-        return both.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
+    placed = items.join(sellers, "seller_id").repartition("order_id")
+    sold = placed.groupBy("order_id", "seller_state", "seller_city").agg(F.sum(dec("price")).alias("p"))
+    in_state = F.row_number().over(Window.partitionBy("order_id", "seller_state").orderBy("seller_city"))
+    at_all = F.row_number().over(Window.partitionBy("order_id").orderBy("seller_state", "seller_city"))
+    marked = sold.select("seller_state", "seller_city", "p", flag(in_state == 1).alias("s"), flag(at_all == 1).alias("a"))
+    sums = [F.sum("s").alias("s"), F.sum("a").alias("a"), F.sum("p").alias("p")]
+    by_city = marked.groupBy("seller_state", "seller_city").agg(F.count("*").alias("n"), *sums)
+    by_state = by_city.groupBy("seller_state").agg(*sums)
+    total_row = by_state.agg(F.coalesce(F.sum("a"), F.lit(0).cast("long")).alias("n"), F.sum("p").alias("p"))
 
     every_state, every_city = F.lit("ALL STATES"), F.lit("ALL CITIES")
     levels = (
         (by_city, F.col("seller_state"), F.col("seller_city")),
-        (above(["seller_state"]), F.col("seller_state"), every_city),
-        (above([]), every_state, every_city),
+        (by_state.withColumnRenamed("s", "n"), F.col("seller_state"), every_city),
+        (total_row, every_state, every_city),
     )
     rows = [
         df.select(state.alias("state"), city.alias("city"), F.col("n").alias("total_orders"), rnd("p").alias("revenue"))

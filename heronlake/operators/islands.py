@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from heronlake.functions.timeparts import in_year
 from heronlake.plans.ordered import (
     consecutive_runs,
     interval_runs,
@@ -39,7 +40,7 @@ def contiguous_dates(failed: DataFrame, succeeded: DataFrame, year: int) -> Data
     """Periods of consecutive days in one state within a year."""
     rows = failed.select(F.col("fail_date").alias("dt"), F.lit("failed").alias("period_state")).unionAll(
         succeeded.select(F.col("success_date").alias("dt"), F.lit("succeeded").alias("period_state"))
-    ).where(F.year("dt") == year).distinct()
+    ).where(in_year("dt", year)).distinct()
     epoch = F.lit("1970-01-01").cast("date")
     runs = consecutive_runs(rows.withColumn("n", F.date_diff("dt", epoch)), ["period_state"], "n")
     return runs.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from heronlake.functions.exact import dec, flag, mean, ratio, rnd, total
-from heronlake.functions.timeparts import seconds_between
+from heronlake.functions.timeparts import in_year, seconds_between
 from heronlake.plans.ordered import interval_runs
 from heronlake.plans.skew import attach, keep_matching, keys_of
 
@@ -88,7 +88,7 @@ def cancellation_rate(trips: DataFrame, users: DataFrame, start: str, end: str)
 
 def market_analysis(users: DataFrame, orders: DataFrame, year: int) -> DataFrame:
     """Every user with the number of orders in one year, 0 for none."""
-    made = orders.where(F.year("order_date") == year).groupBy("user_id").agg(F.count("*").alias("n"))
+    made = orders.where(in_year("order_date", year)).groupBy("user_id").agg(F.count("*").alias("n"))
     return users.join(made, "user_id", "left").select(
         "user_id", "join_date", F.coalesce("n", F.lit(0)).alias("orders_in_year")
     )
@@ -125,7 +125,7 @@ def visits_without_txn(visits: DataFrame, txn: DataFrame) -> DataFrame:
 
 def sellers_no_sales(sellers: DataFrame, orders: DataFrame, year: int) -> DataFrame:
     """Sellers without an order in one year."""
-    active = orders.where(F.year("sale_date") == year)
+    active = orders.where(in_year("sale_date", year))
     return sellers.join(keys_of(active, "seller_id"), "seller_id", "left_anti").select("seller_name")
 
 

@@ -15,6 +15,14 @@ def log_lines_by_level(lines: DataFrame, key: str, level: str, invert: bool = Fa
     return numbered.where(~holds if invert else holds).select("line_no", F.col("value").alias("line"))
 
 
+def log_lines_by_patterns(lines: DataFrame, key: str, patterns: dict[str, tuple[str, bool]]) -> DataFrame:
+    """Numbered lines per pattern; a pattern is a level and whether to invert.  Lines are numbered once."""
+    numbered = row_numbers(order_buckets(lines, key), [], [key], "line_no")
+    met = [F.when(F.contains("value", F.lit(level)) != F.lit(invert), name) for name, (level, invert) in patterns.items()]
+    named = numbered.withColumn("pattern", F.explode(F.array_compact(F.array(*met))))
+    return named.select("pattern", "line_no", F.col("value").alias("line"))
+
+
 def log_regex_filter(lines: DataFrame, level: str, job: str) -> DataFrame:
     """Lines with the level and the job, in either order."""
     pattern = f"{level}.*{job}|{job}.*{level}"

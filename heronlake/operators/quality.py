@@ -9,6 +9,7 @@ from heronlake.functions.timeparts import is_rush_hour, is_weekend, minutes_betw
 from heronlake.operators.cleaning import dedup_keep, fill_by_column, iqr_fences
 from heronlake.operators.scalar import bucket_cut
 from heronlake.plans.ordered import order_buckets, quantiles, row_numbers
+from heronlake.plans.shared import cut_lineage
 from heronlake.sources.tables import ValidationError
 
 # Columns a trip job needs, defaults for its nulls, duplicate key.
@@ -129,7 +130,12 @@ def run_metrics(trips: DataFrame, max_fare: float = 500, min_distance: float = 0
 
 
 def enrich_trips(trips: DataFrame) -> DataFrame:
-    """Time features, duration, revenue per mile, total, bucket and outlier flag."""
+    """Time features, duration, revenue per mile, total, bucket and outlier flag.
+
+    The trips are written out once, as the fences read their fares several
+    times.
+    """
+    trips = cut_lineage(trips)
     fare = F.col("fare_amount")
     extra = F.coalesce("congestion_surcharge", F.lit(0.0)) if "congestion_surcharge" in trips.columns else F.lit(0.0)
     out = trips.withColumn("_f", iqr_fences(trips, "fare_amount"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from heronlake.functions.exact import dec, ratio, rnd
+from heronlake.functions.timeparts import in_year
 from heronlake.operators.reshape import MONTHS
 from heronlake.plans.skew import keys_of
 
@@ -33,7 +34,7 @@ def monthly_active_and_rides(drivers: DataFrame, rides: DataFrame, accepted: Dat
     """
     spark = drivers.sparkSession
     joined = drivers.groupBy(_joined_by_month("join_date", year).alias("month")).agg(F.count("*").alias("n"))
-    taken = rides.where(F.year("requested_at") == year).join(accepted, "ride_id")
+    taken = rides.where(in_year("requested_at", year)).join(accepted, "ride_id")
     per_month = taken.groupBy(F.month("requested_at").alias("month")).agg(F.count("*").alias("accepted"))
     months = spark.range(0, 13).select(F.col("id").cast("int").alias("month"))
     upto = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
@@ -50,7 +51,7 @@ def working_driver_pct(drivers: DataFrame, rides: DataFrame, accepted: DataFrame
     since = drivers.select("driver_id", _joined_by_month("join_date", year).alias("since")).where("since is not null")
     since = since.groupBy("driver_id").agg(F.min("since").alias("since"))
     joined = since.groupBy(F.col("since").alias("month")).agg(F.count("*").alias("n"))
-    taken = rides.where(F.year("requested_at") == year).join(accepted, "ride_id")
+    taken = rides.where(in_year("requested_at", year)).join(accepted, "ride_id")
     worked = taken.select(F.month("requested_at").alias("month"), "driver_id").distinct()
     active = worked.join(since, "driver_id").where("since <= month")
     busy = active.groupBy("month").agg(F.count("*").alias("busy"))
@@ -88,8 +89,8 @@ def transactions_per_visit(visits: DataFrame, txn: DataFrame) -> DataFrame:
     counts = joined.groupBy(
         F.coalesce(F.col("times") * F.col("n"), F.lit(0).cast("long")).alias("transactions_count")
     ).agg(F.count("*").alias("visits_count"))
-    top = counts.agg(F.max("transactions_count").alias("top"))
-    spine = top.select(F.explode(F.sequence(F.lit(0).cast("long"), "top")).alias("transactions_count"))
+    top = counts.agg(F.max("transactions_count")).first()[0]
+    spine = visits.sparkSession.range(0 if top is None else top + 1).withColumnRenamed("id", "transactions_count")
     return spine.join(counts, "transactions_count", "left").fillna(0, ["visits_count"])
 
 

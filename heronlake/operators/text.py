@@ -27,7 +27,7 @@ def palindrome_flag(text: str) -> Column:
 
 def last_word_length(text: str) -> Column:
     """Length of the last word, trailing blanks aside."""
-    return F.length(F.element_at(F.split(F.rtrim(F.col(text)), " "), -1))
+    return F.length(F.substring_index(F.rtrim(F.col(text)), " ", -1))
 
 
 def find_substring(text: str, needle: str) -> Column:
@@ -42,7 +42,11 @@ def letter_counts(df: DataFrame, key: str, text: str, out: str) -> DataFrame:
 
 
 def can_construct(notes: DataFrame, magazines: DataFrame, key: str) -> DataFrame:
-    """Whether the letters of a note can be cut from the magazine with its key."""
+    """Whether the letters of a note can be cut from the magazine with its key.
+
+    Only magazines that a note asks for are split into letters.
+    """
+    magazines = magazines.join(notes.select(key).distinct(), key, "left_semi")
     need = letter_counts(notes, key, "note", "need")
     have = letter_counts(magazines, key, "magazine", "have")
     short = need.join(have, [key, "letter"], "left").where("have is null or have < need").select(key).distinct()
@@ -52,13 +56,20 @@ def can_construct(notes: DataFrame, magazines: DataFrame, key: str) -> DataFrame
 
 
 def prefix_lookup(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
-    """For every query whether it is a word and whether some word starts with it."""
+    """For every query whether it is a word and whether some word starts with it.
+
+    Words are cut only at lengths that a query has.
+    """
+    asked = queries.select("word").distinct()
+    lengths = asked.select(F.length("word").alias("n")).distinct()
+    lengths = lengths.agg(F.array_sort(F.collect_set("n"))).scalar()
     size = F.length("word")
     starts = F.transform(
-        F.sequence(F.lit(1), size),
+        F.filter(F.col("_lengths"), lambda n: n <= size),
         lambda n: F.struct(F.substring(F.col("word"), F.lit(1), n).alias("word"), (n == size).alias("whole")),
     )
-    prefixes = vocabulary.select(F.explode(starts).alias("p")).groupBy("p.word").agg(F.max("p.whole").alias("whole"))
-    return queries.select("word").distinct().join(prefixes, "word", "left").select(
+    cut = vocabulary.withColumn("_lengths", lengths)
+    prefixes = cut.select(F.explode(starts).alias("p")).groupBy("p.word").agg(F.max("p.whole").alias("whole"))
+    return asked.join(prefixes, "word", "left").select(
         "word", F.coalesce("whole", F.lit(False)).alias("is_word"), F.col("whole").isNotNull().alias("is_prefix")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from heronlake.functions.exact import ratio, rnd
+from heronlake.functions.timeparts import in_month
 
 
 def nth_highest_salary(emp: DataFrame, n: int) -> DataFrame:
@@ -33,7 +34,7 @@ def movie_rating(ratings: DataFrame, users: DataFrame, movies: DataFrame, month:
     counts = ratings.groupBy("user_id").agg(F.count("*").alias("n"))
     named = counts.join(users, "user_id").groupBy("name").agg(F.sum("n").alias("n"))
     user = named.orderBy(F.desc("n"), "name").limit(1).select(F.col("name").alias("results"))
-    inside = ratings.where(F.date_format("created_at", "yyyy-MM") == month)
+    inside = ratings.where(in_month("created_at", month))
     sums = inside.groupBy("movie_id").agg(F.sum("rating").alias("s"), F.count("rating").alias("n"))
     titled = sums.join(movies, "movie_id").groupBy("title").agg(
         rnd(ratio(F.sum("s"), F.sum("n")), 6).alias("score")

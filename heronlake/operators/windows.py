@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from heronlake.functions.exact import dec, flag, mean, ratio, rnd, total
+from heronlake.functions.timeparts import in_year
 from heronlake.plans.ordered import order_buckets, scan
 from heronlake.plans.skew import attach, keep_matching
 
@@ -124,7 +125,7 @@ def moving_average_7(payments: DataFrame, days: int = 7) -> DataFrame:
 
 def rolling_3_month(months: DataFrame, rides: DataFrame, year: int) -> DataFrame:
     """Mean distance and duration of each month and the two before; no ride is 0."""
-    sums = rides.where(F.year("requested_at") == year).groupBy(F.month("requested_at").alias("month")).agg(
+    sums = rides.where(in_year("requested_at", year)).groupBy(F.month("requested_at").alias("month")).agg(
         F.sum(dec("ride_distance")).alias("d"), F.sum(dec("ride_duration")).alias("m")
     )
     filled = months.join(sums, "month", "left").fillna(0)

@@ -7,11 +7,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
-class IngestionError(Exception):
-    """The input cannot be read."""
+class JobError(Exception):
+    """A job cannot go on; what is wrong is in the fields of the subclass."""
 
 
-class ValidationError(Exception):
+class IngestionError(JobError):
+    """The input at ``path`` cannot be read, and why."""
+
+    def __init__(self, path: str, reason: str):
+        super().__init__(f"cannot read {path}: {reason}")
+        self.path, self.reason = path, reason
+
+
+class ValidationError(JobError):
     """The input lacks columns a job needs."""
 
     def __init__(self, message: str, missing: list[str]):
@@ -37,15 +45,20 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
 def ingest_by_format(
     spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> DataFrame:
-    """Pick the reader by suffix; anything unreadable is an IngestionError."""
+    """Pick the reader by suffix; anything unreadable is an IngestionError.
+
+    A CSV file says nothing about its types, so it needs a schema.
+    """
     suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
     if suffix not in ("parquet", "csv"):
-        raise IngestionError(f"unsupported file type: {path}")
+        raise IngestionError(path, "unsupported file type")
+    if suffix == "csv" and schema is None:
+        raise IngestionError(path, "a CSV file needs a schema")
     reader = spark.read.schema(schema) if schema else spark.read
     try:
         return reader.parquet(path) if suffix == "parquet" else reader.csv(path, header=True)
     except AnalysisException as error:
-        raise IngestionError(f"cannot read {path}: {error.getCondition()}") from error
+        raise IngestionError(path, error.getCondition()) from error
 
 
 def parse_log(lines: DataFrame, line: str = "value") -> DataFrame:
