@@ -291,14 +291,29 @@ def test_rank_filters_on_empty_input(spark):
     assert islands.merge_intervals(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
-def test_streams_over_several_files(spark, tmp_path):
-    path = str(tmp_path / "trips")
-    spark.range(100).selectExpr("id", "cast(id - 10 as double) as fare_amount").repartition(4).write.parquet(path)
-    schema = spark.read.parquet(path).schema
+@pytest.mark.parametrize("parts", [1, 4])
+def test_streams_read_the_whole_table(spark, tmp_path, parts):
+    """A folder of part files and a single file give the same answers."""
+    path = str(tmp_path / "trips.parquet")
+    rows = spark.range(100).selectExpr("id", "cast(id - 10 as double) as fare_amount").repartition(parts)
+    if parts == 1:
+        rows.toPandas().to_parquet(path)
+    else:
+        rows.write.parquet(path)
+    rows.write.parquet(str(tmp_path / "xtrips.parquet"))
+    schema = rows.schema
     total = jobs.stream_fare_total(jobs.file_stream(spark, path, schema, files=1)).first()
     assert tuple(total) == (89, 4005.0)
-    batches = jobs.stream_batch_counts(jobs.file_stream(spark, path, schema, files=1)).collect()
-    assert len(batches) == 4 and sum(r["rows"] for r in batches) == 100
+    batches = jobs.stream_batch_counts(jobs.file_stream(spark, path, schema, files=1), 30).orderBy("batch").collect()
+    assert [tuple(r) for r in batches] == [(0, 30), (1, 30), (2, 30), (3, 10)]
+
+
+def test_streams_without_files(spark, tmp_path):
+    path = tmp_path / "none.parquet"
+    path.mkdir()
+    schema = spark.range(1).selectExpr("id", "cast(id as double) as fare_amount").schema
+    assert tuple(jobs.stream_fare_total(jobs.file_stream(spark, str(path), schema)).first()) == (0, None)
+    assert jobs.stream_batch_counts(jobs.file_stream(spark, str(path), schema), 30).collect() == []
 
 
 def test_plans(spark):
@@ -310,6 +325,14 @@ def test_plans(spark):
     for name in ("students_examinations", "adjacent_free_seats", "overlapping_sessions", "purchase_platform"):
         assert "CartesianProduct" not in plan(name) and "NestedLoop" not in plan(name)
     assert "TakeOrdered" in plan("kth_largest")
+    dated = {
+        "market_analysis": "o_orderdate", "sellers_no_sales": "o_orderdate", "positive_revenue": "l_shipdate",
+        "latest_login": "o_orderdate", "rolling_3_month": "o_orderdate", "movie_rating": "ts",
+        "monthly_active_and_rides": "o_orderdate", "working_driver_pct": "o_orderdate",
+    }
+    for name, column in dated.items():
+        pushed = [x for x in plan(name).split("\n") if "PushedFilters" in x]
+        assert any(f"GreaterThanOrEqual({column}" in x and f"LessThan({column}" in x for x in pushed), name
     assert "WindowGroupLimit" in plan("second_most_recent")
 
 
