@@ -83,8 +83,14 @@ def reach_both(t):
     return op.reach_both(t.grid)
 
 
-@query("""select 'chain' as dependencies, count(*) as edges, true as can_finish from order_chain
-          union all select 'chain and a way back', count(*) + 1, false from order_chain""", views="order_chain")
+@query("""with recursive looped as (select src, dst from order_chain
+              union all (select dst, src from order_chain order by src limit 1)),
+          w(s, d) as (select src, dst from order_chain union select w.s, e.dst from w join order_chain e on e.src = w.d),
+          x(s, d) as (select src, dst from looped union select x.s, e.dst from x join looped e on e.src = x.d)
+          select 'chain' as dependencies, (select count(*) from order_chain) as edges,
+              not exists (select 1 from w where s = d) as can_finish
+          union all select 'chain and a way back', (select count(*) from looped), not exists (select 1 from x where s = d)""",
+       views="order_chain")
 def has_no_cycle(t):
     chain = next_order_edges(t.orders)
     back = chain.orderBy("src").limit(1).selectExpr("dst as src", "src as dst")

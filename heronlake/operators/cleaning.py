@@ -148,15 +148,19 @@ def winsorize(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99)
     ).drop("_q")
 
 
+# Characters that clean names and phone numbers lose.
+NAME_MARKS, PHONE_MARKS = r"['-]", r"[\s().+-]"
+
+
 def clean_store_name(name) -> Column:
     """Trimmed lower case without apostrophes and hyphens, single blanks."""
-    plain = F.regexp_replace(F.lower(F.trim(name)), r"['-]", "")
+    plain = F.regexp_replace(F.lower(F.trim(name)), NAME_MARKS, "")
     return F.regexp_replace(plain, r"\s+", " ")
 
 
 def clean_phone(phone) -> Column:
     """Digits without punctuation and without the leading country code 1."""
-    return F.regexp_replace(F.regexp_replace(phone, r"[\s().+-]", ""), "^1", "")
+    return F.regexp_replace(F.regexp_replace(phone, PHONE_MARKS, ""), "^1", "")
 
 
 # Fixed value: shape of a mail address.

@@ -86,9 +86,13 @@ def prefix_token_match(df: DataFrame, column: str, prefix: str) -> DataFrame:
     return df.where(F.col(column).like(f"{prefix}%") | F.col(column).like(f"% {prefix}%"))
 
 
+# Fixed value: shape of the part of a mail address before the domain.
+MAIL_NAME = r"^[a-zA-Z][a-zA-Z0-9_.-]*@"
+
+
 def valid_email_sql(users: DataFrame, domain: str) -> DataFrame:
     """Users whose mail starts with a letter and is at the one domain."""
-    pattern = r"^[a-zA-Z][a-zA-Z0-9_.-]*@" + domain.replace(".", r"\.") + "$"
+    pattern = MAIL_NAME + domain.replace(".", r"\.") + "$"
     return users.where(F.rlike("mail", F.lit(pattern)))
 
 
