@@ -41,6 +41,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """Mark a side whose rows grow with the corpus: it is joined by a shuffle at
+    every size, never sent whole to all tasks where a small input would allow it."""
+    return df.hint("shuffle_merge")
+
+
 def map_texts(docs: DataFrame, work: Callable[[list[str]], list[list]], schema: str) -> DataFrame:
     """One row per document: ``doc_id`` and the columns of ``schema``.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from heronlake.llm.common import whole_text, written
+from heronlake.llm.common import by_shuffle, whole_text, written
 
 
 def content_hash(text: Column) -> Column:
@@ -68,7 +68,7 @@ def drop_exact_copies(docs: DataFrame, keep: str = "min") -> DataFrame:
     gone = named.where(~F.col("kept")).select("_sha", "_id").distinct()
     again = named.where("kept").groupBy("_sha", "_id").count().where("count > 1").select("_sha", "_id")
     again = written(again, "dedup-again")
-    left = docs.join(gone, key, "left_anti")
+    left = docs.join(by_shuffle(gone), key, "left_anti")
     once = left.join(again, key, "left_anti")
     repeated = left.join(again, key, "left_semi")
     sha = repeated.withColumn("_sha", F.sha2(whole_text(), 256))

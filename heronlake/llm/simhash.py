@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from heronlake.llm.common import slices, whole_text, written
+from heronlake.llm.common import by_shuffle, slices, whole_text, written
 from heronlake.plans.graph import component_roots
 
 # Seed of the shingle hash; numbers of references and blocks;
@@ -193,7 +193,7 @@ def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: flo
 
     wanted = pairs.select(F.explode(F.array("src", "dst")).alias("fp")).distinct()
     wanted = written(nodes.join(wanted, "fp").select("low", "fp"), "simhash-wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("low"), whole_text().alias("text")).join(wanted, "low")
+    texts = docs.select(F.col("doc_id").cast("long").alias("low"), whole_text().alias("text")).join(by_shuffle(wanted), "low")
     sets = written(_shingle_sets(texts.select("fp", "text"), words).dropDuplicates(["fp"]), "simhash-shingles")
     left = sets.select(F.col("fp").alias("src"), F.col("shingles").alias("a"))
     right = sets.select(F.col("fp").alias("dst"), F.col("shingles").alias("b"))
@@ -260,4 +260,5 @@ def drop_near_copies(docs: DataFrame, similarity: float | None = 0.8, words: int
     """
     groups = near_groups(docs, similarity=similarity, words=words)
     gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(written(gone, "simhash-gone"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    gone = by_shuffle(written(gone, "simhash-gone"))
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
