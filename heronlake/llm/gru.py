@@ -6,7 +6,7 @@ import heapq
 
 import numpy as np
 
-HIDDEN, STREAMS, WINDOW = 16, 256, 32
+HIDDEN, STREAMS, WINDOW = 16, 512, 64
 
 
 def shapes(classes: int) -> dict[str, tuple[int, ...]]:
@@ -66,7 +66,10 @@ def streams(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    out = np.tanh(np.multiply(x, np.float32(0.5), out=x), out=x)
+    out += 1
+    out *= np.float32(0.5)
+    return out
 
 
 class Model:
@@ -74,34 +77,41 @@ class Model:
         self.flat, self.classes = flat.astype(np.float32).copy(), classes
         self.p = unpack(self.flat, classes)
 
-    def forward(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray):
+    def forward(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray, keep: bool = True):
         """States along a window; the state is zero where a document starts."""
         p, kept = self.p, []
+        given = (p["inp"] + p["bias"])[inputs]
+        starts = fresh.any(axis=1)
         states = np.empty((len(inputs), *h.shape), dtype=np.float32)
         for t in range(len(inputs)):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
-            x, r = p["inp"][inputs[t]] + p["bias"], h @ p["rec"]
+            if starts[t]:
+                h = np.where(fresh[t][:, None], np.float32(0), h)
+            x, r = given[t], h @ p["rec"]
             gates = sigmoid(x[:, :2 * HIDDEN] + r[:, :2 * HIDDEN])
-            z, g = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            new = np.tanh(x[:, 2 * HIDDEN:] + g * r[:, 2 * HIDDEN:])
-            kept.append((h, z, g, new, r[:, 2 * HIDDEN:]))
+            z, g, r = gates[:, :HIDDEN], gates[:, HIDDEN:], r[:, 2 * HIDDEN:]
+            new = np.tanh(x[:, 2 * HIDDEN:] + g * r)
+            if keep:
+                kept.append((h, z, g, new, r))
             h = new + z * (h - new)
             states[t] = h
         return states, kept, h
 
-    def log_shares(self, states: np.ndarray) -> np.ndarray:
-        logits = states.reshape(-1, HIDDEN) @ self.p["out"] + self.p["prior"]
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return logits
+    def weights(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class weights of each state and their sum.  States lie in -1..1 and the
+        gradient is clipped, so the exponents stay far from overflow."""
+        logits = states.reshape(-1, HIDDEN) @ self.p["out"]
+        logits += self.p["prior"]
+        weight = np.exp(logits, out=logits)
+        return weight, weight.sum(axis=1)
 
     def gradient(self, inputs, targets, fresh, live, states, kept) -> np.ndarray:
         """Of the mean loss over the window, back to its first step."""
         flat = np.zeros_like(self.flat)
         d, p = unpack(flat, self.classes), self.p
-        share = np.exp(self.log_shares(states))
-        share[np.arange(len(share)), targets.ravel()] -= 1
-        share *= (live.ravel() / max(1, live.sum()))[:, None].astype(np.float32)
+        share, whole = self.weights(states)
+        part = (live.ravel() / max(1, live.sum())).astype(np.float32)
+        share *= (part / whole)[:, None]
+        share[np.arange(len(share)), targets.ravel()] -= part
         d["out"] += states.reshape(-1, HIDDEN).T @ share
         d["prior"] += share.sum(axis=0)
         back = (share @ p["out"].T).reshape(states.shape)
@@ -169,12 +179,13 @@ def score(flat: np.ndarray, classes: int, docs: list[np.ndarray]) -> np.ndarray:
     model, total, h = Model(flat, classes), np.zeros(len(docs)), None
     for x, y, fresh, own, live in windows(docs, classes - 1) if docs else ():
         h = np.zeros((x.shape[1], HIDDEN), dtype=np.float32) if h is None else h[:x.shape[1]]
-        states, _, h = model.forward(h, x, fresh)
+        states, _, h = model.forward(h, x, fresh, keep=False)
         share = shares_of(model, states, y)
         total += np.bincount(own[live], weights=share[live], minlength=len(docs))
     return total / np.log(10)
 
 
 def shares_of(model: Model, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    logs = model.log_shares(states)
-    return logs[np.arange(len(logs)), targets.ravel()].reshape(targets.shape).astype(np.float64)
+    """Log shares of the targets."""
+    weight, whole = model.weights(states)
+    return np.log(weight[np.arange(len(weight)), targets.ravel()] / whole).reshape(targets.shape).astype(np.float64)

@@ -14,14 +14,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from heronlake.llm import gru
 from heronlake.llm.common import slices, whole_text, written
 
-# Fixed values.  The most frequent TABLE words are known in every task (a
-# bounded table); the first OWN of them are classes of their own, the others
+# Fixed values.  The most frequent words, at most TABLE, are known in every task
+# (a bounded table); the first OWN of them are classes of their own, the others
 # go by frequency into BINS classes.  All other words go by the last four bits
 # of their last byte into TAILS classes, and the end of a text is the last class.
 TABLE, OWN, BINS, TAILS = 1 << 17, 24, 8, 16
 CLASSES = OWN + BINS + TAILS + 1
 ADD = 0.1
-PIECE = 16 << 20
+# Bytes of text and of classes that are worked on together.
+PIECE, TOKENS = 4 << 20, 4 << 20
 
 
 def word_key(word: bytes) -> int:
@@ -67,6 +68,7 @@ class Table:
         rest = counts[OWN:].astype(float)
         part = np.minimum((np.cumsum(rest) - rest) / max(rest.sum(), 1) * BINS, BINS - 1).astype(int)
         self.classes = np.concatenate([np.arange(min(OWN, len(keys))), OWN + part]).astype(np.int16)
+        self.class_of = np.append(self.classes, 0)
         mass, size = np.zeros(CLASSES), np.zeros(CLASSES)
         np.add.at(mass, self.classes, counts)
         np.add.at(size, self.classes, 1)
@@ -82,9 +84,9 @@ class Table:
     def cut(self, text: str, cache: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """Words, their places, and the classes of all tokens with the end."""
         words = words_of(text)
-        places = np.fromiter((cache[w] for w in words), dtype=np.int32, count=len(words))
-        classes = np.full(len(words) + 1, CLASSES - 1, dtype=np.int16)
-        classes[:-1] = np.where(places < 0, OWN + BINS - 1 - places, np.append(self.classes, 0)[np.maximum(places, 0) if len(self.keys) else 0])
+        places = np.array(list(map(cache.__getitem__, words)), dtype=np.int32)
+        classes = np.full(len(words) + 1, CLASSES - 1, dtype=np.int8)
+        classes[:-1] = np.where(places < 0, OWN + BINS - 1 - places, self.class_of[np.maximum(places, 0)])
         return words, places, classes
 
 
@@ -107,8 +109,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def frequent_words(counts: DataFrame, most: int = TABLE) -> Table:
-    """The ``most`` most frequent words, and what the others come to per tail."""
-    top = counts.where("key is not null").orderBy(F.desc("n"), "key").limit(most).toPandas()
+    """The most frequent words, at most ``most``, and what the others come to per tail.
+
+    A histogram of counts, sixteen bins to each doubling, gives the lowest bin
+    from which on there are few enough words; only those words reach the
+    driver, and nothing is sorted.
+    """
+    words, step = counts.where("key is not null"), F.floor(F.log2("n") * 16).cast("int")
+    bins = {r["bin"]: r["count"] for r in words.groupBy(step.alias("bin")).count().collect()}
+    room, lowest = most, max(bins, default=0) + 1
+    for bin_ in sorted(bins, reverse=True):
+        room -= bins[bin_]
+        if room < 0:
+            break
+        lowest = bin_
+    top = words.where(step >= lowest).toPandas().sort_values(["n", "key"], ascending=[False, True])
     keys, n = top["key"].to_numpy(dtype=np.int64), top["n"].to_numpy(dtype=np.int64)
     sums = counts.groupBy(F.col("key").bitwiseAND(F.lit(15).cast("long")).alias("tail")).agg(F.sum("n").alias("n"), F.count("*").alias("v"))
     totals = {r["tail"]: (r["n"], r["v"]) for r in sums.collect()}
@@ -120,27 +135,68 @@ def frequent_words(counts: DataFrame, most: int = TABLE) -> Table:
     return Table(keys, n, tails, docs)
 
 
-def train_model(docs: DataFrame, table: Table, rounds: int = 1) -> np.ndarray:
-    """Parameters of the network, learnt from all documents given.
+def cut_texts(docs: DataFrame, table: Table) -> DataFrame:
+    """Per document what the frequent words give, its other words and its classes.
+
+    doc_id, text_key, n_tokens; ``known``, ``base`` and ``inside`` (log10
+    shares within their classes) of the frequent words; ``rare`` (key, n);
+    ``classes``, a byte per token with the end.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    source = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("text_key"), whole_text().alias("text")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        cache = Words({int(k): i for i, k in enumerate(own.keys)})
+        for batch in batches:
+            for part in slices(batch, 2, PIECE):
+                sizes, known, base, inside, classes, keys, times, ends = [], [], [], [], [], [], [], [0]
+                for text in part.column(2).to_pylist():
+                    words, places, kinds = own.cut(text, cache)
+                    top = places[places >= 0]
+                    sizes.append(len(kinds))
+                    known.append(len(top))
+                    base.append(float(own.base[top].sum()))
+                    inside.append(float(own.inside[top].sum()))
+                    others = Counter([words[i] for i in np.flatnonzero(places < 0)])
+                    keys.extend(map(word_key, others))
+                    times.extend(others.values())
+                    ends.append(len(keys))
+                    classes.append(kinds.tobytes())
+                pairs = pa.StructArray.from_arrays([pa.array(keys, pa.int64()), pa.array(times, pa.int64())], ["key", "n"])
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
+                    pa.array(base, pa.float64()), pa.array(inside, pa.float64()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs), pa.array(classes, pa.binary()),
+                ], ["doc_id", "text_key", "n_tokens", "known", "base", "inside", "rare", "classes"])
+
+    return source.mapInArrow(
+        run,
+        "doc_id long, text_key long, n_tokens long, known long, base double, inside double, "
+        "rare array<struct<key: long, n: long>>, classes binary",
+    )
+
+
+def train_model(texts: DataFrame, table: Table, rounds: int = 1) -> np.ndarray:
+    """Parameters of the network, learnt from the ``classes`` of all texts given.
 
     In a round every task runs over the whole documents of its partition, all
     windows, from the same parameters; what the tasks end with is averaged by
     tokens.  Averages are taken in about the square root of the number of
     tasks first, so the driver gets few vectors however large the input is.
     """
-    flat = gru.start(table.prior)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-    source = docs.select(whole_text().alias("text"))
+    flat, source = gru.start(table.prior), texts.select("classes")
 
     for _ in range(rounds):
         now = flat
 
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            own, after, moments, tokens = shared.value, now, None, 0
-            cache = Words({int(k): i for i, k in enumerate(own.keys)})
+            after, moments, tokens = now, None, 0
             for batch in batches:
-                for part in slices(batch, 0, PIECE):
-                    rows = [own.cut(t, cache)[2] for t in part.column(0).to_pylist()]
+                for part in slices(batch, 0, TOKENS):
+                    rows = [np.frombuffer(c, dtype=np.int8) for c in part.column(0).to_pylist()]
                     after, moments = gru.train(after, CLASSES, rows, moments)
                     tokens += sum(map(len, rows))
             if tokens:
@@ -162,48 +218,26 @@ def train_model(docs: DataFrame, table: Table, rounds: int = 1) -> np.ndarray:
     return flat
 
 
-def _vectors(rows: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([v.tobytes() for v, _ in rows], pa.binary()), pa.array([n for _, n in rows], pa.int64())], ["v", "n"]
-    )
-
+def score_classes(texts: DataFrame, flat: np.ndarray) -> DataFrame:
+    """doc_id, text_key, n_tokens, known, base and ``model``: log10 of the class
+    probabilities over the whole text and of the frequent words within them."""
+    columns = ["doc_id", "text_key", "n_tokens", "known", "base"]
 
-def score_frequent(docs: DataFrame, table: Table, flat: np.ndarray) -> DataFrame:
-    """Per document what needs no other table, and its other words.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 6, TOKENS):
+                rows = [np.frombuffer(c, dtype=np.int8) for c in part.column(6).to_pylist()]
+                model = gru.score(flat, CLASSES, rows) + part.column(5).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(5)], pa.array(model, pa.float64())], [*columns, "model"])
 
-    doc_id, text_key, n_tokens, ``known`` and ``base`` of the frequent words,
-    ``model`` (class probabilities by the network over the whole text, and the
-    frequent words within their classes), ``rare`` (key, n).
-    """
-    shared = docs.sparkSession.sparkContext.broadcast((table, flat))
-    source = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("text_key"), whole_text().alias("text")
+    return texts.select(*columns, "inside", "classes").mapInArrow(
+        run, "doc_id long, text_key long, n_tokens long, known long, base double, model double"
     )
-    pair = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, parameters = shared.value
-        cache = Words({int(k): i for i, k in enumerate(own.keys)})
-        for batch in batches:
-            for part in slices(batch, 2, PIECE):
-                known, base, inside, rare, classes = [], [], [], [], []
-                for text in part.column(2).to_pylist():
-                    words, places, kinds = own.cut(text, cache)
-                    top = places[places >= 0]
-                    known.append(len(top))
-                    base.append(float(own.base[top].sum()))
-                    inside.append(float(own.inside[top].sum()))
-                    others = Counter([words[i] for i in np.flatnonzero(places < 0)])
-                    rare.append([{"key": word_key(w), "n": n} for w, n in others.items()])
-                    classes.append(kinds)
-                model = gru.score(parameters, CLASSES, classes) + np.array(inside)
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), pa.array([len(c) for c in classes], pa.int64()), pa.array(known, pa.int64()),
-                    pa.array(base, pa.float64()), pa.array(model, pa.float64()), pa.array(rare, pair),
-                ], ["doc_id", "text_key", "n_tokens", "known", "base", "model", "rare"])
 
-    return source.mapInArrow(
-        run, "doc_id long, text_key long, n_tokens long, known long, base double, model double, rare array<struct<key: long, n: long>>"
+def _vectors(rows: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([v.tobytes() for v, _ in rows], pa.binary()), pa.array([n for _, n in rows], pa.int64())], ["v", "n"]
     )
 
 
@@ -228,10 +262,11 @@ def score_texts(docs: DataFrame, rounds: int = 1, table_words: int = TABLE) -> D
     learn = docs.where(~held_out())
     counts = written(word_counts(learn), "lm-counts")
     table = frequent_words(counts, table_words)
-    flat = train_model(learn, table, rounds)
-    found = written(score_frequent(docs, table, flat), "lm-texts")
+    texts = written(cut_texts(docs, table), "lm-texts")
+    flat = train_model(texts.where(~held_out()), table, rounds)
+    found = score_classes(texts, flat)
 
-    rare = found.select("doc_id", "text_key", F.explode("rare").alias("r")).select("doc_id", "text_key", "r.key", F.col("r.n").alias("times"))
+    rare = texts.select("doc_id", "text_key", F.explode("rare").alias("r")).select("doc_id", "text_key", "r.key", F.col("r.n").alias("times"))
     joined = rare.join(counts.where("key is not null"), "key", "left")
     seen = F.coalesce("n", F.lit(0))
     size = F.log10(seen + F.lit(ADD))
@@ -243,7 +278,7 @@ def score_texts(docs: DataFrame, rounds: int = 1, table_words: int = TABLE) -> D
     ).groupBy("doc_id", "text_key").agg(F.sum("known").alias("_known"), F.sum("base").alias("_base"), F.sum("model").alias("_model"))
     # repeated rows were added up together: each takes its share
     end_known, end_base = int(table.docs > 0), math.log10(table.docs + ADD) - table.whole
-    plain = found.drop("rare").groupBy("doc_id", "text_key").agg(
+    plain = found.groupBy("doc_id", "text_key").agg(
         F.count("*").alias("rows"), F.min("n_tokens").alias("n_tokens"), F.min("known").alias("known"), F.min("base").alias("base"),
         F.min("model").alias("model"),
     )

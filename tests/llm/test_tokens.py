@@ -121,8 +121,9 @@ def test_scores_are_probabilities(spark):
     """Classes and words within classes, unseen words included, add up to one."""
     learn = plain_docs(spark, made_documents(40))
     table = lm.frequent_words(lm.word_counts(learn), 6)
-    shares = np.exp(gru.Model(gru.start(table.prior), lm.CLASSES).log_shares(np.zeros((1, gru.HIDDEN), np.float32)))
-    assert math.isclose(shares.sum(), 1, rel_tol=1e-5)
+    model, state = gru.Model(gru.start(table.prior), lm.CLASSES), np.zeros((1, 1, gru.HIDDEN), np.float32)
+    shares = [math.exp(gru.shares_of(model, state, np.array([[c]]))[0, 0]) for c in range(lm.CLASSES)]
+    assert math.isclose(sum(shares), 1, rel_tol=1e-5)
     inside = np.zeros(lm.CLASSES)
     np.add.at(inside, table.classes, 10**table.inside)
     unseen = 0.1 / 10**table.below
