@@ -16,7 +16,14 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{2,4}){3,8}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+IBAN_GROUPS = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{2,4}){3,8}(?:\x20?[A-Z0-9])?")
+IBAN_LENGTH = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 "
+    "FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 "
+    "LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 "
+    "ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+).split()}
 NATIONAL = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 CONTEXT = {
     "email": ("mail", "contact", "write"),
@@ -63,6 +70,22 @@ def _octet(digits: str) -> bool:
     return len(digits) < 4 and int(digits or "0") <= 255
 
 
+def _accounts(text: str):
+    """Upper-case words may follow a number, so it is cut to its country's length,
+    or, for other codes, at the last end of a word where the check digits are right."""
+    at = 0
+    while m := IBAN.search(text, at):
+        at, length = m.start() + 1, IBAN_LENGTH.get(m[0][:2])
+        for end in range(m.end(), m.start() + 14, -1):
+            if text[end - 1] == " " or text[end:end + 1].isascii() and text[end:end + 1].isalnum():
+                continue
+            code = text[m.start():end].replace(" ", "")
+            if len(code) >= 15 and len(code) == (length or len(code)) and IBAN_GROUPS.fullmatch(text, m.start(), end) and mod97(code):
+                yield m.start(), end
+                at = end
+                break
+
+
 def find_personal(text: str) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) in code points, by kind as listed and then start."""
     found: list[tuple[int, int, int]] = [(0, s, e) for s, e in _emails(text)]
@@ -72,10 +95,7 @@ def find_personal(text: str) -> list[tuple[str, int, int, float]]:
         if 16 <= len(digits) <= 19 and luhn(digits):
             found.append((2, *m.span()))
     found += [(3, *m.span()) for m in PHONE.finditer(text) if 8 <= sum(c.isdigit() for c in m[0]) <= 15]
-    for m in IBAN.finditer(text):
-        code = m[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code):
-            found.append((4, *m.span()))
+    found += [(4, s, e) for s, e in _accounts(text)]
     found += [(5, *m.span()) for m in NATIONAL.finditer(text)]
     out = []
     for rank, start, end in sorted(found):

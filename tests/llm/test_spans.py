@@ -126,3 +126,18 @@ def test_odd_rows_and_empty_tables(spark):
         assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in odd_rows())
         assert all(r[column] == [] for r in got if r["doc_id"] in (1, 2, 3, 5))
         assert scan(empty_docs(spark)).collect() == []
+
+
+def test_account_numbers_end_before_upper_case_words():
+    cases = {
+        "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF": "DE89 3704 0044 0532 0130 00",
+        "DE89370400440532013000 EUR 500": "DE89370400440532013000",
+        "GB29 NWBK 6016 1331 9268 19 AND": "GB29 NWBK 6016 1331 9268 19",
+        "CH93 0076 2011 6238 5295 7": "CH93 0076 2011 6238 5295 7",
+        "CH93 0076 2011 6238 5295 7 CHF 20": "CH93 0076 2011 6238 5295 7",
+        "AB12 DE89 3704 0044 0532 0130 00": "DE89 3704 0044 0532 0130 00",
+    }
+    for text, number in cases.items():
+        assert [text[s:e] for k, s, e, _ in pii.find_personal(text) if k == "iban"] == [number], text
+    for text in ("DE89 3704 0044 0532 0130 01 BIC", "DE893704004405320130001", "xDE89370400440532013000", "DE89370400440532013000x"):
+        assert not [s for s in pii.find_personal(text) if s[0] == "iban"], text
