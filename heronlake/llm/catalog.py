@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from heronlake.llm import bpe, chat, exact_dedup, licenses, lm, mixing, pii, quality, secrets, simhash
+from heronlake.llm import bpe, chat, exact_dedup, licenses, lm, mixing, ngram_join, pii, quality, repair, secrets, simhash, trie
 from heronlake.llm.common import count_kind, span_text
 from heronlake.sources.views import Tables
 
@@ -177,3 +177,40 @@ def op3_byte_bpe(t: Tables) -> DataFrame:
 @query()
 def op10_lm_score(t: Tables) -> DataFrame:
     return lm.score_texts(t.documents)
+
+
+@query()
+def op11_ngram_join(t: Tables) -> DataFrame:
+    return ngram_join.jaccard_groups(t.documents)
+
+
+@query()
+def op12_conversation_repair(t: Tables) -> DataFrame:
+    return repair.repair_conversations(t.conversations)
+
+
+# CRC-32 of a text of digits: the checksum's shift register, a byte and then a bit at a time.
+_CRC = """xor(list_reduce(list_transform(range(1, length({0}) + 1), lambda i: ord(substr({0}, i::int, 1))::bigint),
+  lambda c, b: list_reduce(range(0, 8), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, xor(c, b)),
+  4294967295::bigint), 4294967295)"""
+
+
+@query(f"""
+with t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
+    coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+l as (select conv_id, list([role, text] order by pos) as own from t group by conv_id),
+p as (select l.*, {_CRC.format('l.conv_id::varchar')} % 9 as h, b.own as base from l left join l b on b.conv_id = l.conv_id - l.conv_id % 5),
+r as (select conv_id, list_concat(coalesce(base, [])[1:h], own[h + 1:]) as seq from p),
+m as (select conv_id, seq, len(seq) as size, unnest(range(0, len(seq) + 1)) as depth from r),
+n as (select depth, seq[1:depth] as node, min(conv_id) as conv_id, count(*) as n_convs, max(size) as longest,
+    string_agg(conv_id::varchar, ',' order by conv_id) filter (size = depth) as ends from m group by 1, 2),
+k as (select *, case when depth = 0 then 0 else (n_convs - 1) * strlen(node[depth][2]) end as saved from n),
+c as (select depth - 1 as depth, node[1:depth - 1] as node, count(*) as n_children from n where depth > 0 group by 1, 2),
+s as (select up as depth, node[1:up] as node, count(*) filter (longest = depth) as n_leaves, sum(saved)::bigint as saved_tokens
+  from (select *, unnest(range(0, depth + 1)) as up from k) group by 1, 2)
+select n.conv_id, n.depth, q.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves, saved_tokens,
+  sha256(coalesce(n.ends, '')) as ends_sha256
+from n join s using (depth, node) left join c using (depth, node) left join n q on q.depth = n.depth - 1 and q.node = n.node[1:n.depth - 1]
+""")
+def op13_conversation_trie(t: Tables) -> DataFrame:
+    return trie.prefix_trie(t.conversations)
