@@ -8,7 +8,7 @@ from heronlake.catalog.registry import QUERIES
 
 SECTIONS = (
     "io", "scalar", "joins", "aggregates", "windows", "topk", "reshape", "spines", "islands",
-    "cohorts", "cleaning", "quality", "logs", "graph", "series", "text", "streams",
+    "cohorts", "cleaning", "quality", "logs", "graph", "trees", "series", "sequences", "text", "streams",
 )
 
 for _section in SECTIONS:

@@ -127,7 +127,7 @@ def spread_minutes(grid: DataFrame, passable: int, source: int) -> DataFrame:
     """Steps until every passable cell is reached, -1 when some never is."""
     cells = grid.where(F.col("v") >= passable).withColumn("id", _cell())
     edges = cut_lineage(grid_edges(cells).select("src", "dst"))
-    steps = reach(edges, cells.where(F.col("v") >= source))
+    steps = reach(edges, cells.where(F.col("v") >= source), both_ways=True)
     reached = steps.agg(F.count("*").alias("n"), F.coalesce(F.max("steps"), F.lit(0)).alias("steps"))
     everything = cells.agg(F.count("*")).scalar()
     return reached.select(F.when(F.col("n") == everything, F.col("steps")).otherwise(-1).alias("minutes"))

@@ -136,13 +136,9 @@ def next_greater_gap(df: DataFrame, keys: list[str], order: list[str], value: st
         return part.assign(_next=found, _record=record)
 
     local = cut_lineage(rows.groupBy(*groups, BUCKET).applyInPandas(inside, schema))
-    later = Window.partitionBy(*groups).orderBy(BUCKET).rowsBetween(1, Window.unboundedFollowing)
-    tops = local.groupBy(*groups, BUCKET).agg(F.max("_v").alias("m"))
-    tops = tops.select(*groups, BUCKET, F.collect_list(F.struct(F.col(BUCKET).alias("b"), "m")).over(later).alias("_tops"))
-    open_rows = local.where("_next is null").select(*groups, "rn", BUCKET, "_v").join(tops, [*groups, BUCKET])
-    higher = F.filter("_tops", lambda x: x["m"] > F.col("_v"))
-    asked = open_rows.withColumn("_to", F.get(higher, F.lit(0))["b"]).drop("_tops")
-    asked = asked.where("_to is not null").withColumnRenamed(BUCKET, "_from")
+    open_rows = local.where("_next is null").select(*groups, "rn", BUCKET, "_v")
+    asked = _first_higher_range(local.groupBy(*groups, BUCKET).agg(F.max("_v").alias("m")), open_rows, groups)
+    asked = asked.withColumnRenamed(BUCKET, "_from")
     routes = asked.select(*groups, "_from", "_to").distinct()
     highs = local.where("_record").select(*groups, F.col(BUCKET).alias("_to"), "rn", "_v").join(routes, [*groups, "_to"])
     marks = asked.select(*groups, "_from", "_to", "rn", "_v", F.lit(0).alias("_high")).unionByName(
@@ -157,6 +153,29 @@ def next_greater_gap(df: DataFrame, keys: list[str], order: list[str], value: st
     return hops.select(*keys, "rn", F.coalesce(F.col("_next") - F.col("rn"), F.lit(0).cast("long")).alias("gap"))
 
 
+def _first_higher_range(tops: DataFrame, rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Adds ``_to``, the first later range of the key whose maximum ``m`` is above ``_v``; rows without one are left out.
+
+    Every range knows the maxima of the 1, 2, 4.. ranges from it on.  From the
+    largest stretch down, a row skips each stretch that has nothing above
+    it.  Only keys that lie in several ranges have rows in the table; a cut
+    between ranges lies in one key, so there are at most twice as many as ranges, and it is broadcast.
+    """
+    line, whole = Window.partitionBy(*groups).orderBy(BUCKET), Window.partitionBy(*groups)
+    placed = tops.withColumns({"_at": F.row_number().over(line), "_n": F.count("*").over(whole)}).where("_n > 1")
+    placed = cut_lineage(placed)
+    levels = int(placed.agg(F.max("_n")).first()[0] or 1).bit_length()
+    highs = [F.max("m").over(line.rowsBetween(0, (1 << k) - 1)) for k in range(levels)]
+    table = cut_lineage(placed.select(*groups, "_at", BUCKET, F.array(*highs).alias("_highs")))
+    out = rows.join(F.broadcast(table.select(*groups, BUCKET, (F.col("_at") + 1).alias("_at"))), [*groups, BUCKET])
+    for k in reversed(range(levels)):
+        ahead = F.broadcast(table.select(*groups, "_at", F.get("_highs", F.lit(k)).alias("_high")))
+        skip = F.when(F.col("_high") <= F.col("_v"), 1 << k).otherwise(0)
+        out = out.join(ahead, [*groups, "_at"], "left").withColumn("_at", F.col("_at") + skip).drop("_high")
+    ends = table.select(*groups, "_at", F.col(BUCKET).alias("_to"))
+    return out.join(F.broadcast(ends), [*groups, "_at"]).drop("_at")
+
+
 def ranks_along(known: np.ndarray, own: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """For every i the ``ranks[i]``-th smallest (from 1) of ``known`` and ``own[:i + 1]``.
 

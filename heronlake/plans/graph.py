@@ -43,20 +43,25 @@ def component_roots(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(roots)
 
 
-def reach(edges: DataFrame, sources: DataFrame) -> DataFrame:
+def reach(edges: DataFrame, sources: DataFrame, both_ways: bool = False) -> DataFrame:
     """Fewest steps from any source to every node that can be reached: (id, steps).
 
     Each step adds its nodes to one folder, a part per step; nothing that was
-    found before is written again.
+    found before is written again.  Where every edge is there ``both_ways``, a
+    neighbour of the last step's nodes was found in one of the last two steps
+    or not at all, so a step reads these two parts and no others.
     """
     spark = edges.sparkSession
     base, step = scratch_path(spark, "reach"), 0
     sources.select("id").distinct().write.parquet(f"{base}/steps=0")
+    part = lambda n: spark.read.schema("id long").parquet(f"{base}/steps={n}")
     while True:
-        seen = spark.read.schema("id long, steps int").parquet(base)
-        frontier = spark.read.schema("id long").parquet(f"{base}/steps={step}")
+        frontier = part(step)
         if frontier.isEmpty():
-            return seen
+            return spark.read.schema("id long, steps int").parquet(base)
+        seen = spark.read.schema("id long, steps int").parquet(base).select("id")
+        if both_ways:
+            seen = frontier.unionAll(part(step - 1)) if step else frontier
         step += 1
         ahead = frontier.join(edges, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct()
         ahead.join(seen, "id", "left_anti").write.parquet(f"{base}/steps={step}")

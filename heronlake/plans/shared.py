@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is named, one beside the warehouse tables."""
+    """The cluster's checkpoint folder; where none is named, one beside the warehouse tables.
+
+    A folder on one machine serves one machine: on a cluster without a named
+    folder and with a local warehouse this is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    on_one_machine = re.match(r"local(\[|$)", spark.sparkContext.master)
+    if not on_one_machine and re.match(r"(file:|/)", warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_scratch".rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

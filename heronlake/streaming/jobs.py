@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from heronlake.functions.exact import total
+from heronlake.plans.ordered import order_buckets, scan
 from heronlake.plans.shared import scratch_path
 
 
@@ -46,21 +47,39 @@ def stream_fare_total(trips: DataFrame) -> DataFrame:
     return spark.read.schema(sums.schema).parquet(target)
 
 
-def stream_batch_counts(source: DataFrame, size: int) -> DataFrame:
-    """Rows of the batches of ``size`` rows that a stream fills: (batch, rows).
+def numbered_stream(source: DataFrame) -> DataFrame:
+    """All rows of a stream as (row, number), numbered from 0 in the order they were written.
 
-    Batches go on over file borders; the last one holds what is left.  Each
-    micro-batch writes its own folder, so one that is run again after a
-    failure replaces its count.  A stream without files has no batch.
+    Each micro-batch writes its rows into a folder of its own with the task
+    and the place within the task; one that is run again after a failure
+    replaces its folder.  A row's number is the count of all rows in earlier
+    parts (micro-batch, task) and its place in its own.
     """
     spark = source.sparkSession
-    target = scratch_path(spark, "batches")
-    spark.createDataFrame([(0,)], "rows long").write.parquet(f"{target}/part=-1")
+    target = scratch_path(spark, "numbered")
+    row = F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("row")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    named = lambda df: df.select(row, F.spark_partition_id().alias("task"), place.alias("place"))
+    schema = named(spark.createDataFrame([], source.schema)).schema
+
+    def store(batch: DataFrame, number: int) -> None:
+        named(batch).write.mode("overwrite").parquet(f"{target}/part={number}")
+
+    spark.createDataFrame([], schema).write.parquet(f"{target}/part=-1")
+    _run(source, store)
+    rows = spark.read.schema(schema.add("part", "long")).parquet(target)
+    parts = rows.groupBy("part", "task").agg(F.count("*").alias("n"))
+    before = scan(order_buckets(parts, ["part", "task"]), [], ["part", "task"], {"first": ("sum", F.col("n"), False)})
+    # one row per written part
+    return rows.join(before.select("part", "task", "first"), ["part", "task"]).select("row", (F.col("first") + F.col("place")).alias("number"))
 
-    def count(batch: DataFrame, number: int) -> None:
-        batch.agg(F.count("*").alias("rows")).write.mode("overwrite").parquet(f"{target}/part={number}")
 
-    _run(source, count)
-    rows = spark.read.schema("rows long, part long").parquet(target).agg(F.sum("rows")).first()[0]
-    left = F.lit(rows) - F.col("id") * size
-    return spark.range(-(-rows // size)).select(F.col("id").alias("batch"), F.least(F.lit(size).cast("long"), left).alias("rows"))
+def stream_batches(source: DataFrame, size: int) -> DataFrame:
+    """The rows of a stream with ``batch``: every ``size`` rows make one, over file and
+    micro-batch borders; the last one holds what is left."""
+    return numbered_stream(source).select("row.*", F.floor(F.col("number") / size).cast("long").alias("batch"))
+
+
+def stream_batch_counts(source: DataFrame, size: int) -> DataFrame:
+    """Rows of the batches of ``size`` rows that a stream fills: (batch, rows).  A stream without files has no batch."""
+    return stream_batches(source, size).groupBy("batch").agg(F.count("*").alias("rows"))
