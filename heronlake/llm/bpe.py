@@ -223,7 +223,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     The whole text is encoded as in :func:`encode_texts` and decoded again
     from the ids in the same task.  ``ids`` are packed as little-endian
-    unsigned 32-bit integers.
+    unsigned 32-bit integers.  Null text is empty, and empty text has no ids
+    and no bytes; repeated rows and null ids are encoded like any other; an
+    empty table gives no rows; further columns are not looked at.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 

@@ -112,8 +112,9 @@ def op7_personal_data(t: Tables) -> DataFrame:
     found = pii.scan_personal(t.documents)
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
     counts = [count_kind(F.col("spans"), k).alias(f"n_{k}") for k in pii.BASE_KINDS]
+    scores = F.array_join(F.transform("spans", lambda s: F.format_number(s["score"], 2)), ",")
     return found.select(
-        "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans")
+        "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"), scores.alias("scores")
     )
 
 
@@ -129,6 +130,7 @@ def op8_license_scan(t: Tables) -> DataFrame:
         F.array_join(labels(F.col("phrases")), ",").alias("base_labels"),
         F.array_join(labels(F.concat("phrases", "notices")), ",").alias("labels"),
         F.when(F.size("phrases") > 0, 1.0).otherwise(F.coalesce(near, F.lit(0.0))).alias("score"),
+        F.array_join(F.transform("notices", lambda p: F.concat_ws(":", p["label"], p["first"].cast("string"), (p["first"] + p["words"]).cast("string"))), ",").alias("notices"),
     )
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from heronlake.llm.common import written
+from heronlake.plans.ordered import order_buckets, scan
 
 # The template.
 BEGIN, END = "<|turn|>", "</s>"
@@ -39,34 +41,39 @@ def chat_examples(turns: DataFrame) -> DataFrame:
     Null text or role is empty; a null turn comes first; null conv_ids are
     one conversation.  Turns with one number go by role and text.  Repeated
     rows are turns of their own.  An empty table gives no rows; further
-    columns are not looked at.  An example holds its whole context by
-    definition, so a conversation has to fit in a row, and its examples
-    together grow with the square of its turns.
+    columns are not looked at.  Places and offsets are running values over
+    ranges of turns, and only an example gathers the turns before it, so a long
+    conversation is many tasks' work.  An example holds its whole context by
+    definition and has to fit in a row; a conversation's examples together grow
+    with the square of its turns.
     """
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
+    key, order = ["conv_id"], ["turn", "role", "text"]
     line_free = F.replace(escape(F.col("role")), F.lit("\n"), F.lit("&nl;"))
-    head = F.concat(F.lit(BEGIN), line_free, F.lit("\n"))
-    rows = rows.withColumn("_head", head).withColumn("_body", escape(F.col("text")))
-    rows = rows.withColumn("_part", F.concat("_head", "_body", F.lit(END)))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.select(
-        "conv_id", (F.col("role") == "assistant").alias("_reply"),
-        F.row_number().over(order).cast("long").alias("turn_no"),
-        F.lead(F.lit(True), 1, False).over(order).alias("_more"),
-        F.sum(F.length("_part").cast("long")).over(so_far).alias("_end"),
-        F.length("_body").cast("long").alias("_size"),
-        F.collect_list("_part").over(so_far).alias("_parts"),
-    )
-    wanted = rows.where(F.col("_reply") | ~F.col("_more"))
-    return wanted.select(
-        "conv_id", "turn_no", F.array_join("_parts", "").alias("text"),
-        F.when(F.col("_reply"), F.col("_end") - len(END) - F.col("_size")).alias("loss_start"),
-        F.when(F.col("_reply"), F.col("_size")).alias("loss_length"),
-        (~F.col("_more")).alias("is_last"),
+    body = escape(F.col("text"))
+    part = F.concat(F.lit(BEGIN), line_free, F.lit("\n"), body, F.lit(END))
+    size, one = F.length(part).cast("long"), F.lit(1).cast("long")
+    placed = scan(order_buckets(rows, order, key), key, order, {
+        "turn_no": ("sum", one, True), "end": ("sum", size, True), "turns": ("total", one, True),
+    })
+    # an id that is not null for the join: null ids are told apart by a mark
+    plain = [F.coalesce("conv_id", F.lit(0).cast("long")).alias("c"), F.col("conv_id").isNull().alias("bare")]
+    placed = written(placed.select(
+        "conv_id", *plain, "turn_no", "end", (F.col("turn_no") == F.col("turns")).alias("is_last"), (F.col("role") == "assistant").alias("reply"),
+        F.length(body).cast("long").alias("size"), part.alias("part"),
+    ), "chat-turns")
+    wanted = placed.where(F.col("reply") | F.col("is_last")).select("c", "bare", F.col("turn_no").alias("upto"))
+    before = placed.select("c", "bare", F.struct("turn_no", "part").alias("piece"))
+    pieces = wanted.join(before, ["c", "bare"]).where(F.col("piece.turn_no") <= F.col("upto"))
+    texts = pieces.groupBy("c", "bare", "upto").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    texts = texts.select("c", "bare", F.col("upto").alias("turn_no"), F.array_join(F.transform("pieces", lambda x: x["part"]), "").alias("text"))
+    facts = placed.where(F.col("reply") | F.col("is_last")).drop("part")
+    return facts.join(texts, ["c", "bare", "turn_no"]).select(
+        "conv_id", "turn_no", "text", F.when(F.col("reply"), F.col("end") - len(END) - F.col("size")).alias("loss_start"),
+        F.when(F.col("reply"), F.col("size")).alias("loss_length"), "is_last",
     )
 
 

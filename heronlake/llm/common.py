@@ -12,6 +12,8 @@ from heronlake.plans.shared import scratch_path
 # The six ASCII white space characters that part words.
 WHITE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+# Places of the screen before a join.
+PLACES = 1 << 21
 
 
 def whole_text(column: str = "text") -> Column:
@@ -47,6 +49,30 @@ def by_shuffle(df: DataFrame) -> DataFrame:
     return df.hint("shuffle_merge")
 
 
+def row_key(doc_id: Column, sha: Column) -> Column:
+    """128 bits that tell a row by its id, null or not, and its text's SHA-256."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), sha)))
+
+
+def without(docs: DataFrame, gone: DataFrame, again: DataFrame) -> DataFrame:
+    """The rows whose key is not in ``gone``; of rows with one key in ``again`` one stays.
+
+    Keys are those of :func:`row_key`, one column ``key`` without repeats.
+    They fall on at most ``PLACES`` places, a bounded table that goes to all tasks,
+    so most rows that nothing is said about stay where they are.  Rows travel
+    as one packed column, so no name of theirs can clash.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(PLACES))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(whole, row_key(F.col("doc_id").cast("long"), F.sha2(whole_text(), 256)).alias("key"))
+    said = gone.select("key").unionAll(again.select("key")).select(place("key").alias("place")).distinct()
+    quiet = rows.join(F.broadcast(said), place("key") == F.col("place"), "left_anti")
+    loud = rows.join(F.broadcast(said), place("key") == F.col("place"), "left_semi")
+    # rows with one key are the same id and text, and belong to one group
+    left = loud.dropDuplicates(["key"]).join(by_shuffle(gone), "key", "left_anti")
+    return quiet.select("row.*").unionByName(left.select("row.*"))
+
+
 def map_texts(docs: DataFrame, work: Callable[[list[str]], list[list]], schema: str) -> DataFrame:
     """One row per document: ``doc_id`` and the columns of ``schema``.
 

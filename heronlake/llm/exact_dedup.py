@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from heronlake.llm.common import by_shuffle, whole_text, written
+from heronlake.llm.common import row_key, whole_text, without, written
 
 
 def content_hash(text: Column) -> Column:
@@ -60,16 +60,11 @@ def drop_exact_copies(docs: DataFrame, keep: str = "min") -> DataFrame:
     """The documents without copies, all their columns as they were.
 
     Of each group the row with the smallest (or largest) id stays; of rows
-    that repeat both text and id, one.
+    that repeat both text and id, one.  Null texts equal empty ones; an empty
+    table gives no rows; columns of any name are kept.
     """
-    groups = written(exact_groups(docs, keep).where("group_size > 1"), "dedup-report")
-    key = [F.sha2(whole_text(), 256).eqNullSafe(F.col("_sha")), F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))]
-    named = groups.select(F.col("text_sha256").alias("_sha"), F.col("doc_id").alias("_id"), "kept")
-    gone = named.where(~F.col("kept")).select("_sha", "_id").distinct()
-    again = named.where("kept").groupBy("_sha", "_id").count().where("count > 1").select("_sha", "_id")
-    again = written(again, "dedup-again")
-    left = docs.join(by_shuffle(gone), key, "left_anti")
-    once = left.join(again, key, "left_anti")
-    repeated = left.join(again, key, "left_semi")
-    sha = repeated.withColumn("_sha", F.sha2(whole_text(), 256))
-    return once.unionByName(sha.dropDuplicates(["_sha", "doc_id"]).drop("_sha"))
+    groups = exact_groups(docs, keep).where("group_size > 1").select(row_key(F.col("doc_id"), F.col("text_sha256")).alias("key"), "kept")
+    groups = written(groups, "dedup-report")
+    gone = written(groups.where("not kept").select("key").distinct(), "dedup-gone")
+    again = written(groups.where("kept").groupBy("key").count().where("count > 1").select("key"), "dedup-again")
+    return without(docs, gone, again)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -66,12 +67,15 @@ def find_licenses(text: str) -> tuple[int, list[tuple[str, int, int, int]], list
     words = text.encode("utf-8", "replace").translate(TABLE).split()
     plain = (b" " + b" ".join(words) + b" ").decode()
     automaton, fuzzy = _tools()
+    hits = list(automaton.iter(plain))
+    # the places of all blanks, once; words before a place are found by bisection
+    blanks = [i for i, c in enumerate(plain) if c == " "] if hits else []
     exact, windows = [], {}
-    for end, (size, uses) in automaton.iter(plain):
+    for end, (size, uses) in hits:
         start = end - size + 1
         for notice, offset, label in uses:
             if notice is None:
-                exact.append((label, plain.count(" ", 0, start), plain.count(" ", start + 1, end) + 1, 0))
+                exact.append((label, bisect_left(blanks, start), plain.count(" ", start + 1, end) + 1, 0))
             else:
                 low = max(0, start - offset - EDITS)
                 windows.setdefault(notice, []).append((low, low + len(notice) + 2 * EDITS))
@@ -84,7 +88,7 @@ def find_licenses(text: str) -> tuple[int, list[tuple[str, int, int, int]], list
                 at = max(m.end(), m.start() + 1)
             for m in found:
                 begin = m.start() + (plain[m.start()] == " ")
-                near.append((NOTICES[notice], plain.count(" ", 0, begin) - 1, len(m[0].split()), sum(m.fuzzy_counts)))
+                near.append((NOTICES[notice], bisect_left(blanks, begin) - 1, len(m[0].split()), sum(m.fuzzy_counts)))
     return len(words), sorted(exact, key=lambda x: (x[1], x[0])), sorted(set(near), key=lambda x: (x[1], x[0], x[2]))
 
 

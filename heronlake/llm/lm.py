@@ -1,4 +1,4 @@
-"""Scoring texts by a recurrent language model over classes of words."""
+"""Scoring texts by a recurrent language model with a softmax over classes and one over the words of a class."""
 
 from __future__ import annotations
 
@@ -15,14 +15,13 @@ from heronlake.llm import gru
 from heronlake.llm.common import slices, whole_text, written
 
 # Fixed values.  The most frequent words, at most TABLE, are known in every task
-# (a bounded table); the first OWN of them are classes of their own, the others
-# go by frequency into BINS classes.  All other words go by the last four bits
-# of their last byte into TAILS classes, and the end of a text is the last class.
-TABLE, OWN, BINS, TAILS = 1 << 17, 24, 8, 16
-CLASSES = OWN + BINS + TAILS + 1
+# (a bounded table); the first OWN of them are symbols of the network.  All
+# other words go by the last four bits of their last byte into TAILS symbols, and the
+# end of a text is the last symbol.
+TABLE, OWN, TAILS = 1 << 17, 2048, 16
 ADD = 0.1
-# Bytes of text and of classes that are worked on together.
-PIECE, TOKENS = 4 << 20, 4 << 20
+# Bytes of text and of symbols that are worked on together.
+PIECE, TOKENS = 4 << 20, 8 << 20
 
 
 def word_key(word: bytes) -> int:
@@ -59,35 +58,38 @@ class Words(dict):
 
 
 class Table:
-    """The frequent words with their classes and log shares, small enough for every task."""
+    """The frequent words with their symbols and log shares, small enough for every task."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, tails: dict[int, tuple[int, int]], docs: int):
         self.keys, self.counts = keys, counts
         words, kinds = int(counts.sum()) + sum(n for n, _ in tails.values()), len(keys) + sum(v for _, v in tails.values())
         self.tokens, self.kinds, self.docs = words + docs, kinds + (docs > 0), docs
-        rest = counts[OWN:].astype(float)
-        part = np.minimum((np.cumsum(rest) - rest) / max(rest.sum(), 1) * BINS, BINS - 1).astype(int)
-        self.classes = np.concatenate([np.arange(min(OWN, len(keys))), OWN + part]).astype(np.int16)
-        self.class_of = np.append(self.classes, 0)
-        mass, size = np.zeros(CLASSES), np.zeros(CLASSES)
-        np.add.at(mass, self.classes, counts)
-        np.add.at(size, self.classes, 1)
+        self.own = min(OWN, len(keys))
+        self.layout = gru.Layout(self.own, TAILS + 1)
+        # symbols of the words of the table; one more entry, so that an empty table can be read
+        tail_of = (keys & 15).astype(np.int64)
+        symbols = np.where(np.arange(len(keys)) < self.own, np.arange(len(keys)), self.own + tail_of)
+        self.symbol_of = np.append(symbols, 0).astype(np.int16)
+        mass, size = np.zeros(TAILS), np.zeros(TAILS)
+        np.add.at(mass, tail_of[self.own:], counts[self.own:])
+        np.add.at(size, tail_of[self.own:], 1)
         for tail, (n, v) in tails.items():
-            mass[OWN + BINS + tail], size[OWN + BINS + tail] = n, v
-        mass[-1] = docs
+            mass[tail] += n
+            size[tail] += v
         self.below = np.log10(mass + ADD * (size + 1))
-        self.prior = ((mass + 1) / (mass + 1).sum()).astype(np.float32)
+        self.start = np.concatenate([counts[:self.own], mass, [docs]])
         self.whole = math.log10(self.tokens + ADD * (self.kinds + 1))
         self.base = np.log10(counts + ADD) - self.whole
-        self.inside = np.log10(counts + ADD) - self.below[self.classes] if len(keys) else np.zeros(0)
+        # the network gives its own words whole; the others come with their share of the tail
+        self.inside = np.where(np.arange(len(keys)) < self.own, 0.0, np.log10(counts + ADD) - self.below[tail_of])
 
     def cut(self, text: str, cache: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Words, their places, and the classes of all tokens with the end."""
+        """Words, their places, and the symbols of all tokens with the end."""
         words = words_of(text)
         places = np.array(list(map(cache.__getitem__, words)), dtype=np.int32)
-        classes = np.full(len(words) + 1, CLASSES - 1, dtype=np.int8)
-        classes[:-1] = np.where(places < 0, OWN + BINS - 1 - places, self.class_of[np.maximum(places, 0)])
-        return words, places, classes
+        symbols = np.full(len(words) + 1, self.layout.symbols - 1, dtype=np.int16)
+        symbols[:-1] = np.where(places < 0, self.own - 1 - places, self.symbol_of[np.maximum(places, 0)])
+        return words, places, symbols
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -136,11 +138,11 @@ def frequent_words(counts: DataFrame, most: int = TABLE) -> Table:
 
 
 def cut_texts(docs: DataFrame, table: Table) -> DataFrame:
-    """Per document what the frequent words give, its other words and its classes.
+    """Per document what the frequent words give, its other words and its symbols.
 
     doc_id, text_key, n_tokens; ``known``, ``base`` and ``inside`` (log10
-    shares within their classes) of the frequent words; ``rare`` (key, n);
-    ``classes``, a byte per token with the end.
+    shares within their tails) of the frequent words; ``rare`` (key, n);
+    ``symbols``, two bytes per token with the end.
     """
     shared = docs.sparkSession.sparkContext.broadcast(table)
     source = docs.select(
@@ -152,7 +154,7 @@ def cut_texts(docs: DataFrame, table: Table) -> DataFrame:
         cache = Words({int(k): i for i, k in enumerate(own.keys)})
         for batch in batches:
             for part in slices(batch, 2, PIECE):
-                sizes, known, base, inside, classes, keys, times, ends = [], [], [], [], [], [], [], [0]
+                sizes, known, base, inside, symbols, keys, times, ends = [], [], [], [], [], [], [], [0]
                 for text in part.column(2).to_pylist():
                     words, places, kinds = own.cut(text, cache)
                     top = places[places >= 0]
@@ -164,30 +166,41 @@ def cut_texts(docs: DataFrame, table: Table) -> DataFrame:
                     keys.extend(map(word_key, others))
                     times.extend(others.values())
                     ends.append(len(keys))
-                    classes.append(kinds.tobytes())
+                    symbols.append(kinds.tobytes())
                 pairs = pa.StructArray.from_arrays([pa.array(keys, pa.int64()), pa.array(times, pa.int64())], ["key", "n"])
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
                     pa.array(base, pa.float64()), pa.array(inside, pa.float64()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs), pa.array(classes, pa.binary()),
-                ], ["doc_id", "text_key", "n_tokens", "known", "base", "inside", "rare", "classes"])
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs), pa.array(symbols, pa.binary()),
+                ], ["doc_id", "text_key", "n_tokens", "known", "base", "inside", "rare", "symbols"])
 
     return source.mapInArrow(
         run,
         "doc_id long, text_key long, n_tokens long, known long, base double, inside double, "
-        "rare array<struct<key: long, n: long>>, classes binary",
+        "rare array<struct<key: long, n: long>>, symbols binary",
     )
 
 
 def train_model(texts: DataFrame, table: Table, rounds: int = 1) -> np.ndarray:
-    """Parameters of the network, learnt from the ``classes`` of all texts given.
+    """Parameters of the network, learnt from the ``symbols`` of all texts given.
 
     In a round every task runs over the whole documents of its partition, all
     windows, from the same parameters; what the tasks end with is averaged by
     tokens.  Averages are taken in about the square root of the number of
-    tasks first, so the driver gets few vectors however large the input is.
+    tasks first and then in eight, so the driver gets few vectors however
+    large the input is.
     """
-    flat, source = gru.start(table.prior), texts.select("classes")
+    layout, source = table.layout, texts.select("symbols")
+    flat = layout.start(table.start)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, tokens = None, 0
+        for batch in batches:
+            for v, n in zip(batch.column(0), batch.column(1)):
+                own = np.frombuffer(v.as_buffer(), dtype=np.float64)
+                total, tokens = own.copy() if total is None else total + own, tokens + n.as_py()
+        if tokens:
+            yield _vector(total, tokens)
 
     for _ in range(rounds):
         now = flat
@@ -196,21 +209,16 @@ def train_model(texts: DataFrame, table: Table, rounds: int = 1) -> np.ndarray:
             after, moments, tokens = now, None, 0
             for batch in batches:
                 for part in slices(batch, 0, TOKENS):
-                    rows = [np.frombuffer(c, dtype=np.int8) for c in part.column(0).to_pylist()]
-                    after, moments = gru.train(after, CLASSES, rows, moments)
+                    rows = [np.frombuffer(c, dtype=np.int16) for c in part.column(0).to_pylist()]
+                    after, moments = gru.train(after, layout, rows, moments)
                     tokens += sum(map(len, rows))
             if tokens:
-                yield _vectors([(after.astype(np.float64) * tokens, tokens)])
-
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows = [(np.frombuffer(v, dtype=np.float64), n) for b in batches for v, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            if rows:
-                yield _vectors([(reduce(np.add, [v for v, _ in rows]), sum(n for _, n in rows))])
+                yield _vector(after.astype(np.float64) * tokens, tokens)
 
         kind = "v binary, n long"
         ends = written(source.mapInArrow(run, kind), "lm-parameters")
         parts = max(1, math.isqrt(ends.count()))
-        sums = ends.repartition(parts).mapInArrow(add, kind).collect()
+        sums = ends.repartition(parts).mapInArrow(add, kind).repartition(min(parts, 8)).mapInArrow(add, kind).collect()
         if sums:
             total = reduce(np.add, [np.frombuffer(r["v"], dtype=np.float64) for r in sums]) / sum(r["n"] for r in sums)
             # rounded, so that the order of adding does not show
@@ -218,27 +226,27 @@ def train_model(texts: DataFrame, table: Table, rounds: int = 1) -> np.ndarray:
     return flat
 
 
-def score_classes(texts: DataFrame, flat: np.ndarray) -> DataFrame:
-    """doc_id, text_key, n_tokens, known, base and ``model``: log10 of the class
-    probabilities over the whole text and of the frequent words within them."""
+def score_symbols(texts: DataFrame, table: Table, flat: np.ndarray) -> DataFrame:
+    """doc_id, text_key, n_tokens, known, base and ``model``: log10 probability of the
+    symbols of the whole text, and of the frequent words among the tails."""
     columns = ["doc_id", "text_key", "n_tokens", "known", "base"]
+    shared = texts.sparkSession.sparkContext.broadcast((flat, table.layout))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, layout = shared.value
         for batch in batches:
             for part in slices(batch, 6, TOKENS):
-                rows = [np.frombuffer(c, dtype=np.int8) for c in part.column(6).to_pylist()]
-                model = gru.score(flat, CLASSES, rows) + part.column(5).to_numpy(zero_copy_only=False)
+                rows = [np.frombuffer(c, dtype=np.int16) for c in part.column(6).to_pylist()]
+                model = gru.score(flat, layout, rows) + part.column(5).to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(5)], pa.array(model, pa.float64())], [*columns, "model"])
 
-    return texts.select(*columns, "inside", "classes").mapInArrow(
+    return texts.select(*columns, "inside", "symbols").mapInArrow(
         run, "doc_id long, text_key long, n_tokens long, known long, base double, model double"
     )
 
 
-def _vectors(rows: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([v.tobytes() for v, _ in rows], pa.binary()), pa.array([n for _, n in rows], pa.int64())], ["v", "n"]
-    )
+def _vector(v: np.ndarray, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()), pa.array([n], pa.int64())], ["v", "n"])
 
 
 def score_texts(docs: DataFrame, rounds: int = 1, table_words: int = TABLE) -> DataFrame:
@@ -247,11 +255,13 @@ def score_texts(docs: DataFrame, rounds: int = 1, table_words: int = TABLE) -> D
     Texts are lower-cased (A-Z), cut at ASCII white space and closed by an end
     token.  The model learns from documents that are not held out.
     ``base_score`` adds up the smoothed log10 shares of the tokens.  ``score``
-    is the model's log10 probability: a gated recurrent network gives each
-    token's class, its state carried over the whole text, and the corpus
-    counts give the token within its class, unseen words included.  Both use
-    the counts of every training word; the frequent ones are at hand in each
-    task, the others are joined by key and added up per document.
+    is the model's log10 probability: a gated recurrent network, its state
+    carried over the whole text, gives each token's class and, for the 2,048
+    most frequent words, the word within its class by a second softmax on the
+    state.  Other words, unseen ones included, are told within their tail
+    class by corpus counts.  Both scores use the counts of every training word; the
+    frequent ones are at hand in each task, the others are joined by key and
+    added up per document.
 
     Words are told apart by 60 bits of their hash and four of their last byte.
     Null and empty texts are an end token.  A null id is held out.  Rows that
@@ -264,14 +274,14 @@ def score_texts(docs: DataFrame, rounds: int = 1, table_words: int = TABLE) -> D
     table = frequent_words(counts, table_words)
     texts = written(cut_texts(docs, table), "lm-texts")
     flat = train_model(texts.where(~held_out()), table, rounds)
-    found = score_classes(texts, flat)
+    found = score_symbols(texts, table, flat)
 
     rare = texts.select("doc_id", "text_key", F.explode("rare").alias("r")).select("doc_id", "text_key", "r.key", F.col("r.n").alias("times"))
     joined = rare.join(counts.where("key is not null"), "key", "left")
     seen = F.coalesce("n", F.lit(0))
     size = F.log10(seen + F.lit(ADD))
     tail = F.col("key").bitwiseAND(F.lit(15).cast("long")).cast("int")
-    below = F.element_at(F.array(*[F.lit(float(x)) for x in table.below[OWN + BINS:-1]]), tail + 1)
+    below = F.element_at(F.array(*[F.lit(float(x)) for x in table.below]), tail + 1)
     sums = joined.select(
         "doc_id", "text_key", F.when(seen > 0, F.col("times")).otherwise(0).alias("known"),
         ((size - F.lit(table.whole)) * F.col("times")).alias("base"), ((size - below) * F.col("times")).alias("model"),

@@ -1,4 +1,4 @@
-"""Near duplicates by SimHash, candidates by tables of distances to reference fingerprints; by similarity, candidates by shared shingles."""
+"""Near duplicates by SimHash, candidates by tables of distances to reference fingerprints."""
 
 from __future__ import annotations
 
@@ -7,18 +7,16 @@ from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from heronlake.llm.common import by_shuffle, slices, whole_text, written
+from heronlake.llm.common import row_key, slices, whole_text, without, written
 from heronlake.plans.graph import component_roots
+from heronlake.plans.skew import attach
 
 # Seed of the shingle hash; numbers of references and blocks;
-# one text in so many is looked at for common shingles, and the part of these
-# that must hold one; places of a screen.
+# fingerprints of a key that are still paired.
 SEED, REFERENCES, BLOCKS = 42, 16, 5
 DENSE = 1000
-SAMPLE, COMMON = 16, 16384
-SLOTS = 1 << 21
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -46,16 +44,17 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """One row per document: doc_id and ``fp``, the fingerprint as a signed long."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    """One row per document: doc_id, ``key`` (hash of id and text) and ``fp``, the fingerprint as a signed long."""
+    doc_id = F.col("doc_id").cast("long")
+    source = docs.select(doc_id.alias("doc_id"), row_key(doc_id, F.sha2(whole_text(), 256)).alias("key"), whole_text().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1):
-                found = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            for part in slices(batch, 2):
+                found = np.array([fingerprint(t, shingle) for t in part.column(2).to_pylist()], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return source.mapInArrow(run, "doc_id long, fp long")
+    return source.mapInArrow(run, "doc_id long, key binary, fp long")
 
 
 def signed(value: int) -> int:
@@ -160,263 +159,48 @@ def crowded_links(prints: DataFrame, bits: int = 3) -> DataFrame:
     return marks.join(points, "point").where("fp <> low").select(F.col("low").alias("src"), F.col("fp").alias("dst")).distinct()
 
 
-def shingle_hashes(text: str, words: int) -> np.ndarray:
-    """Sorted distinct hashes of all runs of ``words`` words; fewer words are one run."""
-    import xxhash
-
-    parts, digest = text.encode("utf-8", "replace").lower().split(), xxhash.xxh64_intdigest
-    line = b" ".join(parts)
-    ends = list(accumulate(len(w) + 1 for w in parts))
-    starts, last = [0, *ends[:-1]], ends[words - 1:] or [len(line) + 1]
-    found = [
-        np.unique(np.array([digest(line[a:b - 1], SEED) for a, b in zip(starts[at:at + (1 << 15)], last[at:at + (1 << 15)])], dtype=np.uint64))
-        for at in range(0, len(last), 1 << 15)
-    ]
-    return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
-
-
-def set_hash(hashes: np.ndarray) -> int:
-    import xxhash
-
-    return signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
-
-
-def sketch(hashes: np.ndarray) -> list[int]:
-    """1,024 bits over distinct shingles: a bit is set if an odd number of them falls on it.
-
-    Two sketches differ in at most as many bits as there are shingles in one
-    set alone, so a bound taken from the similarity discards no true pair.
-    """
-    odd = np.bincount((hashes & np.uint64(1023)).astype(np.int64), minlength=1024) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
-
+def rooted(docs: DataFrame, shingle: int, bits: int, dense: int) -> DataFrame:
+    """Rows of :func:`fingerprints` with ``root``, a fingerprint that names their group."""
+    marks = written(fingerprints(docs, shingle), "simhash-prints")
+    nodes = written(marks.groupBy("fp").agg(F.count("*").alias("_n")), "simhash-nodes")
+    roots = component_roots(fingerprint_links(nodes.select("fp"), bits, dense)).withColumnRenamed("id", "fp")
+    named = written(nodes.join(roots, "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"), "_n"), "simhash-roots")
+    return attach(marks, named, ["fp"])
 
-def _mapped(texts: DataFrame, schema: str, column: int, rows_of) -> DataFrame:
-    """``rows_of`` turns a few rows with whole texts into columns, inside the task that read them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, column):
-                columns = rows_of(part)
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-    return texts.mapInArrow(run, schema)
-
-
-def set_marks(docs: DataFrame, shingle: int, words: int) -> DataFrame:
-    """One row per document: doc_id, fp, the hash of its text (``mark``), the
-    hash of its shingle set (``node``), and size and sketch of that set."""
-
-    def rows_of(part: pa.RecordBatch) -> dict:
-        texts = part.column(2).to_pylist()
-        sets = [shingle_hashes(t, words) for t in texts]
-        prints = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
-        return {
-            "doc_id": part.column(0), "mark": part.column(1), "fp": pa.array(prints),
-            "node": pa.array([set_hash(s) for s in sets], pa.int64()), "size": pa.array([len(s) for s in sets], pa.int32()),
-            "sketch": pa.array([sketch(s) for s in sets], pa.list_(pa.int64())),
-        }
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("mark"), whole_text().alias("text"))
-    return _mapped(texts, "doc_id long, mark long, fp long, node long, size int, sketch array<long>", 2, rows_of)
-
-
-def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
-    """Shingles of many texts, the rarest first, from one text in ``SAMPLE``.
-
-    They only say which shingles stand last in every text's order; any order
-    gives the same links.  Their number is bounded by the mean length of a
-    text, as each is in a fixed part of the sampled texts.
-    """
-    texts = docs.select(whole_text().alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
-    rows_of = lambda part: {"key": pa.array(
-        np.concatenate([shingle_hashes(t, words) for t in part.column(0).to_pylist()]).view(np.int64)
-    )}
-    counts = written(_mapped(texts, "key long", 0, rows_of).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= 4), "simhash-common")
-    least = max(4, texts.count() // COMMON)
-    found = counts.where(F.col("n") >= least).orderBy("n", "key").toPandas()
-    return found["key"].to_numpy(dtype=np.int64).view(np.uint64)
-
-
-def prefix_entries(docs: DataFrame, words: int, similarity: float, common: np.ndarray) -> DataFrame:
-    """(key, node, size, rest): the first shingles of each set, common ones last.
-
-    Of two sets that share ``similarity``, each holds at least this part of the
-    other's shingles, so both have one of their first ``size - similarity *
-    size + 1`` in common.  ``rest`` counts the shingles from the key on.
-    """
-    turn = np.argsort(common)
-    names = common[turn]
-
-    def rows_of(part: pa.RecordBatch) -> dict:
-        keys, nodes, sizes, rests = [], [], [], []
-        for text in part.column(0).to_pylist():
-            hashes = shingle_hashes(text, words)
-            size = len(hashes)
-            first = size - int(np.ceil(similarity * size - 1e-9)) + 1
-            ordered = hashes
-            if len(names):
-                at = np.minimum(np.searchsorted(names, hashes), len(names) - 1)
-                ordered = hashes[np.argsort(np.where(names[at] == hashes, turn[at] + 1, 0), kind="stable")]
-            keys.append(ordered[:first].view(np.int64))
-            nodes.append(np.full(first, set_hash(hashes), dtype=np.int64))
-            sizes.append(np.full(first, size, dtype=np.int32))
-            rests.append(np.arange(size, size - first, -1, dtype=np.int32))
-        parts = {"key": keys, "node": nodes, "size": sizes, "rest": rests}
-        return {name: pa.array(np.concatenate(p)) for name, p in parts.items()}
-
-    return _mapped(docs.select(whole_text().alias("text")), "key long, node long, size int, rest int", 0, rows_of)
-
-
-def screened(rows: DataFrame, key: Column, wanted: DataFrame, how: str) -> DataFrame:
-    """Rows whose key may be (``left_semi``) or is surely not (``left_anti``) in the one column of ``wanted``.
-
-    Keys fall on at most ``SLOTS`` places, a bounded table that goes to all
-    tasks, so most rows that are not asked for stay where they are.
-    """
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
-    slots = wanted.select(place(F.col(wanted.columns[0])).alias("_slot")).distinct()
-    return rows.join(F.broadcast(slots), place(key) == F.col("_slot"), how)
-
-
-def shingle_sets(docs: DataFrame, marks: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the wanted sets, from one text each, named by ``mark``."""
-
-    def rows_of(part: pa.RecordBatch) -> dict:
-        sets = [shingle_hashes(t, words) for t in part.column(0).to_pylist()]
-        return {
-            "node": pa.array([set_hash(s) for s in sets], pa.int64()),
-            "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-        }
-
-    texts = docs.select(F.xxhash64(whole_text()).alias("mark"), whole_text().alias("text"))
-    texts = screened(texts, F.col("mark"), marks, "left_semi").join(by_shuffle(marks), "mark", "left_semi")
-    return _mapped(texts.dropDuplicates(["mark"]).select("text"), "node long, shingles array<long>", 0, rows_of)
-
-
-def possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """The distinct pairs (src, dst) that sizes and sketches do not rule out."""
-    small = by_shuffle(nodes.select("node", "size", "sketch"))
-    a, b = small.alias("a"), small.alias("b")
-    bits = F.aggregate(
-        F.zip_with("a.sketch", "b.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x
-    )
-    most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("a.size") + F.col("b.size")) + 1e-6
-    near = pairs.distinct().join(a, F.col("src") == F.col("a.node")).join(b, F.col("dst") == F.col("b.node"))
-    return near.where(bits <= most).select("src", "dst")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (src, dst) whose shingle sets share ``similarity``."""
-    left = by_shuffle(sets.select(F.col("node").alias("src"), F.col("shingles").alias("a")))
-    right = by_shuffle(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("b")))
-    both = F.size(F.array_intersect("a", "b"))
-    return pairs.join(left, "src").join(right, "dst").where(
-        both >= F.lit(similarity) * (F.size("a") + F.size("b") - both)
-    ).select("src", "dst")
-
-
-def may_meet(a: str, b: str, similarity: float) -> Column:
-    """Sizes and places allow ``similarity``; at the first shingle two sets have in
-    common, all they have in common lies from there on."""
-    size = [F.col(f"{x}.size") for x in (a, b)]
-    enough = F.lit(similarity / (1 + similarity)) * (size[0] + size[1]) - 1e-6
-    return (F.least(*size) >= F.lit(similarity) * F.greatest(*size) - 1e-6) & (F.least(f"{a}.rest", f"{b}.rest") >= enough)
-
-
-def crossing_pairs(shared: DataFrame, names: list[DataFrame], similarity: float, block: int) -> DataFrame:
-    """Pairs (src, dst) in a key that the last of ``names`` (id, component) sets apart and all before do not.
-
-    A key with more than ``block`` sets is dealt over several tasks.
-    """
-    per_key, tied = Window.partitionBy("key"), shared
-    for i, roots in enumerate(names):
-        tied = tied.join(by_shuffle(roots.select(F.col("id").alias("node"), F.col("component").alias(f"c{i}"))), "node", "left")
-        tied = tied.withColumn(f"c{i}", F.coalesce(f"c{i}", "node"))
-    last = f"c{len(names) - 1}"
-    tied = tied.select(
-        "*", F.min(last).over(per_key).alias("_low"), F.max(last).over(per_key).alias("_high"),
-        F.ceil(F.count("*").over(per_key) / block).cast("int").alias("blocks"),
-    )
-    tied = written(tied.where("_low <> _high").drop("_low", "_high"), "simhash-open")
-    a = tied.withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).alias("a")
-    b = tied.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("b")
-    meets = (F.col("a.key") == F.col("b.key")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.node") < F.col("b.node"))
-    meets = meets & (F.col(f"a.{last}") != F.col(f"b.{last}")) & may_meet("a", "b", similarity)
-    for i in range(len(names) - 1):
-        meets = meets & (F.col(f"a.c{i}") == F.col(f"b.c{i}"))
-    return a.join(b, meets).select(F.col("a.node").alias("src"), F.col("b.node").alias("dst"))
-
-
-def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: float, block: int = DENSE) -> DataFrame:
-    """Links (src, dst) that give the components of all shingle sets sharing ``similarity``.
-
-    Sets that share enough have one of their first shingles in common (see
-    :func:`prefix_entries`), so no pair is left to chance at any corpus size.
-    First all sets of a key meet its smallest one.  Sets of a key that no
-    possible pair ties together yet all meet, and so do, after the shingles
-    have been compared, those that fell apart by it.  Size, place and sketch
-    discard only pairs that cannot share enough; all others are compared.
-    """
-    per_key = Window.partitionBy("key")
-    entries = prefix_entries(docs, words, similarity, common_shingles(docs, words))
-    hub = F.min(F.struct("node", "size", "rest")).over(per_key)
-    shared = entries.withColumn("hub", hub).withColumn("_last", F.max("node").over(per_key))
-    shared = written(shared.where("hub.node <> _last").drop("_last").distinct(), "simhash-shared")
-    first = shared.select("hub", F.struct("node", "size", "rest").alias("own")).where("hub.node <> own.node")
-    first = first.where(may_meet("hub", "own", similarity)).select(F.col("hub.node").alias("src"), F.col("own.node").alias("dst"))
-    first = written(possible(first, nodes, similarity), "simhash-candidates")
-    shared, loose = shared.drop("hub"), component_roots(first)
-    second = written(possible(crossing_pairs(shared, [loose], similarity, block), nodes, similarity), "simhash-candidates")
-    pairs = first.unionAll(second)
-    wanted = by_shuffle(pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct())
-    marks = written(nodes.join(wanted, "node").select("mark"), "simhash-wanted")
-    sets = written(shingle_sets(docs, marks, words), "simhash-shingles")
-    links = written(verified(pairs, sets, similarity), "simhash-links")
-    # sets that a possible pair tied, but no true one: all of them are in first
-    third = crossing_pairs(shared, [loose, component_roots(links)], similarity, block)
-    return links.unionAll(verified(possible(third, nodes, similarity), sets, similarity))
-
-
-def near_groups(
-    docs: DataFrame, shingle: int = 3, bits: int = 3, dense: int = DENSE, similarity: float | None = None, words: int = 5
-) -> DataFrame:
+def near_groups(docs: DataFrame, shingle: int = 3, bits: int = 3, dense: int = DENSE) -> DataFrame:
     """One row per input row: doc_id, fp and component_id.
 
-    Documents whose fingerprints differ in at most ``bits`` bits are linked.
-    With ``similarity``, those are linked instead that share this part of
-    their shingles of ``words`` words (see :func:`similar_links`).
+    Documents whose fingerprints differ in at most ``bits`` bits are linked;
     ``component_id`` is the smallest id that links lead to.  Equal
-    fingerprints are one node, so copies are never paired; by similarity,
-    equal shingle sets are.
+    fingerprints are one node, so copies are never paired.
 
     Null and empty texts have fingerprint zero and link like any other.  Null
     ids belong to a group and never name it, unless all are null.  Repeated
     rows carry the same answer.  An empty table gives no rows; further
     columns are not looked at.
     """
-    if similarity is None:
-        marks = written(fingerprints(docs, shingle).withColumn("node", F.col("fp")), "simhash-prints")
-        nodes = written(marks.groupBy("node").agg(F.min("doc_id").alias("low")), "simhash-nodes")
-        links = fingerprint_links(nodes.select(F.col("node").alias("fp")), bits, dense)
-    else:
-        marks = written(set_marks(docs, shingle, words), "simhash-prints")
-        nodes = written(marks.groupBy("node").agg(F.min("doc_id").alias("low"), F.min("mark").alias("mark"), F.first("size").alias("size"), F.first("sketch").alias("sketch")), "simhash-nodes")
-        links = similar_links(docs, nodes, words, similarity)
-    roots = component_roots(links)
-    grouped = nodes.join(roots.withColumnRenamed("id", "node"), "node", "left").withColumn("root", F.coalesce("component", "node"))
-    names = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = written(grouped.select("node", "root").join(names, "root").select("node", "component_id"), "simhash-names")
-    return marks.join(named, "node").select("doc_id", "fp", "component_id")
-
-
-def drop_near_copies(docs: DataFrame, similarity: float | None = 0.8, words: int = 5) -> DataFrame:
+    rows = rooted(docs, shingle, bits, dense)
+    names = written(rows.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("_n")), "simhash-names")
+    return attach(rows, names, ["root"]).select("doc_id", "fp", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = 3, bits: int = 3, dense: int = DENSE) -> DataFrame:
     """The documents without near copies, all their columns as they were.
 
-    Of each group the smallest id stays, with all rows of that id.
+    Of each group of :func:`near_groups` one row stays: that with the smallest
+    id, and of several texts with this id the one whose hash is smallest.  A
+    row is told by id and text, so other texts under the same or a null id
+    are groups of their own.  A null id stays only where the group has no
+    other.  Of rows that repeat both id and text one stays.  Null and empty
+    texts are one group.  An empty table gives no rows; columns of any name
+    are kept.
     """
-    groups = near_groups(docs, similarity=similarity, words=words)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    gone, key = written(gone, "simhash-gone"), F.col("doc_id").cast("long")
-    left = screened(docs, key, gone, "left_semi").join(by_shuffle(gone), key.eqNullSafe(F.col("_id")), "left_anti")
-    return screened(docs, key, gone, "left_anti").unionByName(left)
+    rows = written(rooted(docs, shingle, bits, dense).select("doc_id", "key", "root"), "simhash-rows")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "key"))
+    groups = rows.groupBy("root").agg(best.alias("_best"), F.count("*").alias("_n")).where("_n > 1")
+    groups = written(groups.select("root", F.col("_best.key").alias("_keep"), "_n"), "simhash-groups")
+    told = attach(rows, groups, ["root"])
+    gone = written(told.where("key <> _keep").select("key").distinct(), "simhash-gone")
+    again = written(told.where("key = _keep").groupBy("key").count().where("count > 1").select("key"), "simhash-again")
+    return without(docs, gone, again)

@@ -12,6 +12,7 @@ import corpus_pipeline
 from heronlake.llm import bpe, catalog, exact_dedup, mixing, simhash
 from heronlake.sources.views import Tables
 from tests.llm.fixtures import plain_docs
+from tests.llm.test_copies import components, plain_print
 from tests.oracle import compare, connect
 
 SMALL = "/root/testdata/sf0.001"
@@ -24,7 +25,7 @@ def test_query_equals_oracle(spark, name):
 
 def test_entry_has_all_queries():
     names = entry.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert "pipeline" in names and "month_over_month" in names
 
 
@@ -54,23 +55,9 @@ def test_pipeline_equals_brute_force(spark):
     for r in sorted(rows):
         first.setdefault(r[1], r)
     rows = sorted(first.values())
-    sets = []
-    for r in rows:
-        w = r[1].encode().lower().split()
-        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))})
-    root = list(range(len(rows)))
-
-    def top(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for i in range(len(rows)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                a, b = sorted((top(i), top(j)))
-                root[b] = a
-    rows = [r for i, r in enumerate(rows) if top(i) == i]
+    prints = [plain_print(r[1]) for r in rows]
+    group = components([r[0] for r in rows], lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3)
+    rows = [r for r, g in zip(rows, group) if r[0] == g]
     copies = {r["doc_id"]: r["copies"] for r in mixing.mix_sizes(plain_docs(spark, rows)).collect()}
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})

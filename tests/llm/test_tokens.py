@@ -10,8 +10,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
-from heronlake.llm import bpe, gru, lm
+from heronlake.llm import bpe, catalog, gru, lm
+from heronlake.sources.views import Tables
 from tests.llm.fixtures import empty_docs, odd_docs, odd_rows, plain_docs, prose
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -109,51 +111,79 @@ def test_base_scores_equal_brute_force(spark, table):
     assert all(math.isclose(g[5], w[5], rel_tol=1e-9, abs_tol=1e-9) for g, w in zip(got, want))
 
 
-def test_the_network_beats_single_words_on_texts_it_has_not_seen(spark):
-    docs = plain_docs(spark, made_documents()).repartition(1)
-    got = [r for r in lm.score_texts(docs, rounds=12).collect() if r["held_out"]]
+def test_training_helps_on_texts_it_has_not_seen(spark):
+    """The query's own parameters over several partitions, against single words and the untrained network."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(4)
+    got = [r for r in lm.score_texts(docs).collect() if r["held_out"]]
     tokens = sum(r["n_tokens"] for r in got)
-    gain = sum(r["score"] - r["base_score"] for r in got) / tokens
-    assert gain > 0.1, gain
-
-
-def test_scores_are_probabilities(spark):
-    """Classes and words within classes, unseen words included, add up to one."""
-    learn = plain_docs(spark, made_documents(40))
-    table = lm.frequent_words(lm.word_counts(learn), 6)
-    model, state = gru.Model(gru.start(table.prior), lm.CLASSES), np.zeros((1, 1, gru.HIDDEN), np.float32)
-    shares = [math.exp(gru.shares_of(model, state, np.array([[c]]))[0, 0]) for c in range(lm.CLASSES)]
-    assert math.isclose(sum(shares), 1, rel_tol=1e-5)
-    inside = np.zeros(lm.CLASSES)
-    np.add.at(inside, table.classes, 10**table.inside)
-    unseen = 0.1 / 10**table.below
-    used = sorted(set(table.classes.tolist()))
-    assert np.allclose((inside + unseen)[used], 1)
+    base, model = (sum(r[c] for r in got) / tokens for c in ("base_score", "score"))
+    untrained = [r for r in lm.score_texts(docs, rounds=0).collect() if r["held_out"]]
+    before = sum(r["score"] for r in untrained) / tokens
+    assert abs(before - base) < 0.01
+    assert model > before + 0.05 and model > base + 0.05, (model, before, base)
+
+
+def test_scores_are_probabilities(spark, monkeypatch):
+    """Classes, words within classes and words within tails, unseen ones included, add up to one."""
+    monkeypatch.setattr(lm, "OWN", 70)
+    learn = plain_docs(spark, made_documents(40) + [(1000 + i, prose(random.Random(i), 80), "en", "s") for i in range(20)])
+    table = lm.frequent_words(lm.word_counts(learn), 120)
+    layout = table.layout
+    assert layout.words == 70 and layout.groups == 2
+    rng = np.random.default_rng(1)
+    flat = layout.start(table.start) + rng.normal(0, 0.3, len(layout.start(table.start))).astype(np.float32)
+    model = gru.Model(flat, layout)
+    state = rng.normal(0, 0.5, (1, layout.symbols, gru.HIDDEN)).astype(np.float32)
+    state[:] = state[:, :1]
+    shares = np.exp(model.log_shares(state, np.arange(layout.symbols, dtype=np.int16)[None]))
+    assert math.isclose(shares.sum(), 1, rel_tol=1e-5)
+    tails = np.zeros(lm.TAILS)
+    np.add.at(tails, (table.keys & 15)[table.own:], 10 ** table.inside[table.own:])
+    rest = {r["tail"]: r["n"] for r in lm.word_counts(learn).where("key is not null").where(~F.col("key").isin(*table.keys.tolist())).select(
+        F.expr("cast(key & 15 as int)").alias("tail"), F.expr("log10(n + 0.1D)").alias("n")).groupBy("tail").agg(F.sum(F.expr("pow(10D, n)")).alias("n")).collect()}
+    for tail, n in rest.items():
+        tails[tail] += n / 10 ** table.below[tail]
+    assert np.allclose(tails + 0.1 / 10**table.below, 1)
 
 
 def test_gradient_and_packing():
     rng = np.random.default_rng(0)
-    classes = 9
-    docs = [np.append(rng.integers(0, classes - 1, size=n), classes - 1).astype(np.int16) for n in (0, 3, 40, 77, 5)]
-    flat = gru.start(np.full(classes, 1 / classes))
-    x, y, fresh, _, live = next(gru.windows(docs, classes - 1))
+    layout = gru.Layout(70, 3)
+    docs = [np.append(rng.integers(0, layout.symbols - 1, size=n), layout.symbols - 1).astype(np.int16) for n in (0, 3, 40, 77, 5)]
+    flat = layout.start(rng.integers(1, 50, layout.symbols))
+    flat[np.abs(flat) < 100] += rng.normal(0, 0.1, int((np.abs(flat) < 100).sum())).astype(np.float32)
+    x, y, fresh, _, live = next(gru.windows(docs, layout.symbols - 1))
     zero = np.zeros((x.shape[1], gru.HIDDEN), dtype=np.float32)
 
     def loss(parameters):
-        model = gru.Model(parameters, classes)
+        model = gru.Model(parameters, layout)
         states, _, _ = model.forward(zero, x, fresh)
-        return -(gru.shares_of(model, states, y) * live).sum() / live.sum()
+        return -(model.log_shares(states, y) * live).sum() / live.sum()
 
-    model = gru.Model(flat, classes)
+    model = gru.Model(flat, layout)
     states, kept, _ = model.forward(zero, x, fresh)
     grad = model.gradient(x, y, fresh, live, states, kept)
-    for i in rng.integers(0, len(flat), 25):
-        step = np.zeros_like(flat)
-        step[i] = 1e-2
-        assert abs((loss(flat + step) - loss(flat - step)) / 2e-2 - grad[i]) < 2e-4
+    ends = np.cumsum([int(np.prod(shape)) for shape in layout.shapes.values()])
+    for low, high in zip([0, *ends[:-1]], ends):
+        # the largest entries of each part, and some at random
+        top = low + np.argsort(-np.abs(grad[low:high]))[:4]
+        for i in [*top, *rng.integers(low, high, 4)]:
+            step = np.zeros_like(flat)
+            step[i] = 1e-2
+            assert abs((loss(flat + step) - loss(flat - step)) / 2e-2 - grad[i]) < 3e-4
     # documents side by side score as each by itself, over many windows
-    packed = gru.score(flat, classes, docs)
-    assert np.allclose(packed, [gru.score(flat, classes, [d])[0] for d in docs], atol=1e-4)
+    packed = gru.score(flat, layout, docs)
+    assert np.allclose(packed, [gru.score(flat, layout, [d])[0] for d in docs], atol=1e-3)
+
+
+def test_query_returns_the_contract_columns(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    rows = [(r["doc_id"], r["text"]) for r in t.documents.collect()]
+    found = catalog.QUERIES["op10_lm_score"](t)
+    assert found.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    got, want = sorted(map(tuple, found.collect())), sorted(plain_base(rows))
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert all(math.isclose(g[5], w[5], rel_tol=1e-9) and g[6] < 0 for g, w in zip(got, want))
 
 
 def test_empty_tables(spark):
