@@ -19,8 +19,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that share 0.8 or more of their five-word shingles, the smallest id."""
-    return simhash.drop_near_copies(docs, similarity=0.8, words=5)
+    """Of fingerprints over three words that hang together at three or fewer bits, the smallest id."""
+    return simhash.drop_near_copies(docs, shingle=3, bits=3)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
