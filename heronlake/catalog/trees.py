@@ -20,7 +20,7 @@ def supplier_edges(t):
 @query("""with recursive s as (select distinct l_orderkey, l_linenumber, l_suppkey as k from lineitem),
           f as (select least(a.k, b.k) as src, greatest(a.k, b.k) as dst, min(a.l_orderkey) as f from s a join s b
               on a.l_orderkey = b.l_orderkey and b.l_linenumber = a.l_linenumber + 1 and a.k <> b.k group by 1, 2),
-          e as (select row_number() over (order by f, src, dst) as pos, src, dst from f),
+          e as materialized (select row_number() over (order by f, src, dst) as pos, src, dst from f),
           w(i, labels, closing, hit) as (
               select 0::bigint, range(0, (select max(s_suppkey) + 1 from supplier)), 0::bigint, null::bigint union all
               select i + 1, case when labels[src + 1] = labels[dst + 1] then labels
