@@ -41,25 +41,26 @@ def covering_window(t):
     return op.covering_window(rows, KEY, ORDER, "event_type", {"click": 2, "view": 1, "error": 1})
 
 
-@query("""with recursive l as (select doc_id, coalesce(text, '') as text, string_split(coalesce(text, ''), '') as cs from documents),
-          ch as (select doc_id, unnest(cs) as c, generate_subscripts(cs, 1) - 1 as i from l where text <> ''),
-          w(doc_id, low, high) as (select doc_id, i, i from ch union all
-              select a.doc_id, a.i, b.i from ch a join ch b on a.doc_id = b.doc_id and b.i = a.i + 1 and a.c = b.c union all
-              select w.doc_id, a.i, b.i from w join ch a on a.doc_id = w.doc_id and a.i = w.low - 1
-              join ch b on b.doc_id = w.doc_id and b.i = w.high + 1 and a.c = b.c),
-          m as (select doc_id, min(struct_pack(n := low - high, s := low)) as m from w group by 1)
-          select doc_id, coalesce(m.s, 0)::bigint as start, coalesce(1 - m.n, 0)::bigint as length from l left join m using (doc_id)""")
+@query("""with recursive l as (select concat(conv_id, ':', turn) as id, string_split(coalesce(text, ''), '') as cs, text from conversations),
+          ch as materialized (select id, unnest(cs) as c, generate_subscripts(cs, 1) - 1 as i from l where text <> ''),
+          w(id, low, high) as (select id, i, i from ch union all
+              select a.id, a.i, b.i from ch a join ch b on a.id = b.id and b.i = a.i + 1 and a.c = b.c union all
+              select w.id, a.i, b.i from w join ch a on a.id = w.id and a.i = w.low - 1
+              join ch b on b.id = w.id and b.i = w.high + 1 and a.c = b.c),
+          m as (select id, min(struct_pack(n := low - high, s := low)) as m from w group by 1)
+          select id, coalesce(m.s, 0)::bigint as start, coalesce(1 - m.n, 0)::bigint as length from l left join m using (id)""")
 def longest_palindrome(t):
-    return op.longest_palindrome(t.documents, "doc_id", "text")
+    named = t.conversations.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), "text")
+    return op.longest_palindrome(named, "id", "text")
 
 
 @query("""with recursive q as (select item_id, regexp_replace(lower(text), '[^\\p{L}]', '', 'g') as s from benchmark),
           n as (select distinct length(word) as n from words),
-          p as (select item_id, length(s) as size, unnest(range(0, length(s))) as at, s from q),
-          e as (select item_id, at, at + n as goal from p join n on at + n <= size semi join words on word = substr(s, (at + 1)::int, n::int)),
-          w(item_id, at) as (select item_id, 0::bigint from q union select w.item_id, goal from w join e on e.item_id = w.item_id and e.at = w.at)
+          p as (select item_id, length(s) as size, unnest(range(0, length(s))) as b, s from q),
+          e as (select item_id, b, b + n as goal from p join n on b + n <= size semi join words on word = substr(s, (b + 1)::int, n::int)),
+          w(item_id, b) as (select item_id, 0::bigint from q union select w.item_id, goal from w join e on e.item_id = w.item_id and e.b = w.b)
           select item_id, (select count(*) from e where e.item_id = q.item_id) as words_found,
-          exists (select 1 from w where w.item_id = q.item_id and w.at = length(s)) as can_cut from q""", views="words")
+          exists (select 1 from w where w.item_id = q.item_id and w.b = length(s)) as can_cut from q""", views="words")
 def word_cuts(t):
     joined = t.benchmark.select("item_id", F.regexp_replace(F.lower("text"), r"[^\p{L}]", "").alias("s"))
     return op.word_cuts(joined, text.words(t.documents, "text"), "item_id", "s")
