@@ -186,17 +186,51 @@ def op11_ngram_join(t: Tables) -> DataFrame:
     return ngram_join.jaccard_groups(t.documents)
 
 
-@query()
-def op12_conversation_repair(t: Tables) -> DataFrame:
-    return repair.repair_conversations(t.conversations)
-
-
 # CRC-32 of a text of digits: the checksum's shift register, a byte and then a bit at a time.
 _CRC = """xor(list_reduce(list_transform(range(1, length({0}) + 1), lambda i: ord(substr({0}, i::int, 1))::bigint),
   lambda c, b: list_reduce(range(0, 8), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, xor(c, b)),
   4294967295::bigint), 4294967295)"""
 
 
+# One step of the search from the last row to the first: the best edit in each of four states, as (cost, audit, lines).
+_EDITS = """[{c: 2 + s[q].c, a: 'D' || s[q].a, o: s[q].o},
+    {c: case when x.f in ('blank', 'duplicate') then null else s[_to].c + x.e end, a: 'K' || s[_to].a,
+        o: chr(10) || x.r || ':' || x.t || s[_to].o},
+    {c: case when x.f in ('blank', 'duplicate') then null else s[_on].c + x.e + 1 end, a: 'R' || s[_on].a,
+        o: chr(10) || _role || ':' || x.t || s[_on].o}]""".replace(
+    "_to", "(case when q = 1 and left(x.r, 1) = 's' then 2 when q <> 3 and left(x.r, 1) = 'u' then 3 when q = 3 and left(x.r, 1) = 'a' then 4 end)"
+).replace("_on", "(case when q = 3 then 4 else 3 end)").replace("_role", "(case when q = 3 then 'assistant' else 'user' end)")
+_PUT = "{{c: 5 + {0}.c, a: 'I' || {0}.a, o: chr(10) || '{1}:' || {0}.o}}"
+
+
+@query(f"""
+with d as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    concat(coalesce(conv_id::varchar, ' '), ':', coalesce(turn::varchar, ' ')) as name from conversations),
+h as (select *, {_CRC.format('name')} % 20 as hit from d),
+k as (select conv_id, turn, case when hit = 4 then 'user' else role end as role,
+    case when hit = 1 then '' when hit = 2 then translate(text, '.!?', '') else text end as text,
+    unnest(case when hit = 3 then [0, 1] else [0] end) as twin from h where hit <> 0),
+v as (select *, row_number() over (partition by conv_id, role, text order by turn nulls first) > 1 as seen from k),
+w as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, seen) as pos,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare from v),
+f as (select *, case when bare = '' then 'blank' when seen then 'duplicate' when right(bare, 1) not in ('.', '!', '?') then 'truncated' else 'none' end as fault,
+    lag(left(role, 1)) over (partition by conv_id order by pos) || left(role, 1) not in ('su', 'ua', 'au') as wrong from w),
+r as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated, count(*) filter (wrong) as illegal,
+    list_reduce(list({{r: role, t: text, f: fault, e: case when fault = 'truncated' then 5 else 0 end}} order by pos desc), lambda s, x:
+      list_transform([list_transform([1, 2, 3, 4], lambda q: list_min(list_filter({_EDITS}, lambda z: z.c is not null)))], lambda n:
+        list_transform([[list_min([n[3], {_PUT.format('n[4]', 'assistant')}]), list_min([n[4], {_PUT.format('n[3]', 'user')}])]], lambda m:
+          [list_min([n[1], {_PUT.format('m[1]', 'user')}]), list_min([n[2], {_PUT.format('m[1]', 'user')}]), m[1], m[2]])[1])[1],
+      [{{c: 0, a: '', o: ''}}, {{c: 10, a: 'II', o: chr(10) || 'user:' || chr(10) || 'assistant:'}},
+       {{c: 5, a: 'I', o: chr(10) || 'assistant:'}}, {{c: 0, a: '', o: ''}}])[1] as best from f group by conv_id)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(best.c, 0)::bigint as cost, coalesce(best.a, '') as audit, sha256(coalesce(substr(best.o, 2), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join r on r.conv_id is not distinct from c.conv_id
+""")
+def op12_conversation_repair(t: Tables) -> DataFrame:
+    return repair.repair_conversations(t.conversations)
+
+
 @query(f"""
 with t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
     coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),

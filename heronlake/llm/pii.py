@@ -46,12 +46,6 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def mod97(code: str) -> bool:
-    """Whether an account number's check digits are right (remainder one)."""
-    turned = code[4:] + code[:4]
-    return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
-
-
 def _emails(text: str):
     """Each match holds one '@' right after a run of local characters, so it is
     found from the '@' outwards; no run of letters is tried from every place."""
@@ -72,15 +66,21 @@ def _octet(digits: str) -> bool:
 
 def _accounts(text: str):
     """Upper-case words may follow a number, so it is cut to its country's length,
-    or, for other codes, at the last end of a word where the check digits are right."""
+    or, for other codes, at the last end of a word where the check digits are right.
+    The remainder is carried along, so all ends together take one pass."""
     at = 0
     while m := IBAN.search(text, at):
         at, length = m.start() + 1, IBAN_LENGTH.get(m[0][:2])
-        for end in range(m.end(), m.start() + 14, -1):
-            if text[end - 1] == " " or text[end:end + 1].isascii() and text[end:end + 1].isalnum():
-                continue
-            code = text[m.start():end].replace(" ", "")
-            if len(code) >= 15 and len(code) == (length or len(code)) and IBAN_GROUPS.fullmatch(text, m.start(), end) and mod97(code):
+        places = [i for i in range(m.start(), m.end()) if text[i] != " "]
+        head, left, right = "".join(str(int(text[i], 36)) for i in places[:4]), 0, []
+        for size, i in enumerate(places[4:], 5):
+            digit = int(text[i], 36)
+            left = (left * (100 if digit > 9 else 10) + digit) % 97
+            if size >= 15 and size == (length or size) and int(str(left) + head) % 97 == 1:
+                right.append(i + 1)
+        for end in reversed(right):
+            after = text[end:end + 1]
+            if not (after.isascii() and after.isalnum()) and IBAN_GROUPS.fullmatch(text, m.start(), end):
                 yield m.start(), end
                 at = end
                 break

@@ -5,6 +5,7 @@ import itertools
 import random
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,7 +257,19 @@ def test_ids_of_one_node_come_in_pieces(spark):
 def test_queries_on_the_small_tables(spark):
     t = Tables(spark, SMALL)
     rows = [tuple(r) for r in t.conversations.select("conv_id", "turn", "role", "text").collect()]
-    assert sorted(map(tuple, catalog.QUERIES["op12_conversation_repair"](t).collect()), key=str) == plain_report(rows)
+    found = catalog.QUERIES["op12_conversation_repair"](t)
+    assert sorted(map(tuple, found.collect()), key=str) == plain_report(rows)
+    assert compare(found, connect(SMALL), catalog.SQL["op12_conversation_repair"]) is None
     found = catalog.QUERIES["op13_conversation_trie"](t)
     assert sorted(map(tuple, found.collect()), key=str) == plain_trie(rebuilt(rows))
     assert compare(found, connect(SMALL), catalog.SQL["op13_conversation_trie"]) is None
+
+
+@pytest.mark.parametrize("rows", [odd_turns(), made_turns(1), made_turns(2)])
+def test_the_statement_of_the_repair_equals_brute_force(rows):
+    con = duckdb.connect()
+    con.execute("create table conversations(conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    names = "conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256"
+    got = con.execute(f"select {names} from ({catalog.SQL['op12_conversation_repair']})").fetchall()
+    assert sorted(got, key=str) == plain_report(rows)

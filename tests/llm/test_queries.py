@@ -18,7 +18,7 @@ BRUTE_FORCE = {
     "op2_simhash_groups": "test_copies.test_queries_equal_brute_force",
     "op3_byte_bpe": "test_queries.test_op3", "op4_secret_scan": "test_queries.test_op4", "op7_personal_data": "test_queries.test_op7",
     "op8_license_scan": "test_queries.test_op8", "op10_lm_score": "test_tokens.test_query_returns_the_contract_columns",
-    "op11_ngram_join": "test_ngram_join.test_query_equals_brute_force", "op12_conversation_repair": "test_conversations.test_queries_on_the_small_tables",
+    "op11_ngram_join": "test_ngram_join.test_query_equals_brute_force",
     "pipeline": "test_pipeline.test_pipeline_equals_brute_force",
 }
 
