@@ -72,33 +72,41 @@ def is_acyclic(edges: DataFrame) -> bool:
 
     Every round drops edges that start at a node without a way in or end at
     one without a way out.  If there is none, every node left has a way in and
-    a way out, so there is a cycle.  Then it bridges chosen nodes on chains,
-    so a chain of any length is gone after a number of rounds that grows with
-    its logarithm.  Where nodes have several ways in and out, as on a ladder,
-    one layer goes per round, so the rounds are bounded by the longest path.
+    a way out, so there is a cycle.  Then nodes with one way in become part of
+    the node it comes from, and nodes with one way out part of the node it
+    leads to: a cycle through such a node goes through the other as well, so
+    none is lost and none is made, and an edge that so comes to lead to its own
+    node closes one.  A coin says which of two neighbours gives way, so a fixed
+    part of these nodes is gone after a round, and chains, trees and what they
+    branch into take a number of rounds that grows with the logarithm of
+    their length.  Where all nodes have several ways in and out, as on a
+    ladder, one layer goes per round and side.
     """
     rounds, turn = Rounds(edges.sparkSession, "cycles"), 0
 
-    def save(df: DataFrame) -> tuple[DataFrame, int]:
+    def save(df: DataFrame) -> tuple[DataFrame, int, int]:
         seen = Observation()
-        return rounds.save(df.observe(seen, F.count("*").alias("n"))), seen.get["n"]
+        loops = F.count_if(F.col("src") == F.col("dst"))
+        return rounds.save(df.observe(seen, F.count("*").alias("n"), loops.alias("loops"))), seen.get["n"], seen.get["loops"]
 
-    left, count = save(edges.select("src", "dst").distinct())
-    while count:
+    left, count, loops = save(edges.select("src", "dst").distinct())
+    while count and not loops:
         turn += 1
         leaving, coming = left.select(F.col("src").alias("dst")).distinct(), left.select(F.col("dst").alias("src")).distinct()
         kept = left.join(coming, "src", "left_semi").join(leaving, "dst", "left_semi").select("src", "dst")
-        before, (kept, count) = count, save(kept)
+        before, (kept, count, _) = count, save(kept)
         if count == before:
             return False
-        into = kept.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("i"), F.min("src").alias("before"))
-        out = kept.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("o"), F.min("dst").alias("after"))
         coin = lambda c: F.pmod(F.xxhash64(F.col(c), F.lit(turn)), F.lit(2))  # noqa: B023,E731
-        bridges = into.where("i = 1").join(out.where("o = 1"), "id").where((coin("id") == 1) & (coin("before") == 0))
-        gone = bridges.select(F.col("before").alias("src"), F.col("id").alias("dst")).unionAll(
-            bridges.select(F.col("id").alias("src"), F.col("after").alias("dst"))
-        )
-        rest = kept.join(gone, ["src", "dst"], "left_anti")
-        new = bridges.select(F.col("before").alias("src"), F.col("after").alias("dst"))
-        left, count = save(rest.select("src", "dst").unionAll(new).distinct())
-    return True
+        into = kept.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("n"), F.min("src").alias("other"))
+        out = kept.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("n"), F.min("dst").alias("other"))
+        gives = (F.col("n") == 1) & (coin("id") == 1) & (coin("other") == 0)
+        one_in, one_out = (side.where(gives).select("id", "other") for side in (into, out))
+        both = one_in.select("id", "other", F.lit(0).alias("side")).unionAll(one_out.select("id", "other", F.lit(1).alias("side")))
+        moves = both.groupBy("id").agg(F.min(F.struct("side", "other")).alias("m")).select("id", "m.side", "m.other")
+        inner = F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("id")).alias("src"), F.when(F.col("side") == 0, F.col("id")).otherwise(F.col("other")).alias("dst")
+        rest = kept.join(moves.select(*inner), ["src", "dst"], "left_anti")
+        name = lambda c: moves.select(F.col("id").alias(c), F.col("other").alias(f"_{c}"))
+        named = rest.join(name("src"), "src", "left").join(name("dst"), "dst", "left")
+        left, count, loops = save(named.select(F.coalesce("_src", "src").alias("src"), F.coalesce("_dst", "dst").alias("dst")).distinct())
+    return not loops

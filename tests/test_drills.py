@@ -3,10 +3,10 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from heronlake.operators import sequences, trees
-from heronlake.plans.graph import reach
+from heronlake.plans.graph import is_acyclic, reach
+from heronlake.plans.shared import Rounds
 from heronlake.streaming import jobs
 
 
@@ -266,3 +266,40 @@ def test_a_step_reads_the_last_two_parts_alone(spark):
     finally:
         reader.parquet = parquet
     assert sum("steps=" in p for paths in read for p in paths) <= 2 * (n + 2)
+
+
+def has_cycle(edges):
+    out, state = {}, {}
+    for a, b in edges:
+        out.setdefault(a, []).append(b)
+
+    def visit(x):
+        state[x] = 1
+        found = any(state.get(y) == 1 or (y not in state and visit(y)) for y in out.get(x, []))
+        state[x] = 2
+        return found
+
+    return any(x not in state and visit(x) for x in list(out))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_cycles_in_branched_graphs(spark, seed):
+    rng = random.Random(seed)
+    edges = {tuple(sorted(rng.sample(range(80), 2))) for _ in range(110)}
+    if seed % 2:
+        a, b = rng.choice(sorted(edges))
+        edges |= {(b, a + 1000), (a + 1000, a)}
+    frame = spark.createDataFrame(sorted(edges), "src long, dst long")
+    assert is_acyclic(frame) == (not has_cycle(edges)) == (seed % 2 == 0)
+
+
+def test_deep_trees_take_few_rounds(spark, monkeypatch):
+    """A comb of depth 200 branches at every node; layer by layer it would take 200 rounds."""
+    saved = []
+    save = Rounds.save
+    monkeypatch.setattr(Rounds, "save", lambda self, df: (saved.append(1), save(self, df))[1])
+    comb = spark.range(200).selectExpr("id as src", "id + 1 as dst").unionAll(spark.range(200).selectExpr("id as src", "id + 1000 as dst"))
+    assert is_acyclic(comb.unionAll(spark.range(200).selectExpr("id + 2000 as src", "id as dst")))
+    assert len(saved) < 60
+    assert not is_acyclic(spark.createDataFrame([(5, 5)], "src long, dst long"))
+    assert not is_acyclic(spark.createDataFrame([(1, 2), (2, 1)], "src long, dst long"))
