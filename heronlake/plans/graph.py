@@ -43,28 +43,34 @@ def component_roots(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(roots)
 
 
-def reach(edges: DataFrame, sources: DataFrame, both_ways: bool = False) -> DataFrame:
+# Steps of a search after which edges to nodes that were found are left out.
+STRETCH = 8
+
+
+def reach(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """Fewest steps from any source to every node that can be reached: (id, steps).
 
     Each step adds its nodes to one folder, a part per step; nothing that was
-    found before is written again.  Where every edge is there ``both_ways``, a
-    neighbour of the last step's nodes was found in one of the last two steps
-    or not at all, so a step reads these two parts and no others.
+    found before is written again.  Every ``STRETCH`` steps the edges to nodes
+    found so far are left out for good, so a step compares with the parts since then
+    alone and reads ever fewer edges; it never reads all that was found.
     """
     spark = edges.sparkSession
-    base, step = scratch_path(spark, "reach"), 0
+    base, rounds, step, first = scratch_path(spark, "reach"), Rounds(spark, "reach-edges"), 0, 0
     sources.select("id").distinct().write.parquet(f"{base}/steps=0")
-    part = lambda n: spark.read.schema("id long").parquet(f"{base}/steps={n}")
+    parts = lambda low, high: spark.read.schema("id long").parquet(*[f"{base}/steps={n}" for n in range(low, high + 1)])
     while True:
-        frontier = part(step)
+        frontier = parts(step, step)
         if frontier.isEmpty():
             return spark.read.schema("id long, steps int").parquet(base)
-        seen = spark.read.schema("id long, steps int").parquet(base).select("id")
-        if both_ways:
-            seen = frontier.unionAll(part(step - 1)) if step else frontier
-        step += 1
         ahead = frontier.join(edges, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct()
-        ahead.join(seen, "id", "left_anti").write.parquet(f"{base}/steps={step}")
+        if first <= step:
+            ahead = ahead.join(parts(first, step), "id", "left_anti")
+        ahead.write.parquet(f"{base}/steps={step + 1}")
+        step += 1
+        if step - first >= STRETCH:
+            found = parts(first, step).withColumnRenamed("id", "dst")
+            edges, first = rounds.save(edges.select("src", "dst").join(found, "dst", "left_anti").select("src", "dst")), step + 1
 
 
 def is_acyclic(edges: DataFrame) -> bool:

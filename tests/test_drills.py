@@ -5,7 +5,7 @@ import random
 import pytest
 
 from heronlake.operators import sequences, trees
-from heronlake.plans.graph import is_acyclic, reach
+from heronlake.plans.graph import STRETCH, is_acyclic, reach
 from heronlake.plans.shared import Rounds
 from heronlake.streaming import jobs
 
@@ -249,23 +249,32 @@ def test_batches_hold_real_rows(spark, tmp_path, parts):
     assert sizes == {**{b: 100 for b in range(12)}, 12: 34}
 
 
-def test_a_step_reads_the_last_two_parts_alone(spark):
-    """On edges there both ways the rows a step reads do not grow with the steps taken."""
-    n = 40
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fewest_steps_over_directed_edges(spark, seed):
+    rng = random.Random(seed)
+    edges = [(i, i + 1) for i in range(30)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(40)]
+    want, line = {0: 0, 7: 0}, [0, 7]
+    for x in line:
+        for a, b in edges:
+            if a == x and b not in want:
+                want[b] = want[x] + 1
+                line.append(b)
+    got = reach(spark.createDataFrame(edges, "src long, dst long"), spark.createDataFrame([(0,), (7,)], "id long")).collect()
+    assert {r["id"]: r["steps"] for r in got} == want and len(got) == len(want)
+
+
+def test_a_step_reads_no_more_parts_than_a_stretch(spark):
+    """What a step compares with does not grow with the steps taken."""
+    n, read, reader = 30, [], type(spark.read)
     pairs = spark.range(n).selectExpr("id as src", "id + 1 as dst")
-    edges = pairs.unionAll(pairs.selectExpr("dst", "src"))
-    got = {r["id"]: r["steps"] for r in reach(edges, spark.range(1), both_ways=True).collect()}
-    assert got == {i: i for i in range(n + 1)}
-    plain = {r["id"]: r["steps"] for r in reach(edges, spark.range(1)).collect()}
-    assert plain == got
-    read, parquet = [], type(spark.read).parquet
-    reader = type(spark.read)
+    parquet = reader.parquet
     reader.parquet = lambda self, *paths, **more: (read.append(paths), parquet(self, *paths, **more))[1]
     try:
-        reach(edges, spark.range(1), both_ways=True)
+        got = {r["id"]: r["steps"] for r in reach(pairs.unionAll(pairs.selectExpr("dst", "src")), spark.range(1)).collect()}
     finally:
         reader.parquet = parquet
-    assert sum("steps=" in p for paths in read for p in paths) <= 2 * (n + 2)
+    assert got == {i: i for i in range(n + 1)}
+    assert max(sum("steps=" in p for p in paths) for paths in read) <= STRETCH + 1
 
 
 def has_cycle(edges):
