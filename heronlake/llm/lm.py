@@ -20,6 +20,8 @@ from heronlake.llm.common import slices, whole_text, written
 # end of a text is the last symbol.
 TABLE, OWN, TAILS = 1 << 17, 2048, 16
 ADD = 0.1
+# Longs from the lowest on, as many as a table may have words, are places in it.
+LOWEST, ROOM = -(1 << 63), 1 << 20
 # Bytes of text and of symbols that are worked on together.
 PIECE, TOKENS = 4 << 20, 8 << 20
 
@@ -29,7 +31,9 @@ def word_key(word: bytes) -> int:
     import xxhash
 
     key = (xxhash.xxh64_intdigest(word) & ~15) | (word[-1] & 15)
-    return key - (1 << 64) if key >> 63 else key
+    key = key - (1 << 64) if key >> 63 else key
+    # the lowest longs stand for places in the table
+    return key ^ (1 << 62) if key < LOWEST + ROOM else key
 
 
 def words_of(text: str) -> list[bytes]:
@@ -43,7 +47,7 @@ def held_out() -> Column:
 
 
 class Words(dict):
-    """Word to its place in the table, or -1 - tail; filled as words are met."""
+    """Word to ``LOWEST`` and its place in the table, or to its key; filled as words are met."""
 
     def __init__(self, places: dict[int, int], most: int = 400_000):
         super().__init__()
@@ -53,7 +57,8 @@ class Words(dict):
         if len(self) > self.most:
             self.clear()
         key = word_key(word)
-        self[word] = found = self.places.get(key, -1 - (key & 15))
+        place = self.places.get(key)
+        self[word] = found = key if place is None else LOWEST + place
         return found
 
 
@@ -83,13 +88,16 @@ class Table:
         # the network gives its own words whole; the others come with their share of the tail
         self.inside = np.where(np.arange(len(keys)) < self.own, 0.0, np.log10(counts + ADD) - self.below[tail_of])
 
-    def cut(self, text: str, cache: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Words, their places, and the symbols of all tokens with the end."""
+    def cut(self, text: str, cache: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the words outside the table, places of the others, and the symbols of all tokens with the end."""
         words = words_of(text)
-        places = np.array(list(map(cache.__getitem__, words)), dtype=np.int32)
+        codes = np.fromiter(map(cache.__getitem__, words), dtype=np.int64, count=len(words))
+        inside = codes < LOWEST + ROOM
+        places, others = codes[inside] & (ROOM - 1), codes[~inside]
         symbols = np.full(len(words) + 1, self.layout.symbols - 1, dtype=np.int16)
-        symbols[:-1] = np.where(places < 0, self.own - 1 - places, self.symbol_of[np.maximum(places, 0)])
-        return words, places, symbols
+        symbols[:-1][inside] = self.symbol_of[places]
+        symbols[:-1][~inside] = self.own + (others & 15)
+        return others, places, symbols
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -156,18 +164,17 @@ def cut_texts(docs: DataFrame, table: Table) -> DataFrame:
             for part in slices(batch, 2, PIECE):
                 sizes, known, base, inside, symbols, keys, times, ends = [], [], [], [], [], [], [], [0]
                 for text in part.column(2).to_pylist():
-                    words, places, kinds = own.cut(text, cache)
-                    top = places[places >= 0]
+                    others, top, kinds = own.cut(text, cache)
                     sizes.append(len(kinds))
                     known.append(len(top))
                     base.append(float(own.base[top].sum()))
                     inside.append(float(own.inside[top].sum()))
-                    others = Counter([words[i] for i in np.flatnonzero(places < 0)])
-                    keys.extend(map(word_key, others))
-                    times.extend(others.values())
-                    ends.append(len(keys))
+                    names, counts = np.unique(others, return_counts=True)
+                    keys.append(names)
+                    times.append(counts)
+                    ends.append(ends[-1] + len(names))
                     symbols.append(kinds.tobytes())
-                pairs = pa.StructArray.from_arrays([pa.array(keys, pa.int64()), pa.array(times, pa.int64())], ["key", "n"])
+                pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(times).astype(np.int64))], ["key", "n"])
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
                     pa.array(base, pa.float64()), pa.array(inside, pa.float64()),
