@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from heronlake.plans.shared import scratch_path
+from heronlake.plans.shared import remove, scratch_path
 
 # The six ASCII white space characters that part words.
 WHITE = " \t\n\x0b\x0c\r"
@@ -40,7 +40,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table of :func:`written` that no later step reads."""
+    remove(df.sparkSession, df.scratch)
 
 
 def by_shuffle(df: DataFrame) -> DataFrame:

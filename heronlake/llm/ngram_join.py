@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -9,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from heronlake.llm.common import by_shuffle, slices, whole_text, written
+from heronlake.llm.common import by_shuffle, forget, slices, whole_text, written
 from heronlake.plans.graph import component_roots
 from heronlake.plans.skew import attach
 
@@ -17,9 +18,9 @@ from heronlake.plans.skew import attach
 # sketch; rounds in which each n-gram has one leading set; rows of a block of the
 # product; sets of an n-gram that meet in one task; sets remembered in a task.
 SLOTS, BLOCK, BITS = 1 << 21, 1 << 17, 512
-ROUNDS, ROWS, CROWD, KNOWN = 2, 512, 1024, 1 << 17
+ROUNDS, ROWS, CROWD, KNOWN = 1, 512, 1024, 1 << 17
 LONGS = BITS // 64
-# One odd factor for each word of an n-gram, from the golden ratio's bits.
+# The powers of this odd number, from the golden ratio's bits, are the factors of places in an n-gram.
 FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -46,18 +47,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def ngrams(text: str, words: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of all runs of ``words`` words; fewer words are one run, none give none."""
-    parts = text.encode("utf-8", "replace").lower().split()
-    if not parts:
-        return np.zeros(0, dtype=np.uint64)
-    own = np.fromiter(map(hashes.__getitem__, parts), dtype=np.uint64, count=len(parts))
-    runs = max(1, len(parts) - words + 1)
-    total = np.full(runs, min(words, len(parts)), dtype=np.uint64)
-    for k in range(min(words, len(parts))):
-        total += mixed(own[k:k + runs] + np.uint64((k + 1) * FACTOR % 2**64))
-        total *= np.uint64(FACTOR)
-    return np.unique(mixed(total))
+def ngrams(texts: list[str], words: int, hashes: WordHashes) -> list[np.ndarray]:
+    """Per text the sorted distinct hashes of all runs of ``words`` words; fewer words are one run, none give none.
+
+    A run's hash adds up the hashes of its words, each times a factor of its
+    place; the runs of all texts are worked out together and then cut.
+    """
+    parts = [t.encode("utf-8", "replace").lower().split() for t in texts]
+    sizes = [len(p) for p in parts]
+    own = np.fromiter((h for p in parts for h in map(hashes.__getitem__, p)), dtype=np.uint64, count=sum(sizes))
+    factors = [np.uint64(FACTOR ** (k + 1) % 2**64) for k in range(words)]
+    runs = np.zeros(max(0, len(own) - words + 1), dtype=np.uint64)
+    for k, factor in enumerate(factors):
+        runs += own[k:k + len(runs)] * factor
+    runs, out, at = mixed(runs), [], 0
+    for size in sizes:
+        if size >= words:
+            out.append(np.unique(runs[at:at + size - words + 1]))
+        elif size:
+            # the number of words is part of the hash, as a shorter run is no beginning of a longer one
+            total = size + sum(int(h) * int(f) for h, f in zip(own[at:at + size], factors))
+            out.append(mixed(np.array([total % 2**64], dtype=np.uint64)))
+        else:
+            out.append(np.zeros(0, dtype=np.uint64))
+        at += size
+    return out
 
 
 def set_name(grams: np.ndarray) -> tuple[int, int]:
@@ -90,7 +104,7 @@ def set_marks(docs: DataFrame, words: int) -> DataFrame:
         hashes, counts = WordHashes(), np.zeros(SLOTS, dtype=np.int32)
         for batch in batches:
             for part in slices(batch, 2):
-                sets = [ngrams(t, words, hashes) for t in part.column(2).to_pylist()]
+                sets = ngrams(part.column(2).to_pylist(), words, hashes)
                 if sets:
                     np.add.at(counts, (np.concatenate(sets) >> np.uint64(40)).astype(np.int64) % SLOTS, 1)
                 names = np.array([set_name(s) for s in sets], dtype=np.int64).reshape(-1, 2)
@@ -112,7 +126,10 @@ def set_marks(docs: DataFrame, words: int) -> DataFrame:
 
 
 def slot_counts(marks: DataFrame) -> np.ndarray:
-    """The counts of all tasks added up: a table of ``SLOTS`` numbers, however large the input is."""
+    """The counts of all tasks added up: a table of ``SLOTS`` numbers, however large the input is.
+
+    They are added up in about the square root of the number of tasks first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -120,13 +137,15 @@ def slot_counts(marks: DataFrame) -> np.ndarray:
             for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 sums[block] = sums.get(block, 0) + np.frombuffer(zlib.decompress(packed), dtype=np.int32).astype(np.int64)
         for block, own in sums.items():
-            own = np.minimum(own, 2**31 - 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["block", "counts"])
+            packed = zlib.compress(np.minimum(own, 2**31 - 1).astype(np.int32).tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed], pa.binary())], ["block", "counts"])
 
-    found = marks.where("block is not null").select("block", "counts").repartition("block").mapInArrow(run, "block int, counts binary")
+    found, kind = marks.where("block is not null").select("block", "counts"), "block int, counts binary"
+    parts = max(1, math.isqrt(found.count() * BLOCK // SLOTS))
+    some = found.repartition("block", F.pmod(F.xxhash64("counts"), F.lit(parts))).mapInArrow(run, kind)
     out = np.zeros(SLOTS, dtype=np.int32)
-    for row in found.collect():
-        out[row["block"] * BLOCK:(row["block"] + 1) * BLOCK] = np.frombuffer(row["counts"], dtype=np.int32)
+    for row in some.repartition("block").mapInArrow(run, kind).collect():
+        out[row["block"] * BLOCK:(row["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.int32)
     return out
 
 
@@ -153,8 +172,7 @@ def prefix_entries(docs: DataFrame, words: int, percent: int, counts: np.ndarray
         for batch in batches:
             for part in slices(batch, 0):
                 keys, nodes, infos, salts = [], [], [], []
-                for text in part.column(0).to_pylist():
-                    grams = ngrams(text, words, hashes)
+                for grams in ngrams(part.column(0).to_pylist(), words, hashes):
                     node = node_of(*set_name(grams), same)
                     if not len(grams) or node in known:
                         continue
@@ -220,13 +238,13 @@ def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def ngram_sets(docs: DataFrame, marks: DataFrame, words: int, clashes: set[int]) -> DataFrame:
-    """(node, grams) of the texts that ``marks`` names, rows of one set merged."""
+    """(node, grams) of the texts that ``marks`` names, one mark for each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for part in slices(batch, 1):
-                sets = [ngrams(t, words, hashes) for t in part.column(1).to_pylist()]
+                sets = ngrams(part.column(1).to_pylist(), words, hashes)
                 nodes = [node_of(*set_name(s), clashes) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "grams"]
@@ -239,7 +257,7 @@ def ngram_sets(docs: DataFrame, marks: DataFrame, words: int, clashes: set[int])
     texts = texts.join(F.broadcast(asked), slot(F.col("row.mark")) == F.col("_asked"), "left_semi").select("row.*")
     # copies are dropped before they move
     texts = texts.dropDuplicates(["mark", "text"]).join(by_shuffle(marks), "mark", "left_semi").select("mark", "text")
-    return texts.mapInArrow(run, "node long, grams array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node long, grams array<long>")
 
 
 def block_overlaps(head: np.ndarray, grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -300,11 +318,13 @@ def leading_pairs(members: DataFrame, loose: DataFrame, percent: int) -> tuple[D
     (src, dst) and the leads' components (key, lead).
     """
     order = F.shiftright("info", 52) * F.lit(1 << 51) + F.col("node").bitwiseAND(F.lit((1 << 51) - 1).cast("long"))
-    leads = loose.groupBy("key").agg(
-        F.max_by("node", order).alias("lead"), F.max_by("info", order).alias("lead_info"), F.max_by("comp", order).alias("lead_comp")
-    )
-    counts = members.groupBy("key").agg(F.count("*").alias("_n"))
-    leads = written(leads.join(counts, "key"), "ngram-leads")
+    best = [F.max_by("node", order).alias("lead"), F.max_by("info", order).alias("lead_info"), F.max_by("comp", order).alias("lead_comp")]
+    rows = F.count("*").alias("_n")
+    if loose is members:
+        leads = members.groupBy("key").agg(*best, rows)
+    else:
+        leads = loose.groupBy("key").agg(*best).join(members.groupBy("key").agg(rows), "key")
+    leads = written(leads, "ngram-leads")
     met = attach(members, leads, ["key"]).where("comp <> lead_comp").where(may_meet(F.col("info"), F.col("lead_info"), percent))
     return met.select(F.col("lead").alias("src"), F.col("node").alias("dst")), leads.select("key", "lead")
 
@@ -362,6 +382,7 @@ def similar_links(docs: DataFrame, nodes: DataFrame, entries: DataFrame, words:
         asked = written(nodes.select("node", "mark").join(by_shuffle(asked), "node", "left_semi").select("mark"), "ngram-asked")
         sets = written(ngram_sets(docs, asked, words, clashes), "ngram-sets")
         found = written(verified(pairs, sets, percent), "ngram-links")
+        forget(sets)
         links = found if links is None else links.unionAll(found)
         if turn < rounds:
             members = written(open_members(with_components(members.drop("comp"), component_roots(links))), "ngram-members")

@@ -66,7 +66,7 @@ def near_rows():
     return rows + [(900 + i, prose(rng, rng.randrange(1, 60))) for i in range(40)]
 
 
-@pytest.mark.parametrize("more", [{}, {"rounds": 0, "crowd": 2}, {"rounds": 1, "crowd": 3}])
+@pytest.mark.parametrize("more", [{}, {"rounds": 0, "crowd": 2}, {"rounds": 2, "crowd": 3}])
 def test_components_equal_all_pairs(spark, more):
     rows = near_rows() + [r[:2] for r in odd_rows()]
     docs = plain_docs(spark, [(*r, "en", "s") for r in rows])
