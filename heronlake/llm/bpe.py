@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,9 @@ with recursive step(word, pos, size, tok, live) as (
    where s.live and gone.word is null))
 select word, tok from step where not live order by word, pos
 """
-LONG, PIECE = 48, 150_000
+# Bytes of a word from which on it is long; bytes that are encoded and ids that
+# are decoded by one statement.  Both bound what a session takes beside the words it keeps.
+LONG, PIECE, IDS = 48, 150_000, 131_072
 DECODE = """
 select doc, string_agg(hex, '' order by pos) as hex from tokens join vocab on vocab.id = tokens.id group by doc order by doc
 """
@@ -82,13 +85,16 @@ class Codec:
         self.ranks, self.pattern, self.keep = load_ranks(path), regex.compile(pattern), keep
         self.known: dict[str, bytes] = {}
         self.bytes_of = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        splits = [
-            (self.ranks[t[:i]], self.ranks[t[i:]], rank)
-            for t, rank in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks
-        ]
-        a, b, made = (np.array(x, dtype=np.int32) for x in zip(*splits))
+        splits = array("i")
+        for t, rank in self.ranks.items():
+            for i in range(1, len(t)):
+                left, right = self.ranks.get(t[:i]), self.ranks.get(t[i:])
+                if left is not None and right is not None:
+                    splits.extend((left, right, rank))
+        a, b, made = np.array(splits, dtype=np.int32).reshape(-1, 3).T.copy()
         passed = np.union1d(a[made < a], b[made < b])
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        # what a statement frees goes back to the system
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "allocator_flush_threshold": "8MB"})
         self._table("merges", {"a": a, "b": b, "id": made, "safe": ~np.isin(made, passed)})
         tokens = sorted(self.ranks.items(), key=lambda x: x[1])
         self._table("vocab", {"id": np.array([r for _, r in tokens], dtype=np.int32), "hex": [t.hex() for t, _ in tokens]})
@@ -117,7 +123,7 @@ class Codec:
         whole = ids.tobytes()
         return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: Iterable[str]) -> None:
         """Encode the words that are not known yet, a bounded number of bytes at a time."""
         if len(self.known) > self.keep:
             self.known.clear()
@@ -142,24 +148,26 @@ class Codec:
                     first, size = i + 1, 0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.split(t) for t in texts]
-        self.learn(set().union(*cut) if cut else set())
+        # a word that occurs often is held once
+        words: dict[str, str] = {}
+        cut = [[words.setdefault(w, w) for w in self.split(t)] for t in texts]
+        self.learn(words)
         known = self.known
         return [np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4") for words in cut]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        """The bytes of each list of ids, put together by ordered aggregation."""
+        """The bytes of each list of ids, put together by ordered aggregation of a bounded number of ids at a time."""
         sizes = np.array([len(x) for x in ids], dtype=np.int64)
-        out = [b""] * len(ids)
-        if sizes.sum():
-            self._table("tokens", {
-                "doc": np.repeat(np.arange(len(ids), dtype=np.int32), sizes),
-                "pos": np.concatenate([np.arange(n, dtype=np.int32) for n in sizes]),
-                "id": np.concatenate(ids).astype(np.int32),
-            })
+        ends = np.cumsum(sizes)
+        out: list[list[bytes]] = [[] for _ in ids]
+        flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
+        for start in range(0, len(flat), IDS):
+            at = np.arange(start, min(start + IDS, len(flat)))
+            docs = np.searchsorted(ends, at, side="right")
+            self._table("tokens", {"doc": docs.astype(np.int32), "pos": (at - start).astype(np.int32), "id": flat[at].astype(np.int32)})
             for doc, text in self.db.execute(DECODE).fetchall():
-                out[doc] = bytes.fromhex(text)
-        return out
+                out[doc].append(bytes.fromhex(text))
+        return [b"".join(parts) for parts in out]
 
 
 _CODECS: dict[tuple, Codec] = {}

@@ -46,6 +46,17 @@ def test_ids_equal_the_library(codec, library):
     assert [b.decode() for b in codec.decode(ids)] == texts
 
 
+def test_decoding_in_bounded_pieces(codec, monkeypatch):
+    """A statement gets a bounded number of ids, so a session's memory does not follow the texts of a batch."""
+    sizes, store = [], codec._table
+    monkeypatch.setattr(bpe, "IDS", 700, raising=False)
+    monkeypatch.setattr(codec, "_table", lambda name, columns: (sizes.append((name, len(columns["id"]))) if name == "tokens" else None, store(name, columns)))
+    texts = odd_texts()
+    ids = codec.encode(texts)
+    assert [b.decode() for b in codec.decode(ids)] == texts
+    assert sum(n for _, n in sizes) == sum(map(len, ids)) > 2_100 and max(n for _, n in sizes) <= 700
+
+
 @pytest.mark.parametrize("limit", [0, 10_000])
 def test_both_statements_agree(codec, library, limit, monkeypatch):
     monkeypatch.setattr(bpe, "LONG", limit)
