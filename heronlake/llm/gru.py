@@ -76,10 +76,10 @@ def streams(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    out = np.tanh(np.multiply(x, np.float32(0.5), out=x), out=x)
-    out += 1
-    out *= np.float32(0.5)
-    return out
+    """In place; an exponential beyond the range is infinite, and its share zero."""
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,23 +95,36 @@ class Model:
         self.flat, self.layout = flat.astype(np.float32).copy(), layout
         self.p = layout.unpack(self.flat)
 
+    @staticmethod
+    def gates(table: np.ndarray) -> np.ndarray:
+        """Columns of the three gates as three tables."""
+        return table.reshape(len(table), 3, HIDDEN).transpose(1, 0, 2).copy()
+
     def forward(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray, keep: bool = True):
         """States along a window; the state is zero where a document starts."""
-        p, kept = self.p, []
-        given = (p["inp"] + p["bias"])[inputs]
-        starts = fresh.any(axis=1)
-        states = np.empty((len(inputs), *h.shape), dtype=np.float32)
-        for t in range(len(inputs)):
-            if starts[t]:
-                h = np.where(fresh[t][:, None], np.float32(0), h)
-            x, r = given[t], h @ p["rec"]
-            gates = sigmoid(x[:, :2 * HIDDEN] + r[:, :2 * HIDDEN])
-            z, g, r = gates[:, :HIDDEN], gates[:, HIDDEN:], r[:, 2 * HIDDEN:]
-            new = np.tanh(x[:, 2 * HIDDEN:] + g * r)
-            if keep:
-                kept.append((h, z, g, new, r))
-            h = new + z * (h - new)
-            states[t] = h
+        p, size = self.p, (len(inputs), *h.shape)
+        # one table per gate, so that every step works on whole blocks of memory
+        given = np.stack([own[inputs] for own in self.gates(p["inp"] + p["bias"])])
+        rec = self.gates(p["rec"])
+        starts, lives = fresh.any(axis=1), (~fresh).astype(np.float32)[:, :, None]
+        states = np.empty(size, dtype=np.float32)
+        kept = [np.empty(size, dtype=np.float32) for _ in range(5)] if keep else None
+        with np.errstate(over="ignore"):
+            for t in range(len(inputs)):
+                if starts[t]:
+                    h = h * lives[t]
+                r = np.matmul(h, rec)
+                r[:2] += given[:2, t]
+                z, g = sigmoid(r[:2])
+                new = g * r[2]
+                new += given[2, t]
+                np.tanh(new, out=new)
+                if keep:
+                    for all_steps, now in zip(kept, (h, z, g, new, r[2])):
+                        all_steps[t] = now
+                h = np.subtract(h, new, out=states[t])
+                h *= z
+                h += new
         return states, kept, h
 
     def weights(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,24 +181,31 @@ class Model:
             back[at] += share @ p["word"][c].T
         back = back.reshape(states.shape)
         later = np.zeros_like(states[0])
-        into = np.empty((len(inputs), states.shape[1], 3 * HIDDEN), dtype=np.float32)
+        # all factors that do not depend on later steps, for the whole window
+        h, z, g, new, r = kept
+        shut = 1 - z
+        by_new, by_z, by_g = shut * (1 - new * new), (h - new) * z * shut, r * g * (1 - g)
+        lives = (~fresh).astype(np.float32)[:, :, None]
+        into, d_new, back_rec = np.empty((3, *states.shape), dtype=np.float32), np.empty_like(states), self.gates(p["rec"]).transpose(0, 2, 1).copy()
         for t in range(len(inputs) - 1, -1, -1):
-            h, z, g, new, r = kept[t]
-            grad = back[t] + later
-            d_new = grad * (1 - z) * (1 - new * new)
-            wide = into[t]
-            wide[:, :HIDDEN] = grad * (h - new) * z * (1 - z)
-            wide[:, HIDDEN:2 * HIDDEN] = d_new * r * g * (1 - g)
-            wide[:, 2 * HIDDEN:] = d_new
-            inner = wide.copy()
-            inner[:, 2 * HIDDEN:] *= g
-            d["rec"] += h.T @ inner
-            later = grad * z + inner @ p["rec"].T
-            later[fresh[t]] = 0
-        into = into.reshape(-1, 3 * HIDDEN)
-        d["bias"] += into.sum(axis=0)
+            grad = back[t]
+            grad += later
+            np.multiply(grad, by_new[t], out=d_new[t])
+            np.multiply(grad, by_z[t], out=into[0, t])
+            np.multiply(d_new[t], by_g[t], out=into[1, t])
+            np.multiply(d_new[t], g[t], out=into[2, t])
+            later = np.matmul(into[:, t], back_rec).sum(axis=0)
+            grad *= z[t]
+            later += grad
+            later *= lives[t]
+        into = into.reshape(3, -1, HIDDEN)
+        before = h.reshape(-1, HIDDEN).T
         order, first, values = runs_of(inputs.ravel())
-        d["inp"][values] += np.add.reduceat(into[order], first)
+        for k, own in enumerate((into[0], into[1], d_new.reshape(-1, HIDDEN))):
+            at = slice(k * HIDDEN, (k + 1) * HIDDEN)
+            d["rec"][:, at] += before @ into[k]
+            d["bias"][at] += own.sum(axis=0)
+            d["inp"][values, at] += np.add.reduceat(own[order], first)
         return flat
 
 

@@ -26,14 +26,15 @@ LOWEST, ROOM = -(1 << 63), 1 << 20
 PIECE, TOKENS = 4 << 20, 8 << 20
 
 
-def word_key(word: bytes) -> int:
-    """60 bits of the word's hash and the class bits of its last byte."""
-    import xxhash
+def word_keys(words: list[bytes]) -> np.ndarray:
+    """Per word 60 bits of its hash and the class bits of its last byte."""
+    from xxhash import xxh64_intdigest
 
-    key = (xxhash.xxh64_intdigest(word) & ~15) | (word[-1] & 15)
-    key = key - (1 << 64) if key >> 63 else key
+    size = len(words)
+    hashes = np.fromiter(map(xxh64_intdigest, words), dtype=np.uint64, count=size).view(np.int64)
+    keys = (hashes & ~15) | np.fromiter((w[-1] for w in words), dtype=np.int64, count=size) & 15
     # the lowest longs stand for places in the table
-    return key ^ (1 << 62) if key < LOWEST + ROOM else key
+    return np.where(keys < LOWEST + ROOM, keys ^ (1 << 62), keys)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -49,17 +50,21 @@ def held_out() -> Column:
 class Words(dict):
     """Word to ``LOWEST`` and its place in the table, or to its key; filled as words are met."""
 
-    def __init__(self, places: dict[int, int], most: int = 400_000):
+    def __init__(self, keys: np.ndarray, most: int = 400_000):
         super().__init__()
-        self.places, self.most = places, most
+        self.order, self.most = np.argsort(keys), most
+        self.sorted = keys[self.order]
 
-    def __missing__(self, word: bytes) -> int:
+    def learn(self, words: set[bytes]) -> None:
+        """Look up all words that are not known yet together."""
         if len(self) > self.most:
             self.clear()
-        key = word_key(word)
-        place = self.places.get(key)
-        self[word] = found = key if place is None else LOWEST + place
-        return found
+        new = list(words.difference(self))
+        keys = word_keys(new)
+        if len(self.sorted):
+            at = np.minimum(np.searchsorted(self.sorted, keys), len(self.sorted) - 1)
+            keys = np.where(self.sorted[at] == keys, LOWEST + self.order[at], keys)
+        self.update(zip(new, keys.tolist()))
 
 
 class Table:
@@ -88,9 +93,8 @@ class Table:
         # the network gives its own words whole; the others come with their share of the tail
         self.inside = np.where(np.arange(len(keys)) < self.own, 0.0, np.log10(counts + ADD) - self.below[tail_of])
 
-    def cut(self, text: str, cache: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def cut(self, words: list[bytes], cache: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Keys of the words outside the table, places of the others, and the symbols of all tokens with the end."""
-        words = words_of(text)
         codes = np.fromiter(map(cache.__getitem__, words), dtype=np.int64, count=len(words))
         inside = codes < LOWEST + ROOM
         places, others = codes[inside] & (ROOM - 1), codes[~inside]
@@ -111,7 +115,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 for text in part.column(0).to_pylist():
                     seen.update(words_of(text))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([None, *map(word_key, seen)], pa.int64()), pa.array([part.num_rows, *seen.values()], pa.int64())], ["key", "n"]
+                    [pa.array([None, *word_keys(list(seen)).tolist()], pa.int64()), pa.array([part.num_rows, *seen.values()], pa.int64())], ["key", "n"]
                 )
 
     # counted inside the tasks first, then by key
@@ -159,12 +163,14 @@ def cut_texts(docs: DataFrame, table: Table) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        cache = Words({int(k): i for i, k in enumerate(own.keys)})
+        cache = Words(own.keys)
         for batch in batches:
             for part in slices(batch, 2, PIECE):
                 sizes, known, base, inside, symbols, keys, times, ends = [], [], [], [], [], [], [], [0]
-                for text in part.column(2).to_pylist():
-                    others, top, kinds = own.cut(text, cache)
+                texts = [words_of(text) for text in part.column(2).to_pylist()]
+                cache.learn(set().union(*texts))
+                for words in texts:
+                    others, top, kinds = own.cut(words, cache)
                     sizes.append(len(kinds))
                     known.append(len(top))
                     base.append(float(own.base[top].sum()))

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 from heronlake.llm import bpe, catalog, gru, lm
@@ -87,6 +88,21 @@ def test_encoding_and_decoding_as_columns(spark, library):
     assert [bytes(r["decoded"]) for r in bpe.decode_ids(odd, PATH, PATTERN).collect()] == [b"", b"", b""]
 
 
+def test_words_are_looked_up_together():
+    """Keys and places of many words at once are those of each word by itself; a full memory starts again."""
+    words = {bytes([97 + i % 26]) * (1 + i // 26) for i in range(300)} | {"é".encode(), b"\xff"}
+    plain = {w: (xxhash.xxh64_intdigest(w) & ~15) | (w[-1] & 15) for w in words}
+    plain = {w: k - (1 << 64) if k >> 63 else k for w, k in plain.items()}
+    keys = lm.word_keys(sorted(words))
+    assert keys.tolist() == [plain[w] for w in sorted(words)]
+    for table, most in ((keys[::3], 400_000), (keys[:0], 400_000), (keys[::-1], 10)):
+        known, place = lm.Words(table, most), {int(k): lm.LOWEST + i for i, k in enumerate(table)}
+        for part in (set(sorted(words)[:100]), words, set()):
+            known.learn(part)
+            assert all(known[w] == place.get(plain[w], plain[w]) for w in part)
+        assert len(known) == (len(words) if most > 10 else 0)
+
+
 def made_documents(count=400):
     """Two kinds of text, each with frequent words of its own: a network can tell them apart."""
     rng, rows = random.Random(6), []
