@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from heronlake.plans.graph import component_roots, is_acyclic, reach
+from heronlake.plans.lists import WHOLE, count_by_lists
 from heronlake.plans.shared import Rounds, cut_lineage
 
 # Second ends per task that one end of a wedge is paired with.
 FAN = 1024
 
 
+def turned(friendship: DataFrame) -> DataFrame:
+    """Friendship rows in both directions as (user_id, friend_id), the table worked out once."""
+    way = lambda a, b: F.struct(F.col(a).alias("user_id"), F.col(b).alias("friend_id"))
+    return friendship.select(F.inline(F.array(way("user1_id", "user2_id"), way("user2_id", "user1_id"))))
+
+
 def both_ways(friendship: DataFrame) -> DataFrame:
-    """Friendship rows in both directions as (user_id, friend_id)."""
-    there = friendship.select(F.col("user1_id").alias("user_id"), F.col("user2_id").alias("friend_id"))
-    back = friendship.select(F.col("user2_id").alias("user_id"), F.col("user1_id").alias("friend_id"))
-    return there.unionAll(back).distinct()
+    """Friendship rows in both directions as (user_id, friend_id), each once."""
+    return turned(friendship).distinct()
 
 
 def mutual_friends(friendship: DataFrame, k: int = 3) -> DataFrame:
@@ -62,12 +67,24 @@ def mutual_friends(friendship: DataFrame, k: int = 3) -> DataFrame:
 
 
 def page_recommendations(friendship: DataFrame, likes: DataFrame) -> DataFrame:
-    """Pages liked by friends and not by oneself, with the number of such friends."""
-    liked = likes.select("user_id", "page_id").distinct()
+    """Pages liked by friends and not by oneself, with the number of such friends.
+
+    Everybody's pages go to their friends as one packed list, and to oneself,
+    so what is shuffled is a byte or two per friend and page, and nothing is
+    written for the pairs (user, page) that come out.  Ids that are not whole
+    numbers are joined row by row.
+    """
+    links, liked = turned(friendship), likes.select("user_id", "page_id")
+    user, page = links.schema["user_id"].dataType, liked.schema["page_id"].dataType
+    if {user.simpleString(), page.simpleString(), liked.schema["user_id"].dataType.simpleString()} <= WHOLE:
+        groups = links.select(F.col("friend_id").alias("id"), F.col("user_id").alias("group"))
+        counts = count_by_lists(groups, liked.select(F.col("user_id").alias("id"), F.col("page_id").alias("item")))
+        return counts.select(
+            F.col("group").cast(user).alias("user_id"), F.col("item").cast(page).alias("page_id"), F.col("count").alias("friends_likes")
+        )
+    liked = liked.distinct()
     theirs = liked.select(F.col("user_id").alias("friend_id"), "page_id")
-    counts = both_ways(friendship).join(theirs, "friend_id").groupBy("user_id", "page_id").agg(
-        F.count("*").alias("friends_likes")
-    )
+    counts = both_ways(friendship).join(theirs, "friend_id").groupBy("user_id", "page_id").agg(F.count("*").alias("friends_likes"))
     return counts.join(liked, ["user_id", "page_id"], "left_anti")
 
 

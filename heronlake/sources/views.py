@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heronlake.functions.timeparts import day
+from heronlake.plans.lists import WHOLE, neighbour_pairs
 from heronlake.plans.ordered import order_buckets, scan
 
 
@@ -127,7 +128,14 @@ def grid(events: DataFrame) -> DataFrame:
 
 
 def consecutive_pairs(lineitem: DataFrame, column: str) -> DataFrame:
-    """Unordered pairs of a column on neighbouring lines of one order."""
+    """Unordered pairs of a column on neighbouring lines of one order.
+
+    Whole numbers move once, packed; other values are joined line by line.
+    """
+    kind = lineitem.schema[column].dataType
+    if kind.simpleString() in WHOLE:
+        lines = lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("place"), F.col(column).alias("value"))
+        return neighbour_pairs(lines.dropna()).select(F.col("user1_id").cast(kind), F.col("user2_id").cast(kind))
     rows = lineitem.select(
         "l_orderkey", "l_linenumber", F.col(column).alias("a")
     ).distinct()
